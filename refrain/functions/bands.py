@@ -14,16 +14,14 @@ def band_number(n: Column, strict_lower: bool = False) -> Column:
     """Label of a number; blank for NULL, NaN and values above the top limit.
 
     Negative values are Low unless ``strict_lower`` asks for the written
-    interval that starts at 0. Spark sorts NaN above every number, so NaN falls
-    through to the blank label by itself.
+    interval that starts at 0. NULL passes no test, and Spark sorts NaN above
+    every number, so both fall through to the blank label.
     """
-    label = F.when(n.isNull(), F.lit(""))
-    if strict_lower:
-        label = label.when(n < 0, F.lit(""))
+    valid = n >= 0 if strict_lower else F.lit(True)
     return (
-        label.when(n < LOW_BELOW, F.lit(LOW))
-        .when(n <= MEDIUM_UP_TO, F.lit(MEDIUM))
-        .when(n <= HIGH_UP_TO, F.lit(HIGH))
+        F.when(valid & (n < LOW_BELOW), F.lit(LOW))
+        .when(valid & (n <= MEDIUM_UP_TO), F.lit(MEDIUM))
+        .when(valid & (n <= HIGH_UP_TO), F.lit(HIGH))
         .otherwise(F.lit(""))
     )
 

@@ -30,18 +30,16 @@ _RADIX_LITERALS = (
 
 
 def strict_number(c: Column) -> Column:
-    """The number the whole text spells, else NaN.
+    """The number the whole text spells, NULL if it spells none.
 
-    NULL is NaN, blank text is 0, and hexadecimal, octal and binary literals
-    are read (beyond 64 bits they saturate at 2**64, which no comparison made
-    here can tell apart). The guards matter: a bare cast also accepts ``1.0d``
-    or ``inf`` and refuses blanks.
+    Blank text is 0, and hexadecimal, octal and binary literals are read (beyond
+    64 bits they saturate at 2**64, which no comparison made here can tell
+    apart). The guards matter: a bare cast also accepts ``1.0d`` or ``inf`` and
+    refuses blanks.
     """
     text = trim_wide(c)
-    number = (
-        F.when(c.isNull(), F.lit(float("nan")))
-        .when(text == "", F.lit(0.0))
-        .when(text.rlike(_WHOLE_DECIMAL), text.try_cast("double"))
+    number = F.when(text.rlike(_WHOLE_DECIMAL), text.try_cast("double")).when(
+        text == "", F.lit(0.0)
     )
     for letters, digits, base, width in _RADIX_LITERALS:
         value = F.ltrim(F.substring(text, 3, 2**31 - 1), F.lit("0"))
@@ -51,7 +49,7 @@ def strict_number(c: Column) -> Column:
             .when(F.length(value) > width, F.lit(float(2**64)))
             .otherwise(F.conv(value, base, 10).try_cast("double")),
         )
-    return number.otherwise(F.lit(float("nan")))
+    return number
 
 
 def lenient_int(c: Column, on_bad: str = "fail") -> Column:

@@ -53,9 +53,7 @@ def has_text(c: Column) -> Column:
 
 def at_least(c: Column, minimum: float) -> Column:
     """Text that spells a number of at least ``minimum``; the limit itself passes."""
-    number = strict_number(c)
-    # NaN sorts above every number, so it has to be excluded by name.
-    return ~F.isnan(number) & (number >= F.lit(float(minimum)))
+    return strict_number(c) >= F.lit(float(minimum))
 
 
 def required_text(df: DataFrame, column: str) -> DataFrame:
@@ -110,7 +108,7 @@ def classify_items(
     number = F.col("_number")
     failed = (
         F.when(~has_text(F.col(columns.name)), F.lit(NO_NAME))
-        .when(F.isnan(number), F.lit(BAD_NUMBER))
+        .when(number.isNull(), F.lit(BAD_NUMBER))
         .when(number < F.lit(float(min_duration)), F.lit(TOO_SMALL))
     )
     kind = F.when(F.col("_failed").isNull(), list_kind(F.col(columns.ids)))
