@@ -14,25 +14,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from refrain.functions.text import trim_wide
+from refrain.functions.text import WIDE_SPACE, trim_wide
 
 # The kinds of a list text.
 EMPTY, LIST, RAW, DROP = "empty", "list", "raw", "drop"
 
-# JSON grammar of an array of strings (RFC 8259).
+# JSON grammar (RFC 8259) of an array of strings, of an array of scalars and of
+# the start of any value.
 _JSON_SPACE = r"[ \t\n\r]*+"
 _JSON_STRING = (
     r'"[^"\\\x00-\x1F]*+'
     r'(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1F]*+)*+"'
 )
-_JSON_STRINGS = (
-    rf"{_JSON_STRING}{_JSON_SPACE}(?:,{_JSON_SPACE}{_JSON_STRING}{_JSON_SPACE})*+"
-)
-_JSON_STRING_ARRAY = (
-    rf"\A{_JSON_SPACE}\[{_JSON_SPACE}(?:{_JSON_STRINGS})?+\]{_JSON_SPACE}\z"
-)
+_JSON_NUMBER = r"-?+(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+"
+_JSON_SCALAR = rf"(?:{_JSON_STRING}|{_JSON_NUMBER}|true|false|null)"
+
+
+def _json_array_of(element: str) -> str:
+    item = rf"{_JSON_SPACE}{element}{_JSON_SPACE}"
+    return rf"\A{_JSON_SPACE}\[(?:{item}(?:,{item})*+|{_JSON_SPACE})\]{_JSON_SPACE}\z"
+
+
+_JSON_STRING_ARRAY = _json_array_of(_JSON_STRING)
+_JSON_SCALAR_ARRAY = _json_array_of(_JSON_SCALAR)
+_JSON_START = rf'\A{_JSON_SPACE}[\[{{"tfn0-9-]'
 
 # Grammar of the body of a one-dimensional array literal.
+_SPACES = " \t\n\x0b\f\r"
 _SPACE = r"[ \t\n\x0B\f\r]"
 _QUOTED = rf'{_SPACE}*+"(?:[^"\\]|\\.)*+"{_SPACE}*+'
 _BARE = rf'{_SPACE}*+(?:[^",{{}}\\ \t\n\x0B\f\r]|\\.)(?:[^",{{}}\\]|\\.)*+'
@@ -40,6 +48,24 @@ _ELEMENT = rf"(?:{_QUOTED}|{_BARE})"
 _ARRAY_BODY = rf"(?s)\A(?:{_SPACE}*+|{_ELEMENT}(?:,{_ELEMENT})*+)\z"
 _ARRAY_PIECE = rf'(?s){_QUOTED}|(?:[^",\\]|\\.)++'
 
+# List texts without escapes, null words, nested brackets, blank elements or
+# spaces beyond ASCII, single quotes still in. Their elements are cut out by one replacement that puts
+# a separator, which they must not hold, before each.
+_CUT = "\x1f"
+_OUTER = r"[' \t\n\x0B\f\r]*+"
+_NO_BARE = r"\",{}\[\]\\\x1F" + "".join(s for s in WIDE_SPACE if not s.isascii())
+_PLAIN_BARE = (
+    rf"(?!(?i:n'*+u'*+l'*+l){_OUTER}[,\]])"
+    rf"[^{_NO_BARE}' \t\n\x0B\f\r][^{_NO_BARE}]*+"
+)
+_PLAIN_ELEMENT = rf'{_OUTER}(?:"[^"\\\x1F]*+"{_OUTER}|{_PLAIN_BARE})'
+_PLAIN_LIST = (
+    rf"\A{_SPACE}*+\[{_PLAIN_ELEMENT}(?:,{_PLAIN_ELEMENT})*+\]{_SPACE}*+\z"
+)
+_PLAIN_PIECE = (
+    rf'(?:\A|,){_SPACE}*+(?:"([^"]*+)"|([^",]*[^", \t\n\x0B\f\r])){_SPACE}*+'
+)
+
 
 def _as_json(c: Column) -> Column:
     return F.replace(c, F.lit("'"), F.lit('"'))
@@ -59,7 +85,8 @@ def _is_json(q: Column) -> Column:
         F.try_parse_json(array).isNotNull() & F.try_parse_json(member).isNotNull()
     )
     as_text = (
-        ~q.rlike(r"[\x00-\x1F]")
+        F.contains(q, F.lit("{"))
+        & ~q.rlike(r"[\x00-\x1F]")
         & F.get_json_object(array, "$[0]").isNotNull()
         & F.get_json_object(member, "$.v").isNotNull()
     )
@@ -70,13 +97,14 @@ def list_kind(c: Column) -> Column:
     """``empty``, ``list``, ``raw`` or ``drop``.
 
     Branches are tried in order, so the JSON parsers only see the rare text
-    that is not a plain list.
+    that is nested or broken.
     """
     q = _as_json(c)
     return (
         F.when(c.isNull() | (c == ""), F.lit(EMPTY))
         .when(q.rlike(_JSON_STRING_ARRAY), F.lit(LIST))
-        .when(_is_json(q), F.lit(DROP))
+        .when(~q.rlike(_JSON_START), F.lit(RAW))
+        .when(q.rlike(_JSON_SCALAR_ARRAY) | _is_json(q), F.lit(DROP))
         .otherwise(F.lit(RAW))
     )
 
@@ -94,7 +122,7 @@ def list_elements(c: Column, kind: Column) -> Column:
 
 
 def _array_element(piece: Column) -> Column:
-    text = F.btrim(piece, F.lit(" \t\n\x0b\f\r"))
+    text = F.btrim(piece, F.lit(_SPACES))
     quoted = text.startswith('"')
     inner = F.when(quoted, F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(
         text
@@ -105,6 +133,11 @@ def _array_element(piece: Column) -> Column:
     )
 
 
+def _plain_elements(body: Column) -> Column:
+    cut = F.regexp_replace(body, _PLAIN_PIECE, f"{_CUT}$1$2")
+    return F.split(F.substring(cut, 2, 2**31 - 1), _CUT, -1)
+
+
 def array_literal(c: Column, on_bad: str = "fail") -> Column:
     """A list text as an array, by the rules of a database array literal.
 
@@ -118,9 +151,8 @@ def array_literal(c: Column, on_bad: str = "fail") -> Column:
         & F.left(text, F.lit(1)).isin("[", "{")
         & F.right(text, F.lit(1)).isin("]", "}")
     )
-    body = trim_wide(
-        F.translate(F.substring(text, F.lit(2), F.length(text) - 2), "'", "")
-    )
+    inner = trim_wide(F.substring(text, F.lit(2), F.length(text) - 2))
+    body = F.translate(inner, "'", "")
     elements = F.transform(
         F.regexp_extract_all(body, F.lit(_ARRAY_PIECE), F.lit(0)), _array_element
     )
@@ -131,7 +163,8 @@ def array_literal(c: Column, on_bad: str = "fail") -> Column:
         bad = F.raise_error(message).cast("array<string>")
     return (
         F.when(c.isNull() | (c == ""), F.lit(None).cast("array<string>"))
-        .when(bracketed & (body == ""), F.array().cast("array<string>"))
+        .when(c.rlike(_PLAIN_LIST), _plain_elements(body))
+        .when(bracketed & (F.btrim(body, F.lit(_SPACES)) == ""), F.array().cast("array<string>"))
         .when(bracketed & body.rlike(_ARRAY_BODY), elements)
         .otherwise(bad)
     )

@@ -20,13 +20,25 @@ _LEADING_SPACE = rf"\A[{WIDE_SPACE}]*+"
 _INT_PREFIX = rf"{_LEADING_SPACE}([+-]?[0-9]+)"
 _DOUBLE_PREFIX = rf"{_LEADING_SPACE}([+-]?(?:Infinity|{_DECIMAL}))"
 
-# Prefixed integer literals as (prefix letters, digits, base,
-# most digits that surely fit 64 unsigned bits).
-_RADIX_LITERALS = (
-    ("xX", "0-9a-fA-F", 16, 16),
-    ("oO", "0-7", 8, 21),
-    ("bB", "01", 2, 64),
-)
+# Integer literals with a prefix letter: base and the most digits
+# that surely fit 64 unsigned bits.
+_RADIX_LITERAL = r"\A0(?:[xX][0-9a-fA-F]+|[oO][0-7]+|[bB][01]+)\z"
+_RADIX = {"x": (16, 16), "o": (8, 21), "b": (2, 64)}
+
+
+def _radix_number(text: Column) -> Column:
+    letter = F.lower(F.substring(text, 2, 1))
+    digits = F.ltrim(F.substring(text, 3, 2**31 - 1), F.lit("0"))
+    base, most = F.lit(None), F.lit(None)
+    for name, (radix, width) in _RADIX.items():
+        base = F.when(letter == name, F.lit(radix)).otherwise(base)
+        most = F.when(letter == name, F.lit(width)).otherwise(most)
+    value = F.call_function("conv", digits, base, F.lit(10)).try_cast("double")
+    return (
+        F.when(digits == "", F.lit(0.0))
+        .when(F.length(digits) > most, F.lit(float(2**64)))
+        .otherwise(value)
+    )
 
 
 def strict_number(c: Column) -> Column:
@@ -38,18 +50,11 @@ def strict_number(c: Column) -> Column:
     refuses blanks.
     """
     text = trim_wide(c)
-    number = F.when(text.rlike(_WHOLE_DECIMAL), text.try_cast("double")).when(
-        text == "", F.lit(0.0)
+    return (
+        F.when(text.rlike(_WHOLE_DECIMAL), text.try_cast("double"))
+        .when(text == "", F.lit(0.0))
+        .when(text.rlike(_RADIX_LITERAL), _radix_number(text))
     )
-    for letters, digits, base, width in _RADIX_LITERALS:
-        value = F.ltrim(F.substring(text, 3, 2**31 - 1), F.lit("0"))
-        number = number.when(
-            text.rlike(rf"\A0[{letters}][{digits}]+\z"),
-            F.when(value == "", F.lit(0.0))
-            .when(F.length(value) > width, F.lit(float(2**64)))
-            .otherwise(F.conv(value, base, 10).try_cast("double")),
-        )
-    return number
 
 
 def lenient_int(c: Column, on_bad: str = "fail") -> Column:
@@ -57,19 +62,20 @@ def lenient_int(c: Column, on_bad: str = "fail") -> Column:
 
     A number that does not fit fails the query, or is NULL with ``on_bad="null"``.
     """
-    digits = F.nullif(F.regexp_extract(c, _INT_PREFIX, 1), F.lit(""))
-    value = digits.try_cast("int")
+    value = F.regexp_extract(c, _INT_PREFIX, 1).try_cast("int")
     if on_bad == "null":
         return value
-    message = F.concat(F.lit("integer out of range: "), digits)
-    return F.when(
-        digits.isNotNull() & value.isNull(), F.raise_error(message).cast("int")
-    ).otherwise(value)
+    # Only a text without a value is looked at again.
+    message = F.concat(F.lit("integer out of range: "), c)
+    misfit = F.when(c.rlike(_INT_PREFIX), F.raise_error(message).cast("int"))
+    return F.coalesce(value, misfit)
 
 
 def lenient_double(c: Column) -> Column:
     """Longest numeric prefix of a text as a double, NULL if there is none."""
-    return F.regexp_extract(c, _DOUBLE_PREFIX, 1).try_cast("double")
+    # Casting empty text would work too, but each failed cast is costly.
+    prefix = F.nullif(F.regexp_extract(c, _DOUBLE_PREFIX, 1), F.lit(""))
+    return prefix.try_cast("double")
 
 
 def lenient_boolean(c: Column) -> Column:

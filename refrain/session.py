@@ -14,6 +14,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM does not compile methods beyond this size; rather let Spark
+    # generate several smaller ones for wide projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Lets two datasets be published side by side.
     "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",

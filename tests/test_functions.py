@@ -160,6 +160,15 @@ LISTS = {
     "  ": ("raw", ["  "]),
     NO_BREAK + "['a']": ("raw", [NO_BREAK + "['a']"]),
     "5": ("drop", None),
+    "-1.5e3": ("drop", None),
+    " [true, -0.5e+3,\n'a', null] ": ("drop", None),
+    "[01]": ("raw", ["[01]"]),
+    "[1.]": ("raw", ["[1.]"]),
+    "['a' 'b']": ("raw", ["['a' 'b']"]),
+    "[,]": ("raw", ["[,]"]),
+    "tea": ("raw", ["tea"]),
+    "{'a':[{'b':null}]}": ("drop", None),
+    "{'a':1": ("raw", ["{'a':1"]),
     "null": ("drop", None),
     "'text'": ("drop", None),
     "[1,2]": ("drop", None),
@@ -207,6 +216,17 @@ def test_array_literal(spark, X):
         '["null"]': ["null"],
         "  [ 'a' ]  ": ["a"],
         "{a,b}": ["a", "b"],
+        "['a' , 'b c ', d]": ["a", "b c", "d"],
+        "['a\tb',\t'c']": ["a\tb", "c"],
+        "['it's', 'x']": ["its", "x"],
+        "['NULL', 'nullable', 'n'ull']": [None, "nullable", None],
+        "[null]": [None],
+        "['\"a, b\"' , ' c d ']": ["a, b", "c d"],
+        '["[x]", y]': ["[x]", "y"],
+        '[" a ", ""]': [" a ", ""],
+        "['a\x1fb', c]": ["a\x1fb", "c"],
+        "['a\nb' , \n c]": ["a\nb", "c"],
+        "[' a']": ["a"],
         '["a\\"b", c\\,d]': ['a"b', "c,d"],
         "[[a]]": ["[a]"],
         "": None,
@@ -215,7 +235,7 @@ def test_array_literal(spark, X):
     check(spark, table, array_literal(X))
 
 
-MALFORMED = ["abc", "[a", "a]", "[a,,b]", "[,]", '["a]', '["a"b]', "[{a}]", "  ", "["]
+MALFORMED = ["abc", "[a", "a]", "[a,,b]", "[,]", "['', 'a']", "[' ', a]", "'[a]'", "[a \"b\"]", "['a',]", '["a]', '["a"b]', "[{a}]", "  ", "["]
 
 
 @pytest.mark.parametrize("text", MALFORMED)
