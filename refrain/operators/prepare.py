@@ -148,9 +148,18 @@ def rejected_items(
     min_duration: float = MIN_DURATION_MS,
     columns: ItemColumns = ITEM,
 ) -> DataFrame:
-    """The rows ``prepare_items`` leaves out, each with its ``reject_reason``."""
-    rejected = F.col("reject_reason").isNotNull()
-    return classify_items(df, min_duration, columns).filter(rejected).drop("list_kind")
+    """The rows ``prepare_items`` leaves out, each with its ``reject_reason``.
+
+    They are selected before they are classified: a filter on the reason would
+    be copied below the projections and make all their work twice.
+    """
+    kept = (
+        has_text(F.col(columns.name))
+        & at_least(F.col(columns.duration), min_duration)
+        & (list_kind(F.col(columns.ids)) != DROP)
+    )
+    rejected = df.filter(~F.coalesce(kept, F.lit(False)))
+    return classify_items(rejected, min_duration, columns).drop("list_kind")
 
 
 def exploded_ids(df: DataFrame, column: str = ITEM.ids) -> DataFrame:
