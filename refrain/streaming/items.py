@@ -16,15 +16,22 @@ from refrain.sources.csv import DIALECT, text_schema
 
 
 def stream_raw_csv(
-    spark: SparkSession, folder: str, columns: list[str], multi_line: bool = False
+    spark: SparkSession,
+    folder: str,
+    columns: list[str],
+    multi_line: bool = False,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Rows of the CSV files in a folder, new files included, every field text."""
-    return (
-        spark.readStream.schema(text_schema(columns))
-        .options(**DIALECT, header=True, enforceSchema=False, multiLine=multi_line)
-        .csv(folder)
-        .fillna("")
+    """Rows of the CSV files in a folder, new files included, every field text.
+
+    ``files_per_batch`` divides a large backlog into several commits.
+    """
+    reader = spark.readStream.schema(text_schema(columns)).options(
+        **DIALECT, header=True, enforceSchema=False, multiLine=multi_line
     )
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.csv(folder).fillna("")
 
 
 def write_prepared_stream(

@@ -260,7 +260,7 @@ def test_stream_equals_batch_and_takes_up_new_files(spark, files, tmp_path):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
     def run():
-        raw = stream_raw_csv(spark, str(folder), columns)
+        raw = stream_raw_csv(spark, str(folder), columns, files_per_batch=1)
         write_prepared_stream(raw, out, checkpoint).awaitTermination()
 
     run()
