@@ -7,6 +7,7 @@ tables. Queries that need files write them under the session's shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,10 +66,12 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query and its SQL, under ``name`` where the function's is taken."""
+
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
-        ORACLE_SQL[fn.__name__] = sql
+        QUERIES[name or fn.__name__] = fn
+        ORACLE_SQL[name or fn.__name__] = sql
         return fn
 
     return register
@@ -201,7 +204,8 @@ def member_followers(spark, sf_dir):
 
 @query(
     """SELECT c_custkey, c_name, c_mktsegment FROM customer
-    WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice >= 490000)"""
+    WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice >= 490000)""",
+    name="prune_entities",
 )
 def prune_entities_by_items(spark, sf_dir):
     # The minimum is tested on text, as for raw items.
@@ -269,7 +273,8 @@ def usable_lists(spark, sf_dir):
     SELECT id, release_date, {oracle.date_part("release_date", "year")} AS release_year,
         {oracle.date_part("release_date", "month")} AS release_month,
         {oracle.date_part("release_date", "day")} AS release_day
-    FROM raw"""
+    FROM raw""",
+    name="date_parts",
 )
 def date_split(spark, sf_dir):
     parts = date_parts(F.col("release_date"))
@@ -286,7 +291,8 @@ def date_split(spark, sf_dir):
     f"""SELECT event_id, {oracle.band("(value / 100)")} AS level,
         CASE WHEN value / 100 - 0.1 < 0 THEN ''
              ELSE {oracle.band("(value / 100 - 0.1)")} END AS strict_level
-    FROM events"""
+    FROM events""",
+    name="band",
 )
 def number_band(spark, sf_dir):
     score = F.col("value") / 100
@@ -315,25 +321,25 @@ def _number_texts(spark, sf_dir):
     return events.selectExpr("event_id", f"{_NUMBER_TEXT} AS x")
 
 
-@query(f"WITH {_NUMBERS_SQL} SELECT event_id, {oracle.text_band('x')} AS level FROM numbers")
+@query(f"WITH {_NUMBERS_SQL} SELECT event_id, {oracle.text_band('x')} AS level FROM numbers", name="band_text")
 def text_band(spark, sf_dir):
     labelled = with_band(_number_texts(spark, sf_dir), "x", "level")
     return labelled.select("event_id", "level")
 
 
-@query(f"WITH {_NUMBERS_SQL} SELECT event_id, {oracle.number('x')} AS number FROM numbers")
+@query(f"WITH {_NUMBERS_SQL} SELECT event_id, {oracle.number('x')} AS number FROM numbers", name="strict_number")
 def strict_numbers(spark, sf_dir):
     number = strict_number(F.col("x")).alias("number")
     return _number_texts(spark, sf_dir).select("event_id", number)
 
 
-@query(f"WITH {_NUMBERS_SQL} SELECT event_id, {oracle.integer('x')} AS number FROM numbers")
+@query(f"WITH {_NUMBERS_SQL} SELECT event_id, {oracle.integer('x')} AS number FROM numbers", name="lenient_int")
 def lenient_integers(spark, sf_dir):
     number = lenient_int(F.col("x")).alias("number")
     return _number_texts(spark, sf_dir).select("event_id", number)
 
 
-@query(f"WITH {_NUMBERS_SQL} SELECT event_id, {oracle.double('x')} AS number FROM numbers")
+@query(f"WITH {_NUMBERS_SQL} SELECT event_id, {oracle.double('x')} AS number FROM numbers", name="lenient_double")
 def lenient_doubles(spark, sf_dir):
     number = lenient_double(F.col("x")).alias("number")
     return _number_texts(spark, sf_dir).select("event_id", number)
@@ -344,7 +350,7 @@ _FLAG_TEXT = """CASE event_type WHEN 'view' THEN 'TRUE' WHEN 'click' THEN 'false
     ELSE CASE WHEN value < 100 THEN ' true' ELSE '' END END"""
 
 
-@query(f"SELECT event_id, {oracle.boolean('(' + _FLAG_TEXT + ')')} AS flag FROM events")
+@query(f"SELECT event_id, {oracle.boolean('(' + _FLAG_TEXT + ')')} AS flag FROM events", name="bool_parse")
 def boolean_parse(spark, sf_dir):
     flags = table(spark, sf_dir, "events").selectExpr("event_id", f"{_FLAG_TEXT} AS x")
     return flags.select("event_id", lenient_boolean(F.col("x")).alias("flag"))
@@ -399,7 +405,8 @@ _ARRAY_TEXT = """replace(CASE event_type
         CASE event_type WHEN 'click' THEN 3 WHEN 'purchase' THEN 0
             ELSE CASE WHEN x <> '' THEN CAST(len(string_split(body, ',')) AS INTEGER) END
         END AS n_elements
-    FROM bodies"""
+    FROM bodies""",
+    name="array_literal",
 )
 def array_literals(spark, sf_dir):
     arrays = table(spark, sf_dir, "events").selectExpr("event_id", f"{_ARRAY_TEXT} AS x")
@@ -464,7 +471,7 @@ def _typed_sql(source: str, more: str = "") -> str:
         {oracle.double("energy")} AS energy{more} FROM {source}"""
 
 
-@query(f"WITH raw AS ({RAW_ITEMS_SQL}) {_typed_sql('raw')}")
+@query(f"WITH raw AS ({RAW_ITEMS_SQL}) {_typed_sql('raw')}", name="typed_projection")
 def typed_columns(spark, sf_dir):
     return typed_projection(raw_items(spark, sf_dir).drop("id_artists"))
 
@@ -486,7 +493,7 @@ def typed_lists(spark, sf_dir):
 # --- prepare and prune -------------------------------------------------------
 
 
-@query(f"WITH {oracle.PREPARED} SELECT * FROM prepared")
+@query(f"WITH {oracle.PREPARED} SELECT * FROM prepared", name="prepare_items")
 def prepared_items(spark, sf_dir):
     return prepare_items(raw_items(spark, sf_dir))
 
@@ -500,7 +507,8 @@ def prepare_then_prune(spark, sf_dir):
 @query(
     f"""WITH {oracle.PREPARED}
     SELECT reject_reason, count(*) AS n_rows FROM classified
-    WHERE reject_reason IS NOT NULL GROUP BY reject_reason"""
+    WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
+    name="rejects_by_reason",
 )
 def rejected_by_reason(spark, sf_dir):
     return rejects_by_reason(rejected_items(raw_items(spark, sf_dir)))
@@ -579,7 +587,7 @@ def published_datasets(spark, sf_dir):
     SELECT id, name, {oracle.integer("followers")} AS followers, count(*) * 2 AS copies
     FROM entities GROUP BY ALL"""
 )
-def load_append(spark, sf_dir):
+def load_append_counts(spark, sf_dir):
     path = scratch_path(spark, "loaded")
     name = "loaded_" + path.rsplit("-", 1)[1]
     for _ in range(2):
@@ -623,6 +631,29 @@ def catalogue_from_csv(spark, sf_dir):
     return views.track_summary(*[spark.read.parquet(path) for path in loaded])
 
 
+@query(
+    f"""WITH {oracle.PREPARED}
+    SELECT count(*) AS rows,
+        count(*) FILTER (reject_reason IS NULL) AS kept,
+        count(*) FILTER (reject_reason = 'no_name') AS no_name,
+        count(*) FILTER (reject_reason = 'bad_number') AS bad_number,
+        count(*) FILTER (reject_reason = 'too_small') AS too_small,
+        count(*) FILTER (reject_reason = 'bad_list') AS bad_list,
+        count(*) FILTER (reject_reason IS NULL AND kind = 'raw') AS raw_lists,
+        (SELECT count(*) FROM kept_entities) AS entities
+    FROM classified"""
+)
+def prepare_report(spark, sf_dir):
+    """The counts a prepare run takes while it writes."""
+    base = scratch_path(spark, "report")
+    raw = [f"{base}/raw-items", f"{base}/raw-entities"]
+    write_csv(raw_items(spark, sf_dir), raw[0])
+    write_csv(raw_entities(spark, sf_dir), raw[1])
+    report = jobs.prepare_catalogue(spark, *raw, f"{base}/items", f"{base}/entities")
+    return spark.createDataFrame([asdict(report)], "rows long, kept long, no_name long, "
+        "bad_number long, too_small long, bad_list long, raw_lists long, entities long")
+
+
 # --- streaming ----------------------------------------------------------------
 
 
