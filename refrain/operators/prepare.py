@@ -70,17 +70,13 @@ def usable_list(df: DataFrame, column: str) -> DataFrame:
 
 
 def with_date_parts(df: DataFrame, column: str = ITEM.date) -> DataFrame:
-    """Append year, month and day text."""
+    """Append year, month and day text; columns of these names are replaced."""
     # The helper columns keep the clean-up and the matching to one evaluation.
     staged = df.withColumn("_date", clean_date(F.col(column)))
     staged = staged.withColumn("_form", date_form(F.col("_date")))
     parts = split_date(F.col("_date"), F.col("_form"))
-    return staged.select(
-        *[F.col(f"`{name}`") for name in df.columns if name not in (YEAR, MONTH, DAY)],
-        parts.year.alias(YEAR),
-        parts.month.alias(MONTH),
-        parts.day.alias(DAY),
-    )
+    added = {YEAR: parts.year, MONTH: parts.month, DAY: parts.day}
+    return staged.withColumns(added).drop("_date", "_form")
 
 
 def with_band(

@@ -189,7 +189,7 @@ def typed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _select(table(spark, sf_dir, "lineitem"), TYPED_ITEMS)
     no_elements = F.array().cast("array<string>")
     elements = F.when(F.col("members") == "", no_elements).otherwise(
-        F.split("members", "[|]")
+        F.split("members", r"\|")
     )
     return df.withColumn("id_artists", elements).drop("members")
 

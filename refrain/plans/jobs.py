@@ -19,7 +19,7 @@ from refrain.operators.quality import observe_classified, observe_rows
 from refrain.plans.views import ENTITIES_TABLE, ITEMS_TABLE
 from refrain.schemas import MIN_DURATION_MS
 from refrain.sinks.csv import write_csv
-from refrain.sinks.publish import publish_all
+from refrain.sinks.publish import WRITERS, publish_all
 from refrain.sinks.tables import LoadReport, load_table
 from refrain.sources.csv import read_prepared, read_raw
 
@@ -40,6 +40,13 @@ class PrepareReport:
     entities: int
 
 
+def _read_hop(spark: SparkSession, path: str, fmt: str, multi_line: bool) -> DataFrame:
+    """A dataset that one of these jobs has written: every field text."""
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    return read_prepared(spark, path, multi_line)
+
+
 def transform_csv(
     spark: SparkSession,
     source: str,
@@ -59,13 +66,16 @@ def prepare_catalogue(
     entities_target: str,
     min_duration: float = MIN_DURATION_MS,
     multi_line: bool = False,
+    fmt: str = "csv",
 ) -> PrepareReport:
     """Prepare the items, then keep the entities that kept items refer to.
 
     The prepared items are written once and their ids read back from there, so
-    the raw items are scanned once. If the first step fails the second is not
-    begun, and the error is raised.
+    the raw items are scanned once; with ``fmt="parquet"`` only the id column is
+    read back. If the first step fails the second is not begun, and the error is
+    raised.
     """
+    write = WRITERS[fmt]
     item_counts, entity_counts = Observation(), Observation()
     classified = classify_items(read_raw(spark, items_source, multi_line), min_duration)
     kept = (
@@ -73,12 +83,12 @@ def prepare_catalogue(
         .filter(F.col("reject_reason").isNull())
         .drop("reject_reason", "list_kind")
     )
-    write_csv(append_item_columns(kept), items_target)
+    write(append_item_columns(kept), items_target)
     log.info("Transformed tracks saved to: %s", items_target)
 
-    ids = entity_ids(read_raw(spark, items_target, multi_line))
+    ids = entity_ids(_read_hop(spark, items_target, fmt, multi_line))
     entities = prune_entities(read_raw(spark, entities_source, multi_line), ids)
-    write_csv(observe_rows(entities, entity_counts), entities_target)
+    write(observe_rows(entities, entity_counts), entities_target)
     log.info("Transformed artists saved to: %s", entities_target)
     return PrepareReport(**item_counts.get, entities=entity_counts.get["rows"])
 
@@ -90,13 +100,15 @@ def publish_catalogue(
     items_uri: str,
     entities_uri: str,
     multi_line: bool = False,
+    fmt: str = "csv",
 ) -> None:
     """Publish both prepared datasets at the same time."""
     publish_all(
         {
-            items_uri: read_prepared(spark, items_path, multi_line),
-            entities_uri: read_prepared(spark, entities_path, multi_line),
-        }
+            items_uri: _read_hop(spark, items_path, fmt, multi_line),
+            entities_uri: _read_hop(spark, entities_path, fmt, multi_line),
+        },
+        fmt,
     )
 
 
@@ -109,9 +121,10 @@ def load_catalogue(
     mode: str = "overwrite",
     on_bad: str = "fail",
     multi_line: bool = False,
+    fmt: str = "csv",
 ) -> list[LoadReport]:
     """Load items, then entities; the first failure ends the run."""
     return [
-        load_table(read_prepared(spark, uri, multi_line), table, mode, on_bad=on_bad)
+        load_table(_read_hop(spark, uri, fmt, multi_line), table, mode, on_bad=on_bad)
         for uri, table in ((items_uri, items_table), (entities_uri, entities_table))
     ]

@@ -113,6 +113,21 @@ def prepared(spark, files, base):
     return report, targets
 
 
+def test_parquet_between_the_jobs(spark, files, tmp_path):
+    sources = [str(files / "tracks.csv"), str(files / "artists.csv")]
+    hops = [[str(tmp_path / step / name) for name in ("t", "a")] for step in ("p", "u")]
+    report = jobs.prepare_catalogue(spark, *sources, *hops[0], fmt="parquet")
+    assert (report.kept, report.entities) == (3, 4)
+    jobs.publish_catalogue(spark, *hops[0], *hops[1], fmt="parquet")
+    names = ("parquet_tracks", "parquet_artists")
+    reports = jobs.load_catalogue(spark, *hops[1], *names, on_bad="null", fmt="parquet")
+    assert [r.rows for r in reports] == [3, 4]
+    lists = {r["id"]: r["id_artists"] for r in spark.table(names[0]).collect()}
+    assert lists == {"t1": ["a1", "a2"], "t2": ["a1"], "t6": None}
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_prepare_publish_load_and_query(spark, files, tmp_path):
     report, targets = prepared(spark, files, tmp_path)
     assert report == jobs.PrepareReport(

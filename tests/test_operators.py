@@ -86,7 +86,11 @@ def test_prepare_replaces_columns_of_the_same_name(spark):
     df = items(spark, ("a", "x", "60000", "[]", "2001", "")).withColumn(
         "release_year", F.lit("old")
     )
-    (row,) = prepare.prepare_items(df).collect()
+    out = prepare.prepare_items(df)
+    assert out.columns[-4:] == [
+        "release_year", "release_month", "release_day", "danceability_level"
+    ]
+    (row,) = out.collect()
     assert row["release_year"] == "2001"
 
 
