@@ -21,8 +21,11 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# More hot keys than this are never looked for.
-MAX_HOT_KEYS = 10_000
+# More hot keys than this are never looked for. It bounds the sketches, too.
+MAX_HOT_KEYS = 2_000
+
+# Tasks that merge sketches before the last one does.
+MERGE_BUCKETS = 256
 
 # Most rows broadcast for hot keys when the right side may repeat a key.
 MAX_BROADCAST_ROWS = 100_000
@@ -50,25 +53,39 @@ def fits_broadcast(df: DataFrame) -> bool:
 def hot_keys(df: DataFrame, key: str) -> HotKeys:
     """Find the hot values of ``key`` in one pass over one column.
 
-    No hot key is missed: the sketch tracks eight times as many values as there
-    can be hot ones.
+    No hot key is missed: the sketches track eight times as many values as there
+    can be hot ones. Each task makes one, and they are merged in two steps so that
+    no single task has to read those of all others.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     most = max(1, min(partitions, MAX_HOT_KEYS))
-    column = F.col(key)
-    row = df.agg(
-        F.call_function(
-            "approx_top_k", column, F.lit(most), F.lit(max(10_000, 8 * most))
-        ).alias("top"),
-        F.count(column).alias("present"),
-        F.count(F.lit(1)).alias("total"),
-    ).first()
+    tracked = F.lit(max(1_000, 8 * most))
+    sketches = (
+        df.select(F.col(key).alias("key"))
+        .withColumn("bucket", F.spark_partition_id() % MERGE_BUCKETS)
+        .groupBy("bucket")
+        .agg(
+            F.call_function("approx_top_k_accumulate", F.col("key"), tracked).alias("sketch"),
+            F.count("key").alias("present"),
+            F.count(F.lit(1)).alias("total"),
+        )
+    )
+    # Grouped, because there is no combining of no sketches at all.
+    merged = sketches.groupBy(F.lit(0).alias("all")).agg(
+        F.call_function("approx_top_k_combine", F.col("sketch"), tracked).alias("sketch"),
+        F.sum("present").alias("present"),
+        F.sum("total").alias("total"),
+    )
+    top = F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(most))
+    row = merged.select(top.alias("top"), "present", "total").first()
+    if row is None:
+        return HotKeys([], False)
     hot = [
         t["item"]
-        for t in row["top"] or []
+        for t in row["top"]
         if t["item"] is not None and t["count"] * most >= row["total"]
     ]
-    return HotKeys(hot, (row["total"] - row["present"]) * most >= max(row["total"], 1))
+    return HotKeys(hot, (row["total"] - row["present"]) * most >= row["total"])
 
 
 def _split_join(
