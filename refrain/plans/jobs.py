@@ -14,6 +14,7 @@ from refrain.operators.prepare import (
     classify_items,
     entity_ids,
     prune_entities,
+    rejected_items,
 )
 from refrain.operators.quality import observe_classified, observe_rows
 from refrain.plans.views import ENTITIES_TABLE, ITEMS_TABLE
@@ -67,29 +68,35 @@ def prepare_catalogue(
     min_duration: float = MIN_DURATION_MS,
     multi_line: bool = False,
     fmt: str = "csv",
+    rejects_target: str | None = None,
 ) -> PrepareReport:
     """Prepare the items, then keep the entities that kept items refer to.
 
     The prepared items are written once and their ids read back from there, so
     the raw items are scanned once; with ``fmt="parquet"`` only the id column is
-    read back. If the first step fails the second is not begun, and the error is
-    raised.
+    read back. Rejected items, each with its reason, are written only if they
+    have a target; that takes another scan. If a step fails the next is not
+    begun, and the error is raised.
     """
     write = WRITERS[fmt]
     item_counts, entity_counts = Observation(), Observation()
-    classified = classify_items(read_raw(spark, items_source, multi_line), min_duration)
+    raw = read_raw(spark, items_source, multi_line)
+    classified = classify_items(raw, min_duration)
     kept = (
         observe_classified(classified, item_counts)
         .filter(F.col("reject_reason").isNull())
         .drop("reject_reason", "list_kind")
     )
     write(append_item_columns(kept), items_target)
-    log.info("Transformed tracks saved to: %s", items_target)
+    log.info("prepared items written to %s", items_target)
+
+    if rejects_target:
+        write(rejected_items(raw, min_duration), rejects_target)
 
     ids = entity_ids(_read_hop(spark, items_target, fmt, multi_line))
     entities = prune_entities(read_raw(spark, entities_source, multi_line), ids)
     write(observe_rows(entities, entity_counts), entities_target)
-    log.info("Transformed artists saved to: %s", entities_target)
+    log.info("kept entities written to %s", entities_target)
     return PrepareReport(**item_counts.get, entities=entity_counts.get["rows"])
 
 

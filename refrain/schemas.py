@@ -45,6 +45,10 @@ COLUMN_TYPES = {
 # Columns a dataset must have to be loaded.
 REQUIRED_COLUMNS = ("id", "name")
 
+# Messages about datasets that cannot be loaded.
+MISSING_COLUMNS = 'Missing required CSV headers for table "{table}": {columns}'
+EMPTY_DATASET = "CSV file for {table} is empty."
+
 # Fixed value: shortest kept duration, in milliseconds.
 MIN_DURATION_MS = 60_000
 
@@ -63,5 +67,5 @@ def require_columns(
     missing = [name for name in required if name not in present]
     if missing:
         raise ValueError(
-            f'Missing required CSV headers for table "{dataset}": {", ".join(missing)}'
+            MISSING_COLUMNS.format(table=dataset, columns=", ".join(missing))
         )

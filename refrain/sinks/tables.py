@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation
 
 from refrain.operators.quality import observe_rows
 from refrain.operators.typed import typed_projection
-from refrain.schemas import COLUMN_TYPES, require_columns
+from refrain.schemas import COLUMN_TYPES, EMPTY_DATASET, require_columns
 
 log = logging.getLogger(__name__)
 
@@ -40,7 +40,7 @@ def load_table(
     that cannot be stored raises, and then nothing is stored.
     """
     if not df.columns or df.isEmpty():
-        log.error("CSV file for %s is empty.", table)
+        log.error(EMPTY_DATASET.format(table=table))
         return LoadReport(table, 0)
     require_columns(df.columns, table)
     counts = Observation()
@@ -53,5 +53,5 @@ def load_table(
         writer = writer.option("path", path)
     writer.saveAsTable(table)
     report = LoadReport(table, counts.get["rows"])
-    log.info("Loaded %d rows into table %s.", report.rows, table)
+    log.info("table %s: %d rows loaded", table, report.rows)
     return report

@@ -116,8 +116,16 @@ def prepared(spark, files, base):
 def test_parquet_between_the_jobs(spark, files, tmp_path):
     sources = [str(files / "tracks.csv"), str(files / "artists.csv")]
     hops = [[str(tmp_path / step / name) for name in ("t", "a")] for step in ("p", "u")]
-    report = jobs.prepare_catalogue(spark, *sources, *hops[0], fmt="parquet")
+    rejects = str(tmp_path / "rejects")
+    report = jobs.prepare_catalogue(
+        spark, *sources, *hops[0], fmt="parquet", rejects_target=rejects
+    )
     assert (report.kept, report.entities) == (3, 4)
+    reasons = spark.read.parquet(rejects).select("id", "reject_reason")
+    assert dict(tuple(r) for r in reasons.collect()) == {
+        "t3": "no_name", "t4": "too_small", "t5": "bad_list", "t7": "too_small",
+        "t8": "bad_number",
+    }
     jobs.publish_catalogue(spark, *hops[0], *hops[1], fmt="parquet")
     names = ("parquet_tracks", "parquet_artists")
     reports = jobs.load_catalogue(spark, *hops[1], *names, on_bad="null", fmt="parquet")
@@ -293,3 +301,14 @@ def test_scratch_is_in_the_named_folder(spark):
     assert shared_dir(spark) == named
     assert scratch_path(spark, "x").startswith(named + "/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_nothing_survives(spark, files, tmp_path, fmt):
+    sources = [str(files / "tracks.csv"), str(files / "artists.csv")]
+    targets = [str(tmp_path / "t"), str(tmp_path / "a")]
+    report = jobs.prepare_catalogue(spark, *sources, *targets, min_duration=10**9, fmt=fmt)
+    assert (report.rows, report.kept, report.entities) == (8, 0, 0)
+    reports = jobs.load_catalogue(spark, *targets, "none_t", "none_a", fmt=fmt)
+    assert not any(r.loaded for r in reports)
+    assert not spark.catalog.tableExists("none_t")
