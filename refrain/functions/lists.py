@@ -19,8 +19,8 @@ from refrain.functions.text import WIDE_SPACE, trim_wide
 # The kinds of a list text.
 EMPTY, LIST, RAW, DROP = "empty", "list", "raw", "drop"
 
-# JSON grammar (RFC 8259) of an array of strings, of an array of scalars and of
-# the start of any value.
+# JSON grammar (RFC 8259) of an array of strings, of a scalar or an array of
+# scalars, and of the start of any value.
 _JSON_SPACE = r"[ \t\n\r]*+"
 _JSON_STRING = (
     r'"[^"\\\x00-\x1F]*+'
@@ -32,11 +32,13 @@ _JSON_SCALAR = rf"(?:{_JSON_STRING}|{_JSON_NUMBER}|true|false|null)"
 
 def _json_array_of(element: str) -> str:
     item = rf"{_JSON_SPACE}{element}{_JSON_SPACE}"
-    return rf"\A{_JSON_SPACE}\[(?:{item}(?:,{item})*+|{_JSON_SPACE})\]{_JSON_SPACE}\z"
+    return rf"\[(?:{item}(?:,{item})*+|{_JSON_SPACE})\]"
 
 
-_JSON_STRING_ARRAY = _json_array_of(_JSON_STRING)
-_JSON_SCALAR_ARRAY = _json_array_of(_JSON_SCALAR)
+_JSON_STRING_ARRAY = rf"\A{_JSON_SPACE}{_json_array_of(_JSON_STRING)}{_JSON_SPACE}\z"
+_JSON_FLAT = (
+    rf"\A{_JSON_SPACE}(?:{_JSON_SCALAR}|{_json_array_of(_JSON_SCALAR)}){_JSON_SPACE}\z"
+)
 _JSON_START = rf'\A{_JSON_SPACE}[\[{{"tfn0-9-]'
 
 # Grammar of the body of a one-dimensional array literal.
@@ -104,7 +106,7 @@ def list_kind(c: Column) -> Column:
         F.when(c.isNull() | (c == ""), F.lit(EMPTY))
         .when(q.rlike(_JSON_STRING_ARRAY), F.lit(LIST))
         .when(~q.rlike(_JSON_START), F.lit(RAW))
-        .when(q.rlike(_JSON_SCALAR_ARRAY) | _is_json(q), F.lit(DROP))
+        .when(q.rlike(_JSON_FLAT) | _is_json(q), F.lit(DROP))
         .otherwise(F.lit(RAW))
     )
 

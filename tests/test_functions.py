@@ -161,6 +161,12 @@ LISTS = {
     NO_BREAK + "['a']": ("raw", [NO_BREAK + "['a']"]),
     "5": ("drop", None),
     "-1.5e3": ("drop", None),
+    "1e999": ("drop", None),
+    " " + "9" * 60 + "\n": ("drop", None),
+    "[" + "9" * 60 + "]": ("drop", None),
+    "'a' ": ("drop", None),
+    "-": ("raw", ["-"]),
+    "1 2": ("raw", ["1 2"]),
     " [true, -0.5e+3,\n'a', null] ": ("drop", None),
     "[01]": ("raw", ["[01]"]),
     "[1.]": ("raw", ["[1.]"]),

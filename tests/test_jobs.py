@@ -2,6 +2,7 @@
 
 import threading
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -312,3 +313,10 @@ def test_nothing_survives(spark, files, tmp_path, fmt):
     reports = jobs.load_catalogue(spark, *targets, "none_t", "none_a", fmt=fmt)
     assert not any(r.loaded for r in reports)
     assert not spark.catalog.tableExists("none_t")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
+    conf = SimpleNamespace(get=lambda key, default: default)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf=conf, sparkContext=context))
