@@ -36,23 +36,34 @@ def spread_sample(key: Column, expected: int, total: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * (1 << 30))
 
 
-def map_texts(docs: DataFrame, run: Callable[[list], dict], schema: str) -> DataFrame:
-    """``doc_id`` of every row of ``docs`` and the columns that ``run`` makes.
-
-    ``run`` gets the texts of a batch and returns a list or array for each column
-    of ``schema``. If it returns fewer or more rows than texts, it says in
-    ``row`` which text each is from. Ids pass through as they are, NULL included.
+def map_batches(
+    frame: DataFrame, run: Callable[[pa.RecordBatch], dict], schema: str, id_type: str | None = None
+) -> DataFrame:
+    """``doc_id`` of every row of ``frame`` and the columns that ``run`` makes.
+
+    ``run`` gets a batch and returns a list or array for each column of ``schema``.
+    If it returns fewer or more rows than it got, it says in ``row`` which of them
+    each is from. Ids pass through as they are, NULL included.
     """
-    full = f"doc_id bigint, {schema}"
+    id_type = id_type or frame.schema["doc_id"].dataType.simpleString()
+    full = f"doc_id {id_type}, {schema}"
     target = to_arrow_schema(StructType.fromDDL(full))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = run(batch["text"].to_pylist())
+            made = run(batch)
             ids = batch["doc_id"]
             if "row" in made:
                 ids = ids.take(pa.array(made["row"], pa.int64()))
             columns = [ids] + [pa.array(made[f.name], f.type) for f in list(target)[1:]]
             yield pa.RecordBatch.from_arrays(columns, schema=target)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(over, full)
+    return frame.mapInArrow(over, full)
+
+
+def map_texts(
+    docs: DataFrame, run: Callable[[list], dict], schema: str, id_type: str = "bigint"
+) -> DataFrame:
+    """``map_batches`` over the texts of ``docs`` alone."""
+    pair = docs.select(F.col("doc_id").cast(id_type).alias("doc_id"), "text")
+    return map_batches(pair, lambda batch: run(batch["text"].to_pylist()), schema, id_type)

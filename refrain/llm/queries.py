@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.llm import language_id, oracle, packing, toxicity, url_filter
+from refrain.llm import (
+    decontamination,
+    language_id,
+    line_frequency,
+    oracle,
+    packing,
+    toxicity,
+    url_filter,
+    window_dedup,
+)
 from refrain.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +50,24 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out_split().alias("held_out"), "score", "predicted")
 
 
+@query()
+def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_frequency.judge_lines(table(spark, sf_dir, "documents"), "source")
+    return judged.drop("removed_lines")
+
+
+@query()
+def op3_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contained_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 #: The rules that the contract of the query fixes: host, path, verdict.
 URL_RULES = (
     ("com", "/", "allow"),
