@@ -14,6 +14,7 @@ from refrain.llm import (
     line_frequency,
     oracle,
     packing,
+    suffix_dedup,
     toxicity,
     url_filter,
     window_dedup,
@@ -99,3 +100,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language_id.held_out_split()
     found = language_id.identify(docs, language_id.fit(docs.where(~held_out)))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query()
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
