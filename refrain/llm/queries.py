@@ -12,6 +12,7 @@ from refrain.llm import (
     decontamination,
     language_id,
     line_frequency,
+    ngram_join,
     oracle,
     packing,
     suffix_dedup,
@@ -105,3 +106,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents")).drop("class")
