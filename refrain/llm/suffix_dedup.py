@@ -170,6 +170,8 @@ def _repeats_by_anchor(open_texts: DataFrame, width: int) -> DataFrame:
         joined, intervals = maximal_repeats([r["bytes"] for r in rows], width)
         made = []
         for interval in intervals:
+            if not interval.starts:  # all its occurrences are in longer ones
+                continue
             at = interval.starts[0]
             name = hashlib.blake2b(joined.data[at : at + interval.length].tobytes(), digest_size=16).hexdigest()
             owners = np.searchsorted(joined.begin, interval.starts, "right") - 1
