@@ -19,6 +19,7 @@ from refrain.llm import (
     toxicity,
     url_filter,
     window_dedup,
+    wrappers,
 )
 from refrain.llm.common import stored
 
@@ -70,6 +71,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_text(table(spark, sf_dir, "pages"))
+
+
 #: The rules that the contract of the query fixes: host, path, verdict.
 URL_RULES = (
     ("com", "/", "allow"),
