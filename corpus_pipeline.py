@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from refrain.llm import packing, toxicity
+from refrain.llm import decontamination, ngram_join, packing, suffix_dedup, toxicity
 from refrain.llm.common import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,6 +19,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_unflagged(docs, toxicity.fit(docs, labels))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by 80 % of their five-word shingles."""
+    return ngram_join.keep_one(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without byte strings of 200 that repeat anywhere in the kept documents."""
+    return suffix_dedup.cut_repeats(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that do not contain 80 % of the shingles of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.drop_contaminated(docs, items)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents as pieces placed in sequences."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,6 +44,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
+    ("ngram_join", drop_near_copies),
+    ("suffix_dedup", cut_repeats),
+    ("decontamination", drop_contaminated),
     ("packing", pack),
 ]
 

@@ -55,7 +55,12 @@ def map_batches(
             ids = batch["doc_id"]
             if "row" in made:
                 ids = ids.take(pa.array(made["row"], pa.int64()))
-            columns = [ids] + [pa.array(made[f.name], f.type) for f in list(target)[1:]]
+            columns = [ids]
+            for field in list(target)[1:]:
+                made_one = made[field.name]
+                if not isinstance(made_one, pa.Array):
+                    made_one = pa.array(made_one, field.type)
+                columns.append(made_one)
             yield pa.RecordBatch.from_arrays(columns, schema=target)
 
     return frame.mapInArrow(over, full)

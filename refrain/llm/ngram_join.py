@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from refrain.llm.common import map_texts, spread_sample, stored
 from refrain.llm.components import components
+from refrain.llm.repeats import KEY, keyed_texts
 from refrain.llm.spans import LOWER, RangeHash, Texts, Words, byte_codes, chunks, mix, window_starts
 
 SHINGLE_WORDS = 5
@@ -154,7 +155,7 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
             made["point"] += list(sets.points())
         return made
 
-    return map_texts(docs, run, "n_shingles bigint, class bigint, point array<int>")
+    return map_texts(docs, run, "n_shingles bigint, class bigint, point array<int>", KEY)
 
 
 def frequent_shingles(docs: DataFrame, words: int, sample: int) -> np.ndarray:
@@ -399,6 +400,19 @@ def _texts_of(docs: DataFrame, words: int, pairs: DataFrame) -> DataFrame:
     return classed.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("text").alias("text"))
 
 
+def _labelled_documents(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id`` (the key of ``keyed_texts``), ``n_shingles``, ``class``, ``label``."""
+    texts = keyed_texts(docs)
+    sets = stored(sets_of(texts, options.get("words", SHINGLE_WORDS)), "sets")
+    linked = linked_classes(texts, sets, **options)
+    label = linked.select(F.col("class").alias("c"), "label")
+    return stored(
+        sets.drop("point").join(label, F.col("class") == F.col("c"), "left")
+        .withColumn("label", F.coalesce("label", "class")).drop("c"),
+        "labelled",
+    )
+
+
 def join_documents(docs: DataFrame, **options) -> DataFrame:
     """Each row of ``docs`` (``doc_id``, ``text``) with its set and component.
 
@@ -409,19 +423,35 @@ def join_documents(docs: DataFrame, **options) -> DataFrame:
     rows too; NULL ids stay NULL and count as larger than others; other columns
     are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sets = stored(sets_of(docs, options.get("words", SHINGLE_WORDS)), "sets")
-    linked = linked_classes(docs, sets, **options)
-    label = linked.select(F.col("class").alias("c"), "label")
-    labelled = stored(
-        sets.drop("point").join(label, F.col("class") == F.col("c"), "left")
-        .withColumn("label", F.coalesce("label", "class")).drop("c"),
-        "labelled",
-    )
+    labelled = _labelled_documents(docs, **options)
     least = stored(
-        labelled.where("label IS NOT NULL").groupBy(F.col("label").alias("l")).agg(F.min("doc_id").alias("least")),
+        labelled.where("label IS NOT NULL").groupBy(F.col("label").alias("l"))
+        .agg(F.min("doc_id.doc_id").alias("least")),
         "least",
     )
     return labelled.join(least, F.col("label") == F.col("l"), "left").select(
-        "doc_id", "n_shingles", "class", F.coalesce("least", "doc_id").alias("component_id")
+        "doc_id.doc_id", "n_shingles", "class",
+        F.coalesce("least", "doc_id.doc_id").alias("component_id"),
+    )
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """``docs``, all columns, with one document of each component left.
+
+    The one with the smallest id stays; NULL counts as larger. Documents without
+    shingles all stay; of rows that repeat id and text one stays.
+    """
+    labelled = _labelled_documents(docs, **options).where("label IS NOT NULL")
+    order = F.struct(F.col("doc_id.doc_id").isNull(), "doc_id")
+    first = stored(
+        labelled.groupBy(F.col("label").alias("l")).agg(F.min_by("doc_id", order).alias("first")), "first"
+    )
+    dropped = (
+        labelled.join(first, F.col("label") == F.col("l")).where("doc_id <> first")
+        .select(F.col("doc_id").alias("key")).distinct()
     )
+    dropped = stored(dropped, "dropped")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"))
+    left = docs.withColumn("kept_key", key).join(dropped, F.col("kept_key") == F.col("key"), "left_anti")
+    return left.dropDuplicates(["kept_key"]).drop("kept_key")

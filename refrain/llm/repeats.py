@@ -31,14 +31,16 @@ KEY = "struct<doc_id:bigint,text_hash:bigint>"
 MakeRuns = Callable[[list[bytes]], tuple[Runs, np.ndarray]]
 
 
-def keyed_texts(docs: DataFrame) -> DataFrame:
+def keyed_texts(docs: DataFrame, carried: list[str] | None = None) -> DataFrame:
     """``doc_id`` with a hash of the text as the key, and ``text``, NULL as empty.
 
-    Rows that repeat an id with another text are documents of their own.
+    Rows that repeat an id with another text are documents of their own. The
+    ``carried`` columns come along in a struct ``rest``.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"))
-    return docs.select(key.alias("doc_id"), text.alias("text"))
+    rest = [F.struct(*(docs[c] for c in carried)).alias("rest")] if carried else []
+    return docs.select(key.alias("doc_id"), text.alias("text"), *rest)
 
 
 def repeated_anchors(docs: DataFrame, make: MakeRuns) -> DataFrame:

@@ -15,9 +15,11 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from refrain.llm.common import map_batches, stored
 from refrain.llm.repeats import keyed_texts, settle_runs, starts_of, with_runs
@@ -232,7 +234,8 @@ def _columns(rows: list[tuple], names: list[str]) -> dict[str, list]:
 
 
 def remove_repeats(
-    docs: DataFrame, width: int = WIDTH, gram: int = GRAM, max_group: int = MAX_GROUP, with_text: bool = False
+    docs: DataFrame, width: int = WIDTH, gram: int = GRAM, max_group: int = MAX_GROUP,
+    with_text: bool = False, carried: list[str] | None = None,
 ) -> DataFrame:
     """Bytes left in each document when repeated byte strings are removed.
 
@@ -242,9 +245,12 @@ def remove_repeats(
     ``n_spans`` (maximal removed runs), ``kept_sha256`` and with ``with_text`` the
     ``kept`` bytes. NULL and empty texts have no bytes; NULL ids stay NULL; rows that
     repeat id and text are documents of their own, so each removes the other;
-    other columns of ``docs`` are ignored.
+    other columns of ``docs`` are ignored, but the ``carried`` ones come back in a
+    struct ``rest``.
     """
-    texts = keyed_texts(docs)
+    texts = keyed_texts(docs, carried)
+    rest = ["rest"] if carried else []
+    along = f", rest {texts.schema['rest'].dataType.simpleString()}" if carried else ""
     lists = settle_runs(texts, run_maker(width, gram), keep_first=False)
     names = [f.split()[0] for f in RESULT.split(", ")]
 
@@ -272,14 +278,15 @@ def remove_repeats(
             else:
                 found = _result(text.encode("utf-8", "surrogatepass"), spans, with_text)
                 rows.append((None,) * 5 + found)
-        return _columns(rows, ["text", "closed", "open", "hashes", "starts", *names])
+        made = _columns(rows, ["text", "closed", "open", "hashes", "starts", *names])
+        return made | {name: batch[name] for name in rest}
 
     half = stored(
         map_batches(
             with_runs(texts, lists), settle,
             f"text string, closed {_SPAN}, "
             "open array<struct<start:int,count:int,copies:bigint,contents:bigint,anchor:bigint>>, "
-            f"hashes array<bigint>, starts array<int>, {RESULT}",
+            f"hashes array<bigint>, starts array<int>, {RESULT}{along}",
         ),
         "half-done",
     )
@@ -323,12 +330,34 @@ def remove_repeats(
             )
             for text, closed, spans in zip(*(batch[c].to_pylist() for c in ("text", "closed", "spans")))
         ]
-        return _columns(rows, names)
+        return _columns(rows, names) | {name: batch[name] for name in rest}
 
     finished = map_batches(
-        waiting.select("doc_id", "text", "closed")
+        waiting.select("doc_id", "text", "closed", *rest)
         .join(spans, F.col("doc_id") == F.col("key"), "left").drop("key"),
-        finish, RESULT,
+        finish, RESULT + along,
     )
-    results = half.where("text IS NULL").select("doc_id", *names).unionByName(finished)
-    return results.select("doc_id.doc_id", *(names if with_text else names[:-1]))
+    results = half.where("text IS NULL").select("doc_id", *names, *rest).unionByName(finished)
+    return results.select("doc_id.doc_id", *(names if with_text else names[:-1]), *rest)
+
+
+def cut_repeats(docs: DataFrame, **options) -> DataFrame:
+    """``docs``, all columns, with repeated byte strings cut out of ``text``.
+
+    Where a cut falls inside a character its remaining bytes go too. ``n_chars``, if
+    there, is counted anew. Texts that are NULL stay NULL; a text that is cut out
+    whole is empty; no row is dropped.
+    """
+    carried = [c for c in docs.columns if c != "text"] + ["text_is_null"]
+    marked = docs.withColumn("text_is_null", F.col("text").isNull())
+    cut = remove_repeats(marked, with_text=True, carried=carried, **options)
+    text = F.when(~F.col("rest.text_is_null"), _whole_characters("kept"))
+    columns = {c: F.col("rest")[c] for c in docs.columns if c != "text"} | {"text": text}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return cut.select(*(columns[c].alias(c) for c in docs.columns))
+
+
+@F.pandas_udf(StringType())
+def _whole_characters(kept: pd.Series) -> pd.Series:
+    return kept.map(lambda data: bytes(data).decode("utf-8", "ignore"))
