@@ -2,21 +2,50 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refrain.llm.common import stored
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges from each node to the smallest it reaches within its partition.
+
+    Connects the same nodes with at most one edge for each node and partition.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict[int, int] = {}
+
+        def top(node: int) -> int:
+            while (up := above.setdefault(node, node)) != node:
+                above[node] = node = above[up]
+            return node
+
+        for batch in batches:
+            for a, b in zip(*(batch[c].to_pylist() for c in ("a", "b"))):
+                a, b = top(a), top(b)
+                above[max(a, b)] = min(a, b)
+        rows = [(node, top(node)) for node in above]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows if r[0] != r[1]], pa.int64()) for i in (0, 1)], names=["a", "b"]
+        )
+
+    return edges.select("a", "b").mapInArrow(run, "a bigint, b bigint")
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
-    """The smallest of each node and its neighbours ``b``."""
-    return stored(
-        edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "smallest"
-    )
+    """The smallest of each node ``a`` and its neighbours ``b``."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    return stored(least.select("a", F.least("a", "m").alias("m")), "smallest")
+
+
+def _mark(edges: DataFrame) -> tuple:
+    """The number of edges and the sum of their hashes."""
+    return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,30 +54,21 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps: each node's larger, then its
     smaller neighbours are tied to the smallest node around it, until nothing
     changes. A step joins edges with one row per node; both sides are shuffled, so
-    a node with very many edges can be split. No edges: no rows.
+    a node with very many edges can be split. Edges from a node to itself count for
+    nothing; no edges: no rows.
     """
-    edges = stored(edges.where("a <> b").select("a", "b").distinct(), "edges")
+    edges = stored(_contracted(edges), "edges")
+    mark = None
     while True:
-        around = _both_ways(edges)
-        large = (
-            around.join(_smallest(around), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        )
-        large = stored(large.where("a <> b").distinct(), "large-star")
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        tied = down.join(_smallest(down), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        own = down.groupBy("a").agg(F.min("b").alias("b"))
-        small = stored(tied.unionAll(own).where("a <> b").distinct(), "small-star")
-        if not _differ(edges, small):
-            return small.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
-                small.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            )
-        edges = small
-
-
-def _differ(old: DataFrame, new: DataFrame) -> bool:
-    """Whether two sets of edges differ, by their number and sum of hashes."""
-    marks = [
-        edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        for edges in (old, new)
-    ]
-    return marks[0] != marks[1]
+        around = edges.unionAll(edges.select("b", "a"))
+        large = around.join(_smallest(around), "a").where("b > a AND b <> m")
+        # From the larger node to the smaller.
+        large = stored(large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
+        own = large.groupBy("a").agg(F.min("b").alias("b"))
+        tied = large.join(_smallest(large), "a").where("b <> m")
+        tied = tied.select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = stored(tied.unionAll(own).distinct(), "small-star")
+        before, mark = mark, _mark(edges)
+        if mark == before:
+            heads = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(heads)

@@ -342,7 +342,8 @@ def linked_classes(
     pairs = stored(_candidates(near, similarity, across=False), "near-pairs")
     texts = stored(_texts_of(docs, words, pairs), "class-texts")
     links = stored(_verified(pairs, texts, words, similarity), "links")
-    label = stored(_labelled(classes, components(links)), "labels")
+    found = stored(components(links), "components")
+    label = stored(_labelled(classes, found), "labels")
 
     # Keys under which several components meet; all rows but those of the most
     # frequent one ask, each in every block of the key.
@@ -376,9 +377,12 @@ def linked_classes(
     )
     across = _candidates(told.unionByName(asking), similarity, across=True)
     across = stored(across.join(pairs, ["a", "b"], "left_anti"), "far-pairs")
-    more_texts = stored(_texts_of(docs, words, across), "more-texts")
-    links = links.unionByName(_verified(across, more_texts, words, similarity))
-    return components(links).select(F.col("node").alias("class"), F.col("component").alias("label"))
+    if not across.isEmpty():
+        more_texts = stored(_texts_of(docs, words, across), "more-texts")
+        more = _verified(across, more_texts, words, similarity)
+        tied = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = components(tied.unionByName(more))
+    return found.select(F.col("node").alias("class"), F.col("component").alias("label"))
 
 
 def _texts_of(docs: DataFrame, words: int, pairs: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,14 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from refrain.llm.common import map_batches, stored
-from refrain.llm.repeats import keyed_texts, settle_runs, starts_of, with_runs
-from refrain.llm.spans import RangeHash, Runs, Texts, anchored_runs, byte_codes, chunks
+from refrain.llm.repeats import keyed_texts, settle_runs, with_runs
+from refrain.llm.spans import RangeHash, Runs, Texts, anchored_runs, byte_codes
 
 WIDTH = 200
 #: Bytes of a gram; the smallest gram hash anchors a window.
 GRAM = 32
-#: Anchors with more different runs are settled window by window, by hashes that
-#: Spark counts, so that no group grows without bound.
+#: Anchors with more different runs are split by longer common parts of their
+#: windows until no group is larger.
 MAX_GROUP = 500
 #: Bytes of text in one suffix array; whole groups are put together up to this.
 ARRAY_BYTES = 1 << 18
@@ -212,6 +213,88 @@ def _repeats_by_anchor(open_texts: DataFrame, width: int) -> DataFrame:
     )
 
 
+def _anchor_place(data: bytes, anchor: int, gram: int) -> int:
+    """Where in a run its anchor starts."""
+    place = np.arange(len(data) - gram + 1)
+    hashes = RangeHash(byte_codes(np.frombuffer(data, np.uint8)))(place, place + gram)
+    return int(np.argmax(hashes.view(np.int64) == anchor))
+
+
+def _split_groups(
+    rows: DataFrame, width: int, gram: int, max_group: int
+) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Large groups split until each has at most ``max_group`` different runs.
+
+    A window is told by how many bytes ``i`` it starts before its anchor. Each step
+    halves the range of i of a group; all windows of a half share its core, the
+    bytes that every one of them has, so equal windows stay together when the
+    core's hash joins the key. Rows under a key of their own hold no repeat and go;
+    equal rows repeat as a whole. In a range of one the core is the window, so the
+    halving ends. ``rows`` has ``doc_id``, ``anchor``, ``start``, ``at`` (the anchor's
+    place) and ``bytes``. Returns spans that repeat as a whole, and small groups.
+    """
+    whole, small = [], []
+    rows = rows.select("doc_id", F.col("anchor").alias("key"), "start", "at", "bytes")
+    rows = rows.withColumn("low", F.lit(0)).withColumn("high", F.lit(width - gram))
+    while not rows.isEmpty():
+        middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+        halves = rows.withColumn(
+            "half",
+            F.explode(
+                F.array(
+                    F.struct(F.col("low").alias("x"), middle.alias("y")),
+                    F.struct((middle + 1).alias("x"), F.col("high").alias("y")),
+                )
+            ),
+        ).where("half.x <= half.y")
+        first = F.greatest("half.x", F.col("at") - F.length("bytes") + width)  # the nearest window
+        last = F.least("half.y", F.col("at"))
+        halves = (
+            halves.withColumn("near", first).withColumn("far", last).where("near <= far")
+            .select(
+                "doc_id", "key", (F.col("start") + F.col("at") - F.col("far")).alias("start"),
+                F.col("far").alias("at"), F.col("half.x").alias("low"), F.col("half.y").alias("high"),
+                F.substring("bytes", F.col("at") - F.col("far") + 1, F.col("far") - F.col("near") + width).alias("bytes"),
+            )
+            .withColumn(
+                "key",
+                F.xxhash64(
+                    "key", "low",
+                    F.substring("bytes", F.col("at") - F.col("low") + 1, width - F.col("high") + F.col("low")),
+                ),
+            )
+            .withColumn("content", F.xxhash64("at", "bytes"))
+        )
+        halves = stored(halves, "halves")
+        contents = stored(
+            halves.groupBy("key", "content").agg(
+                F.count("*").alias("copies"), F.min(F.struct("doc_id", "start")).alias("first")
+            ),
+            "half-contents",
+        )
+        sizes = stored(contents.groupBy("key").agg(F.count("*").alias("contents")), "half-sizes")
+        copied = contents.where("copies > 1").select("key", "content")
+        whole.append(
+            halves.join(copied, ["key", "content"], "left_semi").select(
+                "doc_id", "start", F.length("bytes").alias("length")
+            )
+        )
+        told = halves.join(contents, ["key", "content"]).where(F.struct("doc_id", "start") == F.col("first"))
+        told = told.join(sizes.where("contents > 1"), "key").select(*halves.columns, "contents")
+        small.append(
+            told.where(F.col("contents") <= max_group).select(
+                "doc_id", F.col("key").alias("anchor"), "start", "bytes"
+            )
+        )
+        rows = stored(
+            told.where(F.col("contents") > max_group).select(
+                "doc_id", "key", "start", "at", "bytes", "low", "high"
+            ),
+            "large-halves",
+        )
+    return whole, small
+
+
 RESULT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
 _SPAN = "array<struct<start:int,length:int>>"
 
@@ -255,30 +338,18 @@ def remove_repeats(
     names = [f.split()[0] for f in RESULT.split(", ")]
 
     def settle(batch: pa.RecordBatch) -> dict:
-        """Results of documents without open runs; the runs and windows to look at
-        in the others."""
-        data, opened = batch["text"].to_pylist(), batch["open"].to_pylist()
-        waiting = [i for i, runs in enumerate(opened) if runs]
-        hashes, starts = {}, {}
-        for first, chunk in chunks([data[i] for i in waiting]):
-            joined = Texts.join(chunk)
-            ranges = RangeHash(byte_codes(joined.data))
-            for j in range(len(chunk)):
-                i = waiting[first + j]
-                starts[i] = starts_of([r for r in opened[i] if r["contents"] > max_group])
-                at = starts[i] + joined.begin[j]
-                hashes[i] = ranges(at, at + width).view(np.int64)
+        """Results of documents without open runs; the others wait."""
         rows = []
-        for i, (text, closed) in enumerate(zip(data, batch["closed"].to_pylist())):
+        columns = (batch[c].to_pylist() for c in ("text", "closed", "open"))
+        for text, closed, opened in zip(*columns):
             spans = [(r["start"], r["count"] - 1 + width) for r in closed or []]
-            if i in hashes:
-                small = [r for r in opened[i] if r["contents"] <= max_group]
-                held = [dict(zip(("start", "length"), s)) for s in spans]
-                rows.append((text, held, small, hashes[i], starts[i]) + (None,) * len(names))
+            if opened:
+                held = [{"start": a, "length": n} for a, n in spans]
+                rows.append((text, held, opened) + (None,) * len(names))
             else:
                 found = _result(text.encode("utf-8", "surrogatepass"), spans, with_text)
-                rows.append((None,) * 5 + found)
-        made = _columns(rows, ["text", "closed", "open", "hashes", "starts", *names])
+                rows.append((None,) * 3 + found)
+        made = _columns(rows, ["text", "closed", "open", *names])
         return made | {name: batch[name] for name in rest}
 
     half = stored(
@@ -286,7 +357,7 @@ def remove_repeats(
             with_runs(texts, lists), settle,
             f"text string, closed {_SPAN}, "
             "open array<struct<start:int,count:int,copies:bigint,contents:bigint,anchor:bigint>>, "
-            f"hashes array<bigint>, starts array<int>, {RESULT}{along}",
+            f"{RESULT}{along}",
         ),
         "half-done",
     )
@@ -295,29 +366,25 @@ def remove_repeats(
     def cut(batch: pa.RecordBatch) -> dict:
         rows = []
         for i, (text, runs) in enumerate(zip(batch["text"].to_pylist(), batch["open"].to_pylist())):
-            data = text.encode("utf-8", "surrogatepass") if runs else b""
-            rows += [
-                (i, r["anchor"], r["start"], data[r["start"] : r["start"] + r["count"] - 1 + width])
-                for r in runs
-            ]
-        return _columns(rows, ["row", "anchor", "start", "bytes"])
+            data = text.encode("utf-8", "surrogatepass")
+            for r in runs:
+                part = data[r["start"] : r["start"] + r["count"] - 1 + width]
+                large = r["contents"] > max_group
+                at = _anchor_place(part, r["anchor"], gram) if large else 0
+                rows.append((i, r["anchor"], large, r["start"], at, part))
+        return _columns(rows, ["row", "anchor", "large", "start", "at", "bytes"])
 
     open_texts = map_batches(
-        waiting.select("doc_id", "text", "open"), cut, "anchor bigint, start int, bytes binary"
-    )
-    repeats = _repeats_by_anchor(open_texts, width).select("doc_id", "start", "length")
-
-    windows = waiting.select(
-        "doc_id", F.explode(F.arrays_zip("hashes", "starts")).alias("w")
-    ).select("doc_id", F.col("w.hashes").alias("hash"), F.col("w.starts").alias("start"))
-    twice = stored(
-        windows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "hot-windows"
-    )
-    hot = windows.join(twice, "hash", "left_semi").select(
-        "doc_id", "start", F.lit(width).alias("length")
+        waiting.select("doc_id", "text", "open"), cut,
+        "anchor bigint, large boolean, start int, at int, bytes binary",
     )
+    large = stored(open_texts.where("large").drop("large"), "large-groups")
+    groups = [open_texts.where("NOT large").select("doc_id", "anchor", "start", "bytes")]
+    whole, split = _split_groups(large, width, gram, max_group)
+    repeats = _repeats_by_anchor(reduce(DataFrame.unionByName, groups + split), width)
     spans = (
-        repeats.unionByName(hot).groupBy(F.col("doc_id").alias("key"))
+        reduce(DataFrame.unionByName, [repeats.select("doc_id", "start", "length"), *whole])
+        .groupBy(F.col("doc_id").alias("key"))
         .agg(F.collect_list(F.struct("start", "length")).alias("spans"))
     )
 
