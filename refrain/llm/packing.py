@@ -29,6 +29,8 @@ from refrain.llm.common import map_texts
 CAPACITY = 2048
 #: Pieces packed together; a constant, so that a task's work does not grow.
 BLOCK_PIECES = 16_384
+#: Pairs of bins that the local search of a block looks at, at most.
+MOST_TRIES = 300_000
 #: Written after every document.
 END_ID = 0
 CACHED_CHUNKS = 300_000
@@ -159,41 +161,48 @@ def _exchange(lengths, giver, taker, room):
     return best if best[0] else None
 
 
-def improve(lengths: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
+def improve(
+    lengths: list[int], bins: list[list[int]], capacity: int, most_tries: int = MOST_TRIES
+) -> list[list[int]]:
     """Local search on the underfull bins; never returns more bins.
 
-    The emptiest bin gives to the bins with least room left, one exchange at a
-    time; each raises the sum of squared fills, so the search ends. It stops at
-    once when the room left adds up to less than a bin, as no packing is smaller
-    then.
+    In passes, each underfull bin, emptiest first, gives to fuller ones, fullest
+    first, one exchange at a time; each raises the sum of squared fills, so the
+    search ends. It stops when a pass changes nothing, after ``most_tries`` pairs of
+    bins, or when the room left adds up to less than a bin: then no packing is
+    smaller.
     """
+    bins = [list(b) for b in bins]
     fill = [sum(lengths[i] for i in b) for b in bins]
     open_bins = sorted((f, b) for b, f in enumerate(fill) if f < capacity)
-    spare = sum(capacity - f for f, _ in open_bins)
-    stuck: list[tuple[int, int]] = []
-    while spare >= capacity and len(open_bins) > 1:
-        _, giver = open_bins.pop(0)
-        moved = True
-        while moved and bins[giver]:
-            moved = False
-            at = bisect_right(open_bins, (fill[giver], -1))
-            for f, taker in reversed(open_bins[at:]):
-                found = _exchange(lengths, bins[giver], bins[taker], capacity - f)
-                if not found or f + found[0] <= fill[giver]:
-                    continue
-                gain, give, take = found
-                bins[giver] = [i for i in bins[giver] if i not in give] + list(take)
-                bins[taker] = [i for i in bins[taker] if i not in take] + list(give)
-                open_bins.remove((f, taker))
-                fill[giver], fill[taker] = fill[giver] - gain, f + gain
-                if fill[taker] < capacity:
-                    insort(open_bins, (fill[taker], taker))
-                moved = True
-                break
-        if bins[giver]:
-            stuck.append((fill[giver], giver))
-        else:
-            spare -= capacity
+    spare, tries, moved = sum(capacity - f for f, _ in open_bins), 0, True
+    while moved and spare >= capacity:
+        moved = False
+        for _, giver in list(open_bins):
+            while bins[giver] and fill[giver] < capacity and spare >= capacity:
+                open_bins.remove((fill[giver], giver))
+                above = bisect_right(open_bins, (fill[giver], len(bins)))
+                found = None
+                for f, taker in reversed(open_bins[above:]):
+                    tries += 1
+                    if tries > most_tries:
+                        return [b for b in bins if b]
+                    if found := _exchange(lengths, bins[giver], bins[taker], capacity - f):
+                        break
+                if found:
+                    gain, give, take = found
+                    bins[giver] = [i for i in bins[giver] if i not in give] + list(take)
+                    bins[taker] = [i for i in bins[taker] if i not in take] + list(give)
+                    open_bins.remove((fill[taker], taker))
+                    fill[giver], fill[taker], moved = fill[giver] - gain, fill[taker] + gain, True
+                    if fill[taker] < capacity:
+                        insort(open_bins, (fill[taker], taker))
+                if bins[giver]:
+                    insort(open_bins, (fill[giver], giver))
+                else:
+                    spare -= capacity
+                if not found:
+                    break
     return [b for b in bins if b]
 
 
