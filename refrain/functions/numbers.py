@@ -20,33 +20,37 @@ _LEADING_SPACE = rf"\A[{WIDE_SPACE}]*+"
 _INT_PREFIX = rf"{_LEADING_SPACE}([+-]?[0-9]+)"
 _DOUBLE_PREFIX = rf"{_LEADING_SPACE}([+-]?(?:Infinity|{_DECIMAL}))"
 
-# Integer literals with a prefix letter: base and the most digits
-# that surely fit 64 unsigned bits.
+# Integer literals with a prefix letter: base, bits of a digit and the
+# digits that 60 bits hold.
 _RADIX_LITERAL = r"\A0(?:[xX][0-9a-fA-F]+|[oO][0-7]+|[bB][01]+)\z"
-_RADIX = {"x": (16, 16), "o": (8, 21), "b": (2, 64)}
+_RADIX = {"x": (16, 4, 15), "o": (8, 3, 20), "b": (2, 1, 60)}
 
 
 def _radix_number(text: Column) -> Column:
+    """The nearest double of a literal of any length.
+
+    The first 60 bits are taken as a whole number whose last bit is set if any
+    later one is; it has more bits than a double, so rounding it once rounds the
+    whole literal rightly.
+    """
     letter = F.lower(F.substring(text, 2, 1))
     digits = F.ltrim(F.substring(text, 3, 2**31 - 1), F.lit("0"))
-    base, most = F.lit(None), F.lit(None)
-    for name, (radix, width) in _RADIX.items():
-        base = F.when(letter == name, F.lit(radix)).otherwise(base)
-        most = F.when(letter == name, F.lit(width)).otherwise(most)
-    value = F.call_function("conv", digits, base, F.lit(10)).try_cast("double")
-    return (
-        F.when(digits == "", F.lit(0.0))
-        .when(F.length(digits) > most, F.lit(float(2**64)))
-        .otherwise(value)
-    )
+    value = F.lit(None).cast("double")
+    for name, (radix, bits, width) in _RADIX.items():
+        rest = F.substring(digits, width + 1, 2**31 - 1)
+        head = F.call_function("conv", F.left(digits, F.lit(width)), F.lit(radix), F.lit(10))
+        sticky = F.when(rest.rlike("[^0]"), F.lit(1)).otherwise(F.lit(0)).cast("long")
+        whole = head.try_cast("long").bitwiseOR(sticky).cast("double")
+        scale = F.pow(F.lit(2.0), (bits * F.length(rest)).cast("double"))
+        value = F.when(letter == name, whole * scale).otherwise(value)
+    return F.when(digits == "", F.lit(0.0)).otherwise(value)
 
 
 def strict_number(c: Column) -> Column:
     """The number the whole text spells, NULL if it spells none.
 
-    Blank text is 0, and hexadecimal, octal and binary literals are read (beyond
-    64 bits they saturate at 2**64, which no comparison made here can tell
-    apart). The guards matter: a bare cast also accepts ``1.0d`` or ``inf`` and
+    Blank text is 0, and hexadecimal, octal and binary literals of any length are
+    read. The guards matter: a bare cast also accepts ``1.0d`` or ``inf`` and
     refuses blanks.
     """
     text = trim_wide(c)

@@ -1,133 +1,35 @@
 """Equi-joins that hold when one key has a large share of the rows.
 
-A right side that the optimizer will broadcast needs nothing special: hot keys
-only hurt when rows are shuffled by key. Beyond the broadcast threshold the
-left side is split by key:
-
-* *hot* keys, each with more rows than an average shuffle partition, are found
-  in one pass with a sketch of fixed size. Their number is bounded by the number
-  of partitions, so their right rows can be broadcast and the hot left rows are
-  never shuffled by the key;
-* all other keys go through an ordinary shuffle join.
-
-The sketch only chooses the route. Every row takes exactly one of the two, so
-the result is whole whatever the sketch says.
+Left rows are spread over salts by a hash of the whole row, and right rows are
+repeated once for each salt, so a hot key meets in as many tasks as there are
+salts. Everything is one lazy join with one scan of each side: Spark broadcasts a
+small right side as ever, and adaptive execution still splits a skewed partition,
+as both inputs of the shuffle join are plain exchanges.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# More hot keys than this are never looked for. It bounds the sketches, too.
-MAX_HOT_KEYS = 2_000
-
-# Tasks that merge sketches before the last one does.
-MERGE_BUCKETS = 256
-
-# Most rows broadcast for hot keys when the right side may repeat a key.
-MAX_BROADCAST_ROWS = 100_000
-
-
-class HotKeys(NamedTuple):
-    """Keys with more rows than an average shuffle partition."""
-
-    values: list
-    missing: bool  # rows without a key are that many, too
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a plan; no job is run."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size))  # py4j gives an int or a wrapped BigInt
-
+#: Parts that a hot key is spread over, and so how often the right side is written
+#: to the shuffle. A key with a share s of the left rows puts s / SALTS in a task.
+SALTS = 16
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's own threshold lets this side be broadcast."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return estimated_bytes(df) <= conf.autoBroadcastJoinThreshold()
+_SALT = "_salt"
 
 
-def hot_keys(df: DataFrame, key: str) -> HotKeys:
-    """Find the hot values of ``key`` in one pass over one column.
-
-    No hot key is missed: the sketches track eight times as many values as there
-    can be hot ones. Each task makes one, and they are merged in two steps so that
-    no single task has to read those of all others.
-    """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    most = max(1, min(partitions, MAX_HOT_KEYS))
-    tracked = F.lit(max(1_000, 8 * most))
-    sketches = (
-        df.select(F.col(key).alias("key"))
-        .withColumn("bucket", F.spark_partition_id() % MERGE_BUCKETS)
-        .groupBy("bucket")
-        .agg(
-            F.call_function("approx_top_k_accumulate", F.col("key"), tracked).alias("sketch"),
-            F.count("key").alias("present"),
-            F.count(F.lit(1)).alias("total"),
-        )
-    )
-    # Grouped, because there is no combining of no sketches at all.
-    merged = sketches.groupBy(F.lit(0).alias("all")).agg(
-        F.call_function("approx_top_k_combine", F.col("sketch"), tracked).alias("sketch"),
-        F.sum("present").alias("present"),
-        F.sum("total").alias("total"),
-    )
-    top = F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(most))
-    row = merged.select(top.alias("top"), "present", "total").first()
-    if row is None:
-        return HotKeys([], False)
-    hot = [
-        t["item"]
-        for t in row["top"]
-        if t["item"] is not None and t["count"] * most >= row["total"]
-    ]
-    return HotKeys(hot, (row["total"] - row["present"]) * most >= row["total"])
-
-
-def _split_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, hot: HotKeys
+def salted_join(
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", salts: int = SALTS
 ) -> DataFrame:
-    column = F.col(key)
-    is_hot = F.coalesce(column.isin(hot.values), F.lit(False))
-    # A missing key matches nothing, so in an outer join its row needs no
-    # shuffle. Inner and semi joins drop such rows before the shuffle anyway.
-    route = is_hot | column.isNull() if how == "left" else is_hot
-    broadcast = left.filter(route).join(F.broadcast(right.filter(is_hot)), key, how)
-    shuffled = left.filter(~route).join(right.filter(~is_hot), key, how)
-    return broadcast.unionByName(shuffled)
-
-
-def keyed_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
-    """``inner``, ``left`` or ``left_semi`` join to a side with unique keys.
-
-    The caller guarantees that ``right`` has at most one row per key (it is
-    distinct or aggregated); that is what bounds the broadcast.
-    """
-    if fits_broadcast(right):
-        return left.join(right, key, how)
-    hot = hot_keys(left, key)
-    if hot.values or (hot.missing and how == "left"):
-        return _split_join(left, right, key, how, hot)
-    return left.join(right, key, how)
-
-
-def pair_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join in which both sides may repeat a key.
+    """``inner``, ``left`` or ``left_semi`` join on ``key``; both sides may repeat it.
 
-    Every matching pair belongs to the result. Hot keys of the left are routed
-    around the shuffle when their right rows are counted to be few. Otherwise
-    both inputs of the shuffle join are plain exchanges, which lets adaptive
-    execution split a skewed partition of either side.
+    Right columns other than the key must have names of their own. Columns of map
+    type cannot be hashed and do not spread their rows.
     """
-    if fits_broadcast(right):
-        return left.join(right, key)
-    hot = hot_keys(left, key)
-    if hot.values:
-        matches = right.filter(F.col(key).isin(hot.values)).count()
-        if matches <= MAX_BROADCAST_ROWS:
-            return _split_join(left, right, key, "inner", hot)
-    return left.join(right, key)
+    hashed = [F.col(f"`{c}`") for c, kind in left.dtypes if not kind.startswith("map")]
+    spread = left.withColumn(_SALT, F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
+    if how == "left_semi":
+        right = right.select(key).distinct()
+    repeated = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return spread.join(repeated, [key, _SALT], how).drop(_SALT)

@@ -16,7 +16,7 @@ from refrain.functions.dates import clean_date, date_form, split_date
 from refrain.functions.lists import DROP, list_elements, list_kind
 from refrain.functions.numbers import strict_number
 from refrain.functions.text import trim_wide
-from refrain.operators.joins import keyed_join
+from refrain.operators.joins import salted_join
 from refrain.schemas import MIN_DURATION_MS
 
 
@@ -38,7 +38,8 @@ YEAR, MONTH, DAY = "release_year", "release_month", "release_day"
 LEVEL = "danceability_level"
 
 # Reasons for which an item is rejected, in the order they are tested.
-NO_NAME, BAD_NUMBER, TOO_SMALL, BAD_LIST = (
+LONG_ROW, NO_NAME, BAD_NUMBER, TOO_SMALL, BAD_LIST = (
+    "long_row",
     "no_name",
     "bad_number",
     "too_small",
@@ -46,6 +47,15 @@ NO_NAME, BAD_NUMBER, TOO_SMALL, BAD_LIST = (
 )
 
 
+# Column in which a reader says what is wrong with the shape of a row.
+ROW_FAULT = "row_fault"
+
+
+def optional_column(df: DataFrame, name: str) -> Column:
+    """A column that a dataset may lack; it then reads as blank."""
+    return F.col(name) if name in df.columns else F.lit("")
+
+
 def has_text(c: Column) -> Column:
     """Not missing and not blank."""
     return F.coalesce(trim_wide(c), F.lit("")) != ""
@@ -66,13 +76,13 @@ def minimum_number(df: DataFrame, column: str, minimum: float) -> DataFrame:
 
 def usable_list(df: DataFrame, column: str) -> DataFrame:
     """Drop rows whose list text is valid JSON but no list of texts."""
-    return df.filter(list_kind(F.col(column)) != DROP)
+    return df.filter(list_kind(optional_column(df, column)) != DROP)
 
 
 def with_date_parts(df: DataFrame, column: str = ITEM.date) -> DataFrame:
     """Append year, month and day text; columns of these names are replaced."""
     # The helper columns keep the clean-up and the matching to one evaluation.
-    staged = df.withColumn("_date", clean_date(F.col(column)))
+    staged = df.withColumn("_date", clean_date(optional_column(df, column)))
     staged = staged.withColumn("_form", date_form(F.col("_date")))
     parts = split_date(F.col("_date"), F.col("_form"))
     added = {YEAR: parts.year, MONTH: parts.month, DAY: parts.day}
@@ -86,8 +96,9 @@ def with_band(
     strict_lower: bool = False,
 ) -> DataFrame:
     """Append the label of a text score."""
-    staged = df.withColumn("_number", strict_number(F.col(column)))
-    label = band(F.col(column), F.col("_number"), strict_lower)
+    score = optional_column(df, column)
+    staged = df.withColumn("_number", strict_number(score))
+    label = band(score, F.col("_number"), strict_lower)
     return staged.withColumn(into, label).drop("_number")
 
 
@@ -99,15 +110,17 @@ def classify_items(
     """All rows with ``reject_reason``, NULL for a kept one, and ``list_kind``.
 
     The tests are made in order and the list is only looked at in rows that
-    passed the others; ``list_kind`` is NULL elsewhere.
+    passed the others; ``list_kind`` is NULL elsewhere. A row that the reader found
+    too long (``row_fault``) is rejected first.
     """
     number = F.col("_number")
     failed = (
-        F.when(~has_text(F.col(columns.name)), F.lit(NO_NAME))
+        F.when(optional_column(df, ROW_FAULT) == LONG_ROW, F.lit(LONG_ROW))
+        .when(~has_text(F.col(columns.name)), F.lit(NO_NAME))
         .when(number.isNull(), F.lit(BAD_NUMBER))
         .when(number < F.lit(float(min_duration)), F.lit(TOO_SMALL))
     )
-    kind = F.when(F.col("_failed").isNull(), list_kind(F.col(columns.ids)))
+    kind = F.when(F.col("_failed").isNull(), list_kind(optional_column(df, columns.ids)))
     bad_list = F.when(F.col("list_kind") == DROP, F.lit(BAD_LIST))
     return (
         df.withColumn("_number", strict_number(F.col(columns.duration)))
@@ -144,23 +157,19 @@ def rejected_items(
     min_duration: float = MIN_DURATION_MS,
     columns: ItemColumns = ITEM,
 ) -> DataFrame:
-    """The rows ``prepare_items`` leaves out, each with its ``reject_reason``.
-
-    They are selected before they are classified: a filter on the reason would
-    be copied below the projections and make all their work twice.
-    """
-    kept = (
-        has_text(F.col(columns.name))
-        & at_least(F.col(columns.duration), min_duration)
-        & (list_kind(F.col(columns.ids)) != DROP)
-    )
-    rejected = df.filter(~F.coalesce(kept, F.lit(False)))
-    return classify_items(rejected, min_duration, columns).drop("list_kind")
+    """The rows ``prepare_items`` leaves out, each with its ``reject_reason``."""
+    classified = classify_items(df, min_duration, columns).drop("list_kind")
+    return classified.filter(F.col("reject_reason").isNotNull())
 
 
 def exploded_ids(df: DataFrame, column: str = ITEM.ids) -> DataFrame:
-    """One row per non-blank id of each list text, trimmed, with repeats."""
-    kinds = df.select(F.col(column).alias("_ids"), list_kind(F.col(column)).alias("_kind"))
+    """One row per non-blank id of each list text, trimmed, with repeats.
+
+    A ``list_kind`` that ``classify_items`` has left is used, not found anew.
+    """
+    text = optional_column(df, column)
+    kind = F.col("list_kind") if "list_kind" in df.columns else list_kind(text)
+    kinds = df.select(text.alias("_ids"), kind.alias("_kind"))
     elements = list_elements(F.col("_ids"), F.col("_kind"))
     ids = kinds.select(F.explode(elements).alias("id"))
     return ids.select(trim_wide(F.col("id")).alias("id")).filter(F.col("id") != "")
@@ -174,6 +183,6 @@ def entity_ids(df: DataFrame, column: str = ITEM.ids) -> DataFrame:
 def prune_entities(entities: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     """Entities whose id is among ``ids``, unchanged, repeated rows included.
 
-    ``ids`` has one column of distinct values. The entity id is not trimmed.
+    ``ids`` has one column; its values may repeat. The entity id is not trimmed.
     """
-    return keyed_join(entities, ids.toDF(key), key, "left_semi")
+    return salted_join(entities, ids.toDF(key), key, "left_semi").select(*entities.columns)

@@ -6,13 +6,23 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from refrain.functions.lists import RAW
-from refrain.operators.prepare import BAD_LIST, BAD_NUMBER, NO_NAME, TOO_SMALL
+from refrain.operators.prepare import (
+    BAD_LIST,
+    BAD_NUMBER,
+    LONG_ROW,
+    NO_NAME,
+    ROW_FAULT,
+    TOO_SMALL,
+    optional_column,
+)
+from refrain.sources.csv import SHORT_ROW
 
-REASONS = (NO_NAME, BAD_NUMBER, TOO_SMALL, BAD_LIST)
+REASONS = (LONG_ROW, NO_NAME, BAD_NUMBER, TOO_SMALL, BAD_LIST)
 
 
 def observe_classified(df: DataFrame, observation: Observation) -> DataFrame:
-    """Count classified items: all, kept, rejected by reason, raw list texts kept."""
+    """Count classified items: all, kept, rejected by reason, raw list texts
+    kept, and short rows, whose missing fields read as blank."""
     reason = F.col("reject_reason")
     return df.observe(
         observation,
@@ -20,6 +30,7 @@ def observe_classified(df: DataFrame, observation: Observation) -> DataFrame:
         F.count_if(reason.isNull()).alias("kept"),
         *[F.count_if(reason == name).alias(name) for name in REASONS],
         F.count_if(F.col("list_kind") == RAW).alias("raw_lists"),
+        F.count_if(optional_column(df, ROW_FAULT) == SHORT_ROW).alias("short_rows"),
     )
 
 

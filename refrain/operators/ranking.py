@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Parts of a group ranked side by side before the final ranking.
+SALTS = 32
+
 
 def top_per_group(
     df: DataFrame,
@@ -19,19 +22,21 @@ def top_per_group(
     """The ``k`` rows of each group with the greatest measure.
 
     NULL measures come first and NULL is a group of its own. Ties are broken by
-    ``tie_break`` columns ascending. Catalyst turns the rank filter into a group
-    limit before the shuffle, so each task sends at most ``k`` rows per group
-    and a group with most of the rows costs no more than any other. That only
-    holds up to a configured ``k``; a greater one is refused.
+    ``tie_break`` columns ascending. Rows are ranked within SALTS parts of each group
+    first, so a group with most of the rows is sorted by many tasks and its last one
+    gets ``k`` rows from each. Up to a configured ``k`` Spark also limits the groups
+    before the shuffle; the result does not depend on that.
     """
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    limit = conf.windowGroupLimitThreshold()
-    if not 1 <= k <= limit:
-        raise ValueError(
-            f"k must be from 1 to {limit} (spark.sql.window.group.limit.threshold)"
-        )
+    if k < 1:
+        raise ValueError("k must be at least 1")
     order = [F.desc_nulls_first(measure), *[F.asc_nulls_last(c) for c in tie_break]]
-    window = Window.partitionBy(group).orderBy(*order)
     name = rank or "_rank"
-    ranked = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
+
+    def best(rows: DataFrame, *keys: str) -> DataFrame:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        return rows.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
+
+    salt = F.pmod(F.xxhash64(measure, *tie_break), F.lit(SALTS))
+    part = best(df.withColumn("_part", salt), group, "_part").drop("_part", name)
+    ranked = best(part, group)
     return ranked if rank else ranked.drop(name)

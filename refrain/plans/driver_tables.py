@@ -95,6 +95,11 @@ TYPED_ITEMS = {
         WHEN l_linenumber < 4 THEN '' END""",
 }
 
+# The same with a third of the rows belonging to one entity alone.
+HOT_ITEMS = TYPED_ITEMS | {
+    "members": f"CASE WHEN l_suppkey % 3 = 0 THEN 'p1' ELSE {TYPED_ITEMS['members']} END"
+}
+
 # Typed entities: (table, filter, columns). Some parts come twice.
 TYPED_ENTITIES = (
     (
@@ -185,8 +190,10 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(table(spark, sf_dir, "lineitem"), RAW_ITEMS)
 
 
-def typed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _select(table(spark, sf_dir, "lineitem"), TYPED_ITEMS)
+def typed_items(
+    spark: SparkSession, sf_dir: str, columns: dict[str, str] = TYPED_ITEMS
+) -> DataFrame:
+    df = _select(table(spark, sf_dir, "lineitem"), columns)
     no_elements = F.array().cast("array<string>")
     elements = F.when(F.col("members") == "", no_elements).otherwise(
         F.split("members", r"\|")
@@ -205,4 +212,5 @@ def typed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_ITEMS_SQL = _select_sql(RAW_ITEMS, "lineitem")
 TYPED_ITEMS_SQL = _select_sql(TYPED_ITEMS, "lineitem")
 RAW_ENTITIES_SQL = _union_sql(RAW_ENTITIES)
+HOT_ITEMS_SQL = _select_sql(HOT_ITEMS, "lineitem")
 TYPED_ENTITIES_SQL = _union_sql(TYPED_ENTITIES)

@@ -9,20 +9,24 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from refrain.functions.lists import RAW
 from refrain.operators.prepare import (
+    ITEM,
+    ROW_FAULT,
     append_item_columns,
     classify_items,
     entity_ids,
     prune_entities,
-    rejected_items,
 )
 from refrain.operators.quality import observe_classified, observe_rows
 from refrain.plans.views import ENTITIES_TABLE, ITEMS_TABLE
 from refrain.schemas import MIN_DURATION_MS
+from refrain.session import scratch_path
 from refrain.sinks.csv import write_csv
 from refrain.sinks.publish import WRITERS, publish_all
 from refrain.sinks.tables import LoadReport, load_table
-from refrain.sources.csv import read_prepared, read_raw
+from refrain.sources.csv import read_prepared, read_raw, text_schema
+from refrain.sources.versions import current
 
 log = logging.getLogger(__name__)
 
@@ -33,18 +37,20 @@ class PrepareReport:
 
     rows: int
     kept: int
+    long_row: int
     no_name: int
     bad_number: int
     too_small: int
     bad_list: int
     raw_lists: int
+    short_rows: int
     entities: int
 
 
 def _read_hop(spark: SparkSession, path: str, fmt: str, multi_line: bool) -> DataFrame:
     """A dataset that one of these jobs has written: every field text."""
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        return spark.read.parquet(current(spark, path))
     return read_prepared(spark, path, multi_line)
 
 
@@ -59,6 +65,13 @@ def transform_csv(
     write_csv(read_raw(spark, source, multi_line).transform(fn), target)
 
 
+def _or_empty(df: DataFrame, columns: list[str]) -> DataFrame:
+    """An empty file has no header; it counts as a dataset without rows."""
+    if df.columns:
+        return df
+    return df.sparkSession.createDataFrame([], text_schema(columns))
+
+
 def prepare_catalogue(
     spark: SparkSession,
     items_source: str,
@@ -67,34 +80,42 @@ def prepare_catalogue(
     entities_target: str,
     min_duration: float = MIN_DURATION_MS,
     multi_line: bool = False,
-    fmt: str = "csv",
+    fmt: str = "parquet",
     rejects_target: str | None = None,
+    raw_lists_target: str | None = None,
 ) -> PrepareReport:
     """Prepare the items, then keep the entities that kept items refer to.
 
-    The prepared items are written once and their ids read back from there, so
-    the raw items are scanned once; with ``fmt="parquet"`` only the id column is
-    read back. Rejected items, each with its reason, are written only if they
-    have a target; that takes another scan. If a step fails the next is not
-    begun, and the error is raised.
+    The raw items are scanned and classified once: all rows with what was found go
+    to a scratch dataset in Parquet, and the kept items, the ids, and on request the
+    rejected items with their reasons and the kept items whose list is raw text are
+    taken from there. Rows with more fields than the header are rejected, columns
+    that the raw items lack read as blank, empty files count as no rows. If a step
+    fails the next is not begun, the error is raised, and the targets keep what
+    they had. The targets are Parquet; ``fmt="csv"`` makes them CSV.
     """
     write = WRITERS[fmt]
     item_counts, entity_counts = Observation(), Observation()
-    raw = read_raw(spark, items_source, multi_line)
-    classified = classify_items(raw, min_duration)
-    kept = (
-        observe_classified(classified, item_counts)
-        .filter(F.col("reject_reason").isNull())
-        .drop("reject_reason", "list_kind")
+    raw = _or_empty(
+        read_raw(spark, items_source, multi_line, faults=ROW_FAULT), ["id", ITEM.name, ITEM.duration]
     )
-    write(append_item_columns(kept), items_target)
+    classified = observe_classified(classify_items(raw, min_duration), item_counts)
+    found = [c for c in (ROW_FAULT, "reject_reason", "list_kind") if c in classified.columns]
+    scratch = scratch_path(spark, "classified")
+    classified.write.parquet(scratch)
+    rows = spark.read.schema(classified.schema).parquet(scratch)
+    kept = rows.filter(F.col("reject_reason").isNull())
+    write(append_item_columns(kept.drop(*found)), items_target)
     log.info("prepared items written to %s", items_target)
 
     if rejects_target:
-        write(rejected_items(raw, min_duration), rejects_target)
+        rejects = rows.filter(F.col("reject_reason").isNotNull())
+        write(rejects.drop(ROW_FAULT, "list_kind"), rejects_target)
+    if raw_lists_target:
+        write(kept.filter(F.col("list_kind") == RAW).drop(*found), raw_lists_target)
 
-    ids = entity_ids(_read_hop(spark, items_target, fmt, multi_line))
-    entities = prune_entities(read_raw(spark, entities_source, multi_line), ids)
+    entities = _or_empty(read_raw(spark, entities_source, multi_line), ["id"])
+    entities = prune_entities(entities, entity_ids(kept))
     write(observe_rows(entities, entity_counts), entities_target)
     log.info("kept entities written to %s", entities_target)
     return PrepareReport(**item_counts.get, entities=entity_counts.get["rows"])
@@ -108,12 +129,13 @@ def publish_catalogue(
     entities_uri: str,
     multi_line: bool = False,
     fmt: str = "csv",
+    prepared_fmt: str = "parquet",
 ) -> None:
-    """Publish both prepared datasets at the same time."""
+    """Publish both prepared datasets at the same time, by default as CSV."""
     publish_all(
         {
-            items_uri: _read_hop(spark, items_path, fmt, multi_line),
-            entities_uri: _read_hop(spark, entities_path, fmt, multi_line),
+            items_uri: _read_hop(spark, items_path, prepared_fmt, multi_line),
+            entities_uri: _read_hop(spark, entities_path, prepared_fmt, multi_line),
         },
         fmt,
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from refrain.functions.text import WIDE_SPACE
 from refrain.plans.driver_tables import (
+    HOT_ITEMS_SQL,
     RAW_ENTITIES_SQL,
     RAW_ITEMS_SQL,
     TYPED_ENTITIES_SQL,
@@ -100,9 +101,17 @@ def array_body(x: str) -> str:
     return f"replace({inner}, '''', '')"
 
 
-# Items with the view's reading of their member lists, one row per member.
-MEMBERS = f"""
-    items AS ({TYPED_ITEMS_SQL}),
+def list_text(x: str) -> str:
+    """Elements of a list text without commas inside elements, with | between."""
+    body = rf"trim({array_body(x)})"
+    return rf"""CASE WHEN {x} <> '' THEN
+        replace(regexp_replace({body}, '\s*,\s*', '|', 'g'), '"', '') END"""
+
+
+def members(items: str) -> str:
+    """Items with the view's reading of their member lists, one row per member."""
+    return f"""
+    items AS ({items}),
     entities AS ({TYPED_ENTITIES_SQL}),
     listed AS (
         SELECT *, {marks("replace(members, '|', ',')")} AS listed_text FROM items
@@ -118,6 +127,10 @@ MEMBERS = f"""
     )
 """
 
+
+MEMBERS = members(TYPED_ITEMS_SQL)
+HOT_MEMBERS = members(HOT_ITEMS_SQL)
+
 _RAW_COLUMNS = (
     "id, name, popularity, duration_ms, explicit, id_artists, release_date, "
     "danceability, energy"

@@ -29,7 +29,7 @@ from refrain.functions import (
 )
 from refrain.functions.bands import band_number
 from refrain.functions.text import WIDE_SPACE
-from refrain.operators.joins import keyed_join, pair_join
+from refrain.operators.joins import salted_join
 from refrain.operators.prepare import (
     classify_items,
     entity_ids,
@@ -47,6 +47,7 @@ from refrain.operators.typed import typed_projection
 from refrain.operators.unnest import unnest_list
 from refrain.plans import jobs, oracle, views
 from refrain.plans.driver_tables import (
+    HOT_ITEMS,
     RAW_ITEMS,
     RAW_ITEMS_SQL,
     raw_entities,
@@ -57,7 +58,7 @@ from refrain.plans.driver_tables import (
 )
 from refrain.session import scratch_path
 from refrain.sinks import load_table, publish_all, write_csv
-from refrain.sources import read_prepared, read_raw
+from refrain.sources import current, read_prepared, read_raw
 from refrain.streaming import stream_raw_csv, write_prepared_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,18 +81,77 @@ def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
 # --- the three views --------------------------------------------------------
 
 
-@query(
-    f"""WITH {oracle.MEMBERS}
+def _summary_sql(members: str) -> str:
+    return f"""WITH {members}
     SELECT m.id AS track_id, m.name, m.popularity, m.energy,
         m.danceability_level AS danceability,
         CAST(coalesce(sum(e.followers), 0) AS BIGINT) AS artist_followers
     FROM outer_members m LEFT JOIN entities e ON e.id = m.member
     GROUP BY m.id, m.name, m.popularity, m.energy, m.danceability_level"""
-)
+
+
+def _pairs_sql(members: str) -> str:
+    return f"""WITH {members}
+    SELECT e.id AS artist_id, e.name AS artist_name, m.id AS track_id, m.name AS track_name
+    FROM inner_members m JOIN entities e ON e.id = m.member
+    WHERE coalesce(e.followers, 0) > 0"""
+
+
+@query(_summary_sql(oracle.MEMBERS))
 def item_entity_sum(spark, sf_dir):
     return views.track_summary(typed_items(spark, sf_dir), typed_entities(spark, sf_dir))
 
 
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+def _run_with(spark, settings: dict[str, str], make) -> DataFrame:
+    """The rows of ``make()``, worked out under other settings, which are put back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    path = scratch_path(spark, "worked-out")
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        make().write.parquet(path)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+    return spark.read.parquet(path)
+
+
+@query(_summary_sql(oracle.HOT_MEMBERS))
+def hot_entity_sum(spark, sf_dir):
+    """A third of the items belong to one entity, and nothing is broadcast."""
+    items, entities = typed_items(spark, sf_dir, HOT_ITEMS), typed_entities(spark, sf_dir)
+    return _run_with(spark, NO_BROADCAST, lambda: views.track_summary(items, entities))
+
+
+@query(_pairs_sql(oracle.HOT_MEMBERS))
+def hot_entity_pairs(spark, sf_dir):
+    items, entities = typed_items(spark, sf_dir, HOT_ITEMS), typed_entities(spark, sf_dir)
+    return _run_with(spark, NO_BROADCAST, lambda: views.artist_track_summary(items, entities))
+
+
+@query(
+    f"""WITH {oracle.HOT_MEMBERS} SELECT id, member FROM inner_members
+    WHERE member IN (SELECT id FROM entities WHERE followers > 0)"""
+)
+def hot_entity_semi(spark, sf_dir):
+    items = typed_items(spark, sf_dir, HOT_ITEMS).select("id", "id_artists")
+    members = unnest_list(items, "id_artists", "member")
+    wanted = typed_entities(spark, sf_dir).filter("followers > 0").select(F.col("id").alias("member"))
+    return _run_with(
+        spark, NO_BROADCAST,
+        lambda: salted_join(members, wanted, "member", "left_semi").select("id", "member"),
+    )
+
+
 def _orders_as_items(spark, sf_dir, energy="o_totalprice"):
     return table(spark, sf_dir, "orders").selectExpr(
         "cast(year(o_orderdate) AS int) AS release_year",
@@ -132,24 +192,29 @@ def top_items_per_year(spark, sf_dir):
     return ranked.drop("name")
 
 
-@query(
-    f"""WITH {oracle.MEMBERS}
-    SELECT e.id AS artist_id, e.name AS artist_name, m.id AS track_id, m.name AS track_name
-    FROM inner_members m JOIN entities e ON e.id = m.member
-    WHERE coalesce(e.followers, 0) > 0"""
-)
+@query(_top_sql(k=2000, columns="release_year, track_id, energy, place"))
+def top_many_per_year(spark, sf_dir):
+    items = _orders_as_items(spark, sf_dir).withColumnRenamed("id", "track_id")
+    ranked = top_per_group(items, "release_year", "energy", ["track_id"], 2000, "place")
+    return ranked.drop("name")
+
+
+@query(_top_sql())
+def top_item_unlimited_groups(spark, sf_dir):
+    """With Spark's own group limit switched off."""
+    settings = {"spark.sql.optimizer.windowGroupLimitThreshold": "-1"}
+    items = _orders_as_items(spark, sf_dir)
+    return _run_with(spark, settings, lambda: views.most_energising_track_per_year(items))
+
+
+@query(_pairs_sql(oracle.MEMBERS))
 def entity_item_pairs_unnest(spark, sf_dir):
     return views.artist_track_summary(
         typed_items(spark, sf_dir), typed_entities(spark, sf_dir)
     )
 
 
-@query(
-    f"""WITH {oracle.MEMBERS}
-    SELECT e.id AS artist_id, e.name AS artist_name, m.id AS track_id, m.name AS track_name
-    FROM inner_members m JOIN entities e ON e.id = m.member
-    WHERE coalesce(e.followers, 0) > 0"""
-)
+@query(_pairs_sql(oracle.MEMBERS))
 def named_view_pairs(spark, sf_dir):
     views.create_views(spark, typed_items(spark, sf_dir), typed_entities(spark, sf_dir))
     return spark.sql(f"SELECT * FROM {views.PAIRS_VIEW}")
@@ -167,7 +232,7 @@ def entity_item_pairs(spark, sf_dir):
         F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice"
     )
     customers = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 0)
-    pairs = pair_join(orders, customers.select("c_custkey", "c_name"), "c_custkey")
+    pairs = salted_join(orders, customers.select("c_custkey", "c_name"), "c_custkey")
     return pairs.select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
 
 
@@ -198,7 +263,7 @@ def member_followers(spark, sf_dir):
         .groupBy(F.col("id").alias("member"))
         .agg(F.sum("followers").alias("followers"))
     )
-    joined = keyed_join(unnest_outer(spark, sf_dir), audience, "member", "left")
+    joined = salted_join(unnest_outer(spark, sf_dir), audience, "member", "left")
     return joined.select("id", "member", "followers")
 
 
@@ -460,6 +525,14 @@ def empty_as_null(spark, sf_dir):
 
 # --- typed load ---------------------------------------------------------------
 
+_TYPED_ENTITIES_SQL = f"""WITH entities AS ({oracle.RAW_ENTITIES_SQL})
+    SELECT id, {oracle.integer("followers")} AS followers,
+        CASE WHEN genres = '[]' THEN ''
+             ELSE regexp_replace({oracle.array_body("genres")}, ', "(.*), its"', '|\\1, its')
+        END AS genres,
+        name, {oracle.integer("popularity")} AS popularity
+    FROM entities"""
+
 
 def _typed_sql(source: str, more: str = "") -> str:
     return f"""SELECT nullif(id, '') AS id, nullif(name, '') AS name,
@@ -471,20 +544,17 @@ def _typed_sql(source: str, more: str = "") -> str:
         {oracle.double("energy")} AS energy{more} FROM {source}"""
 
 
-@query(f"WITH raw AS ({RAW_ITEMS_SQL}) {_typed_sql('raw')}", name="typed_projection")
+@query(
+    f"WITH raw AS ({RAW_ITEMS_SQL}) "
+    + _typed_sql("raw", f", {oracle.list_text('id_artists')} AS id_artists"),
+    name="typed_projection",
+)
 def typed_columns(spark, sf_dir):
-    return typed_projection(raw_items(spark, sf_dir).drop("id_artists"))
+    typed = typed_projection(raw_items(spark, sf_dir))
+    return typed.withColumn("id_artists", F.array_join("id_artists", "|"))
 
 
-@query(
-    f"""WITH entities AS ({oracle.RAW_ENTITIES_SQL})
-    SELECT id, {oracle.integer("followers")} AS followers,
-        CASE WHEN genres = '[]' THEN ''
-             ELSE regexp_replace({oracle.array_body("genres")}, ', "(.*), its"', '|\\1, its')
-        END AS genres,
-        name, {oracle.integer("popularity")} AS popularity
-    FROM entities"""
-)
+@query(_TYPED_ENTITIES_SQL)
 def typed_lists(spark, sf_dir):
     typed = typed_projection(raw_entities(spark, sf_dir))
     return typed.withColumn("genres", F.array_join("genres", "|"))
@@ -498,9 +568,20 @@ def prepared_items(spark, sf_dir):
     return prepare_items(raw_items(spark, sf_dir))
 
 
+@query(
+    f"""WITH raw AS ({RAW_ITEMS_SQL})
+    SELECT id, name, duration_ms, '' AS release_year, '' AS release_month,
+        '' AS release_day, '' AS danceability_level
+    FROM raw WHERE NOT {oracle.blank("name")} AND {oracle.number("duration_ms")} >= 60000"""
+)
+def prepare_without_optional(spark, sf_dir):
+    return prepare_items(raw_items(spark, sf_dir).select("id", "name", "duration_ms"))
+
+
 @query(f"WITH {oracle.PREPARED} SELECT * FROM kept_entities")
 def prepare_then_prune(spark, sf_dir):
-    ids = entity_ids(prepare_items(raw_items(spark, sf_dir)))
+    classified = classify_items(raw_items(spark, sf_dir).select("name", "duration_ms", "id_artists"))
+    ids = entity_ids(classified.filter(F.col("reject_reason").isNull()))
     return prune_entities(raw_entities(spark, sf_dir), ids)
 
 
@@ -534,12 +615,15 @@ def csv_round_trip(spark, sf_dir):
     return read_raw(spark, path)
 
 
-@query("SELECT concat(doc_id) AS doc_id, text, lang, source FROM documents")
+@query(
+    """SELECT concat(doc_id) AS doc_id, text, lang, source, concat(n_chars) AS n_chars
+    FROM documents"""
+)
 def csv_round_trip_multi_line(spark, sf_dir):
     path = scratch_path(spark, "documents-csv")
     documents = table(spark, sf_dir, "documents")
-    doc_id = F.col("doc_id").cast("string").alias("doc_id")
-    write_csv(documents.select(doc_id, "text", "lang", "source"), path)
+    texts = [F.col(c).cast("string").alias(c) for c in ("doc_id", "text", "lang", "source", "n_chars")]
+    write_csv(documents.select(*texts), path)
     return read_raw(spark, path, multi_line=True)
 
 
@@ -560,41 +644,132 @@ def csv_row_transform(spark, sf_dir):
 
 
 @query(
-    f"""SELECT 'items' AS dataset, id, name FROM ({RAW_ITEMS_SQL})
+    """SELECT CASE WHEN doc_id % 3 = 0 THEN '' ELSE source END AS source FROM documents"""
+)
+def one_column_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "one-column")
+    source = "CASE WHEN doc_id % 3 = 0 THEN '' ELSE source END AS source"
+    write_csv(table(spark, sf_dir, "documents").selectExpr(source), path)
+    return read_raw(spark, path)
+
+
+@query(
+    """SELECT concat(c_custkey) AS c_custkey,
+        CASE WHEN c_custkey % 7 = 0 AND c_custkey % 5 <> 0 THEN '' ELSE c_name END AS c_name,
+        CASE WHEN c_custkey % 7 = 0 AND c_custkey % 5 <> 0 THEN '' ELSE c_mktsegment END
+            AS c_mktsegment,
+        CASE WHEN c_custkey % 5 = 0 THEN 'long_row' WHEN c_custkey % 7 = 0 THEN 'short_row' END
+            AS row_fault
+    FROM customer"""
+)
+def ragged_rows(spark, sf_dir):
+    """Every fifth row has a field too many, and every seventh other one too few."""
+    path = scratch_path(spark, "ragged")
+    line = F.expr(
+        """CASE WHEN c_custkey % 5 = 0 THEN concat_ws(',', c_custkey, c_name, c_mktsegment, '"x,y"')
+        WHEN c_custkey % 7 = 0 THEN concat(c_custkey)
+        ELSE concat_ws(',', c_custkey, c_name, c_mktsegment) END"""
+    )
+    lines = table(spark, sf_dir, "customer").select(line.alias("c_custkey,c_name,c_mktsegment"))
+    lines.write.options(header=True, quote="", sep="\x01").csv(path)
+    return read_raw(spark, path, faults="row_fault")
+
+
+def _row_text(columns) -> str:
+    return f"concat_ws('|', {', '.join(columns)})"
+
+
+_ENTITY_COLUMNS = ("id", "followers", "genres", "name", "popularity")
+
+
+@query(
+    f"""SELECT 'items' AS dataset, {_row_text(RAW_ITEMS)} AS row_text FROM ({RAW_ITEMS_SQL})
     UNION ALL
-    SELECT 'entities' AS dataset, id, name FROM ({oracle.RAW_ENTITIES_SQL})"""
+    SELECT 'entities' AS dataset, {_row_text(_ENTITY_COLUMNS)} AS row_text
+    FROM ({oracle.RAW_ENTITIES_SQL})"""
 )
 def published_datasets(spark, sf_dir):
     items_uri = scratch_path(spark, "published-items")
     entities_uri = scratch_path(spark, "published-entities")
     publish_all(
-        {
-            items_uri: raw_items(spark, sf_dir).select("id", "name"),
-            entities_uri: raw_entities(spark, sf_dir).select("id", "name"),
-        }
+        {items_uri: raw_items(spark, sf_dir), entities_uri: raw_entities(spark, sf_dir)}
     )
     items, entities = [
-        read_raw(spark, uri).select(F.lit(name).alias("dataset"), "id", "name")
-        for name, uri in (("items", items_uri), ("entities", entities_uri))
+        read_raw(spark, uri).selectExpr(f"'{name}' AS dataset", f"{_row_text(columns)} AS row_text")
+        for name, uri, columns in (
+            ("items", items_uri, RAW_ITEMS), ("entities", entities_uri, _ENTITY_COLUMNS)
+        )
     ]
     return items.unionByName(entities)
 
 
-
-
-@query(
-    f"""WITH entities AS ({oracle.RAW_ENTITIES_SQL})
-    SELECT id, name, {oracle.integer("followers")} AS followers, count(*) * 2 AS copies
-    FROM entities GROUP BY ALL"""
-)
+@query(f"SELECT *, count(*) * 2 AS copies FROM ({_TYPED_ENTITIES_SQL}) GROUP BY ALL")
 def load_append_counts(spark, sf_dir):
     path = scratch_path(spark, "loaded")
     name = "loaded_" + path.rsplit("-", 1)[1]
     for _ in range(2):
         load_table(raw_entities(spark, sf_dir), name, "append", path=path)
-    loaded = spark.read.parquet(path)
+    loaded = spark.read.parquet(current(spark, path))
     spark.sql(f"DROP TABLE {name}")  # external: its files stay
-    return loaded.groupBy("id", "name", "followers").agg(F.count(F.lit(1)).alias("copies"))
+    listed = loaded.withColumn("genres", F.array_join("genres", "|"))
+    return listed.groupBy(*loaded.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _fails(fn) -> bool:
+    try:
+        fn()
+    except Exception:  # whatever the load raises
+        return True
+    return False
+
+
+@query(_TYPED_ENTITIES_SQL)
+def reload_after_failure(spark, sf_dir):
+    """A load, a second one that fails on its values, and the table as it is then."""
+    path = scratch_path(spark, "reloaded")
+    name = "reloaded_" + path.rsplit("-", 1)[1]
+    entities = raw_entities(spark, sf_dir)
+    load_table(entities, name, path=path)
+    broken = entities.withColumn("followers", F.lit("99999999999"))
+    if not _fails(lambda: load_table(broken, name, path=path)):
+        raise AssertionError("the second load should have failed")
+    rows = spark.table(name).withColumn("genres", F.array_join("genres", "|"))
+    kept = scratch_path(spark, "reloaded-rows")
+    rows.write.parquet(kept)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(kept)
+
+
+@query(
+    f"""WITH entities AS ({oracle.RAW_ENTITIES_SQL})
+    SELECT * FROM (VALUES ('no id column', true, 0), ('no rows', false, 0),
+        ('integer out of range', true, 0), ('malformed list', true, 0))
+        AS cases(input, failed, n_rows)
+    UNION ALL SELECT 'integer out of range as NULL', false, count(*) FROM entities
+    UNION ALL SELECT 'malformed list as NULL', false, count(*) FROM entities"""
+)
+def load_outcomes(spark, sf_dir):
+    """What becomes of loads of the entities in unfit forms."""
+    entities = raw_entities(spark, sf_dir)
+    large = entities.withColumn("followers", F.concat(F.lit("9999999999"), "id"))
+    listless = entities.withColumn("genres", F.concat("name", F.lit("]")))
+    cases = [
+        ("no id column", entities.drop("id"), "fail"),
+        ("no rows", entities.filter("id = ''"), "fail"),
+        ("integer out of range", large, "fail"),
+        ("malformed list", listless, "fail"),
+        ("integer out of range as NULL", large, "null"),
+        ("malformed list as NULL", listless, "null"),
+    ]
+    rows = []
+    for label, df, on_bad in cases:
+        path = scratch_path(spark, "unfit")
+        name = "unfit_" + path.rsplit("-", 1)[1]
+        failed = _fails(lambda: load_table(df, name, on_bad=on_bad, path=path))
+        stored = spark.catalog.tableExists(name)
+        rows.append((label, failed, spark.table(name).count() if stored else 0))
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame(rows, "input string, failed boolean, n_rows long")
 
 
 @query(
@@ -628,18 +803,97 @@ def catalogue_from_csv(spark, sf_dir):
     for uri, name, path in zip(published, ("items_", "entities_"), loaded):
         load_table(read_prepared(spark, uri), name + suffix, path=path)
         spark.sql(f"DROP TABLE {name}{suffix}")  # external: its files stay
-    return views.track_summary(*[spark.read.parquet(path) for path in loaded])
+    return views.track_summary(*[spark.read.parquet(current(spark, p)) for p in loaded])
+
+
+_LOADED = f"""{oracle.PREPARED},
+    loaded AS (
+        SELECT id, name, {oracle.integer("popularity")} AS popularity,
+            {oracle.double("energy")} AS energy, {oracle.integer("release_year")} AS release_year,
+            nullif(danceability_level, '') AS danceability, {oracle.marks("id_artists")} AS listed
+        FROM prepared
+    ),
+    members AS (
+        SELECT *, trim(unnest(string_split(listed, ','))) AS member FROM loaded WHERE listed <> ''
+        UNION ALL SELECT *, NULL AS member FROM loaded WHERE listed = ''
+    ),
+    audience AS (
+        SELECT id, name, {oracle.integer("followers")} AS followers FROM kept_entities
+    )"""
+
+
+def _cells(*columns: str) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce({c} || '', '-')" for c in columns) + ")"
+
+
+_SUMMARY_CELLS = ("track_id", "name", "popularity", "danceability", "artist_followers")
+_TOP_CELLS = ("release_year", "track_id", "name")
+_PAIR_CELLS = ("artist_id", "artist_name", "track_id", "track_name")
+
+
+@query(
+    f"""WITH {_LOADED},
+    summary AS (
+        SELECT m.id AS track_id, m.name, popularity, energy, danceability,
+            CAST(coalesce(sum(a.followers), 0) AS BIGINT) AS artist_followers
+        FROM members m LEFT JOIN audience a ON a.id = m.member GROUP BY 1, 2, 3, 4, 5
+    ),
+    ranked AS (
+        SELECT release_year, id AS track_id, name, energy, row_number() OVER (
+            PARTITION BY release_year ORDER BY energy DESC NULLS FIRST, id, name) AS place
+        FROM loaded
+    ),
+    pairs AS (
+        SELECT a.id AS artist_id, a.name AS artist_name, m.id AS track_id, m.name AS track_name
+        FROM members m JOIN audience a ON a.id = m.member WHERE a.followers > 0
+    )
+    SELECT 'track_summary' AS view, {_cells(*_SUMMARY_CELLS)} AS cells, energy FROM summary
+    UNION ALL
+    SELECT 'most_energising_track_per_year', {_cells(*_TOP_CELLS)}, energy
+    FROM ranked WHERE place = 1
+    UNION ALL SELECT 'artist_track_summary', {_cells(*_PAIR_CELLS)}, NULL FROM pairs"""
+)
+def stored_views(spark, sf_dir):
+    """The three stored views over tables that ``load_catalogue`` has loaded."""
+    base = scratch_path(spark, "stored")
+    database = "refrain_" + base.rsplit("-", 1)[1]
+    items, entities = f"{base}/items", f"{base}/entities"
+    raw = [f"{base}/raw-items", f"{base}/raw-entities"]
+    write_csv(raw_items(spark, sf_dir), raw[0])
+    write_csv(raw_entities(spark, sf_dir), raw[1])
+    jobs.prepare_catalogue(spark, *raw, items, entities)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/database'")
+    try:
+        tables = [f"{database}.{views.ITEMS_TABLE}", f"{database}.{views.ENTITIES_TABLE}"]
+        jobs.load_catalogue(spark, items, entities, *tables, fmt="parquet")
+        views.create_catalog_views(spark, *tables, database=database)
+        shown = [
+            spark.table(f"{database}.{name}").selectExpr(
+                f"'{name}' AS view", f"{_cells(*cells)} AS cells", f"{energy} AS energy"
+            )
+            for name, cells, energy in (
+                (views.SUMMARY_VIEW, _SUMMARY_CELLS, "energy"),
+                (views.TOP_VIEW, _TOP_CELLS, "energy"),
+                (views.PAIRS_VIEW, _PAIR_CELLS, "cast(NULL AS double)"),
+            )
+        ]
+        shown[0].unionByName(shown[1]).unionByName(shown[2]).write.parquet(f"{base}/shown")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")  # its tables are external
+    return spark.read.parquet(f"{base}/shown")
 
 
 @query(
     f"""WITH {oracle.PREPARED}
     SELECT count(*) AS rows,
         count(*) FILTER (reject_reason IS NULL) AS kept,
+        CAST(0 AS BIGINT) AS long_row,
         count(*) FILTER (reject_reason = 'no_name') AS no_name,
         count(*) FILTER (reject_reason = 'bad_number') AS bad_number,
         count(*) FILTER (reject_reason = 'too_small') AS too_small,
         count(*) FILTER (reject_reason = 'bad_list') AS bad_list,
         count(*) FILTER (reject_reason IS NULL AND kind = 'raw') AS raw_lists,
+        CAST(0 AS BIGINT) AS short_rows,
         (SELECT count(*) FROM kept_entities) AS entities
     FROM classified"""
 )
@@ -650,8 +904,9 @@ def prepare_report(spark, sf_dir):
     write_csv(raw_items(spark, sf_dir), raw[0])
     write_csv(raw_entities(spark, sf_dir), raw[1])
     report = jobs.prepare_catalogue(spark, *raw, f"{base}/items", f"{base}/entities")
-    return spark.createDataFrame([asdict(report)], "rows long, kept long, no_name long, "
-        "bad_number long, too_small long, bad_list long, raw_lists long, entities long")
+    return spark.createDataFrame([asdict(report)], "rows long, kept long, "
+        "long_row long, no_name long, bad_number long, too_small long, bad_list long, "
+        "raw_lists long, short_rows long, entities long")
 
 
 # --- streaming ----------------------------------------------------------------
@@ -661,8 +916,8 @@ def prepare_report(spark, sf_dir):
 def streamed_items(spark, sf_dir):
     """The prepare steps over a folder of CSV files, read as a stream."""
     base = scratch_path(spark, "stream")
-    write_csv(raw_items(spark, sf_dir), f"{base}/in")
-    raw = stream_raw_csv(spark, f"{base}/in", list(RAW_ITEMS))
+    folder = write_csv(raw_items(spark, sf_dir), f"{base}/in")
+    raw = stream_raw_csv(spark, folder, list(RAW_ITEMS))
     run = write_prepared_stream(raw, f"{base}/out", f"{base}/checkpoint")
     run.awaitTermination()
     return spark.read.parquet(f"{base}/out")

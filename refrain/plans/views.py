@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from refrain.operators.joins import keyed_join, pair_join
-from refrain.operators.ranking import top_per_group
-from refrain.operators.unnest import unnest_list
+from refrain.operators.joins import SALTS
+from refrain.operators.ranking import SALTS as PARTS
 
 # Names of the loaded tables and of the views over them.
 ITEMS_TABLE, ENTITIES_TABLE = "tracks", "artists"
@@ -15,35 +13,75 @@ SUMMARY_VIEW = "track_summary"
 TOP_VIEW = "most_energising_track_per_year"
 PAIRS_VIEW = "artist_track_summary"
 
-# Over how many salts the stored summary view spreads an entity.
-SALTS = 8
+# Each view is defined once, as SQL over {items} and {entities}. Ids are spread
+# over salts as in ``salted_join``; list brackets and quotes go, as in
+# ``drop_list_marks``.
+_MEMBERS = "split(nullif(translate(array_join(id_artists, ','), '[]\\'\"', ''), ''), ',')"
+
+# Followers are summed per entity before the join, which keeps the sums and spares
+# the product of repeated ids on both sides.
+_SUMMARY = f"""
+    WITH members AS (
+      SELECT id, name, popularity, energy, danceability_level,
+             cast(pmod(xxhash64(id, name), {SALTS}) AS int) AS salt,
+             explode_outer({_MEMBERS}) AS member
+      FROM {{items}}
+    ), audience AS (
+      SELECT id, followers, explode(sequence(0, {SALTS} - 1)) AS salt
+      FROM (SELECT id, sum(followers) AS followers FROM {{entities}}
+            WHERE id IS NOT NULL GROUP BY id)
+    )
+    SELECT m.id AS track_id, m.name, m.popularity, m.energy,
+           m.danceability_level AS danceability,
+           coalesce(sum(audience.followers), 0) AS artist_followers
+    FROM members m LEFT JOIN audience
+      ON audience.id = trim(m.member) AND audience.salt = m.salt
+    GROUP BY ALL
+"""
+
+# Parts of a year are ranked side by side first, as in ``top_per_group``.
+_ORDER = "ORDER BY energy DESC NULLS FIRST, track_id ASC NULLS LAST, name ASC NULLS LAST"
+_TOP = f"""
+    WITH slim AS (
+      SELECT release_year, id AS track_id, name, energy,
+             pmod(xxhash64(energy, id, name), {PARTS}) AS part
+      FROM {{items}}
+    ), best AS (
+      SELECT release_year, track_id, name, energy FROM (
+        SELECT *, row_number() OVER (PARTITION BY release_year, part {_ORDER}) AS place
+        FROM slim
+      ) WHERE place <= {{k}}
+    )
+    SELECT release_year, track_id, name, energy FROM (
+      SELECT *, row_number() OVER (PARTITION BY release_year {_ORDER}) AS place FROM best
+    ) WHERE place <= {{k}}
+"""
+
+# A plain comparison drops NULL followers like 0 and reaches the Parquet scan.
+_PAIRS = f"""
+    WITH members AS (
+      SELECT id, name, cast(pmod(xxhash64(id, name), {SALTS}) AS int) AS salt,
+             explode({_MEMBERS}) AS member
+      FROM {{items}}
+    ), followed AS (
+      SELECT id, name, explode(sequence(0, {SALTS} - 1)) AS salt
+      FROM {{entities}} WHERE followers > 0
+    )
+    SELECT e.id AS artist_id, e.name AS artist_name,
+           m.id AS track_id, m.name AS track_name
+    FROM members m INNER JOIN followed e
+      ON e.id = trim(m.member) AND e.salt = m.salt
+"""
+
+DEFINITIONS = {SUMMARY_VIEW: _SUMMARY, TOP_VIEW: _TOP, PAIRS_VIEW: _PAIRS}
 
 
 def track_summary(items: DataFrame, entities: DataFrame) -> DataFrame:
     """Each item with the summed followers of its entities, 0 if there are none.
 
-    Repeated entities and repeated items add up as joined rows would. Followers
-    are summed per entity id before the join: that keeps the sums and spares the
-    product of repeated ids on both sides.
+    Repeated entities and repeated items add up as joined rows would.
     """
-    keys = ["track_id", "name", "popularity", "energy", "danceability"]
-    slim = items.select(
-        F.col("id").alias("track_id"),
-        "name",
-        "popularity",
-        "energy",
-        F.col("danceability_level").alias("danceability"),
-        "id_artists",
-    )
-    members = unnest_list(slim, "id_artists", "artist_id", outer=True)
-    followers = (
-        entities.filter(F.col("id").isNotNull())
-        .groupBy(F.col("id").alias("artist_id"))
-        .agg(F.sum("followers").alias("followers"))
-    )
-    joined = keyed_join(members, followers, "artist_id", "left")
-    total = F.coalesce(F.sum("followers"), F.lit(0))
-    return joined.groupBy(*keys).agg(total.alias("artist_followers"))
+    return items.sparkSession.sql(_SUMMARY, items=items, entities=entities)
 
 
 def most_energising_track_per_year(items: DataFrame, k: int = 1) -> DataFrame:
@@ -51,32 +89,25 @@ def most_energising_track_per_year(items: DataFrame, k: int = 1) -> DataFrame:
 
     Ties go to the smallest id, then name.
     """
-    slim = items.select("release_year", F.col("id").alias("track_id"), "name", "energy")
-    return top_per_group(slim, "release_year", "energy", ["track_id", "name"], k)
+    return items.sparkSession.sql(_TOP, items=items, k=k)
 
 
 def artist_track_summary(items: DataFrame, entities: DataFrame) -> DataFrame:
     """Every entity that has followers with each of its items."""
-    members = unnest_list(
-        items.select(
-            F.col("id").alias("track_id"), F.col("name").alias("track_name"), "id_artists"
-        ),
-        "id_artists",
-        "artist_id",
-    )
-    # A plain comparison drops NULL like 0 and reaches the Parquet scan, which
-    # a coalesce would keep it from.
-    followed = entities.filter(F.col("followers") > 0).select(
-        F.col("id").alias("artist_id"), F.col("name").alias("artist_name")
-    )
-    pairs = pair_join(members, followed, "artist_id")
-    return pairs.select("artist_id", "artist_name", "track_id", "track_name")
+    return items.sparkSession.sql(_PAIRS, items=items, entities=entities)
 
 
 def create_views(
     spark: SparkSession, items: DataFrame | None = None, entities: DataFrame | None = None
 ) -> None:
-    """Create or replace the three temporary views, by default over the tables."""
+    """Create or replace the three temporary views.
+
+    Without DataFrames they are over the tables and, being stored as text, follow
+    them through every reload.
+    """
+    if items is None and entities is None:
+        _create(spark, "TEMPORARY VIEW", ITEMS_TABLE, ENTITIES_TABLE)
+        return
     items = spark.table(ITEMS_TABLE) if items is None else items
     entities = spark.table(ENTITIES_TABLE) if entities is None else entities
     track_summary(items, entities).createOrReplaceTempView(SUMMARY_VIEW)
@@ -85,62 +116,16 @@ def create_views(
 
 
 def create_catalog_views(
-    spark: SparkSession, items: str = ITEMS_TABLE, entities: str = ENTITIES_TABLE
+    spark: SparkSession,
+    items: str = ITEMS_TABLE,
+    entities: str = ENTITIES_TABLE,
+    database: str | None = None,
 ) -> None:
-    """Create or replace the three views in the catalog, for every session.
+    """Create or replace the three views in the catalog, for every session."""
+    _create(spark, "VIEW", items, entities, f"{database}." if database else "")
 
-    Catalog views are stored as SQL text, so they cannot look for hot keys. The
-    summary spreads every id over a few salts instead. That also gives its join
-    two plain exchanges, whose skewed partitions adaptive execution splits.
-    """
-    # Removes list brackets and quotes, like ``drop_list_marks``.
-    members = (
-        "split(nullif(translate(array_join(id_artists, ','), "
-        "'[]\\'\"', ''), ''), ',')"
-    )
-    spark.sql(
-        f"""
-        CREATE OR REPLACE VIEW {SUMMARY_VIEW} AS
-        WITH members AS (
-          SELECT *, pmod(xxhash64(id, name), {SALTS}) AS salt,
-                 explode_outer({members}) AS member
-          FROM {items}
-        ), audience AS (
-          SELECT id, followers, explode(sequence(0, {SALTS} - 1)) AS salt
-          FROM (SELECT id, sum(followers) AS followers FROM {entities} GROUP BY id)
-        )
-        SELECT m.id AS track_id, m.name, m.popularity, m.energy,
-               m.danceability_level AS danceability,
-               coalesce(sum(audience.followers), 0) AS artist_followers
-        FROM members m LEFT JOIN audience
-          ON audience.id = trim(m.member) AND audience.salt = m.salt
-        GROUP BY ALL
-        """
-    )
-    spark.sql(
-        f"""
-        CREATE OR REPLACE VIEW {TOP_VIEW} AS
-        SELECT release_year, track_id, name, energy
-        FROM (
-          SELECT release_year, id AS track_id, name, energy,
-                 row_number() OVER (
-                   PARTITION BY release_year
-                   ORDER BY energy DESC NULLS FIRST, id ASC NULLS LAST, name ASC NULLS LAST
-                 ) AS place
-          FROM {items}
-        )
-        WHERE place = 1
-        """
-    )
-    spark.sql(
-        f"""
-        CREATE OR REPLACE VIEW {PAIRS_VIEW} AS
-        WITH members AS (
-          SELECT id, name, explode({members}) AS member FROM {items}
-        )
-        SELECT e.id AS artist_id, e.name AS artist_name,
-               m.id AS track_id, m.name AS track_name
-        FROM members m INNER JOIN {entities} e ON e.id = trim(m.member)
-        WHERE e.followers > 0
-        """
-    )
+
+def _create(spark: SparkSession, kind: str, items: str, entities: str, prefix: str = "") -> None:
+    for name, text in DEFINITIONS.items():
+        body = text.format(items=items, entities=entities, k=1)
+        spark.sql(f"CREATE OR REPLACE {kind} {prefix}{name} AS {body}")

@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from refrain.sinks.csv import write_csv
+from refrain.sources.versions import write_version
 
 log = logging.getLogger(__name__)
 
@@ -19,7 +20,8 @@ ATTEMPTS = 3
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """As a new version; what was there stays until that is whole."""
+    write_version(df, path, lambda rows, folder: rows.write.parquet(folder))
 
 
 WRITERS = {"csv": write_csv, "parquet": write_parquet}
@@ -28,10 +30,11 @@ WRITERS = {"csv": write_csv, "parquet": write_parquet}
 def publish(
     df: DataFrame, uri: str, fmt: str = "csv", attempts: int = ATTEMPTS, write=None
 ) -> None:
-    """Write a dataset to ``uri``, repeating the whole overwrite when it fails.
+    """Write a dataset to ``uri`` as a new version, again from the start if it fails.
 
     Lost tasks and executors are already retried by Spark; this covers a job
-    that failed altogether. The last failure is raised. A dataset that cannot be
+    that failed altogether. The last failure is raised, and then readers of ``uri``
+    still get the version before. A dataset that cannot be
     analysed, such as one whose source is missing, is not tried again.
     """
     write = write or WRITERS[fmt]

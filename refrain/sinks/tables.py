@@ -5,11 +5,12 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from refrain.operators.quality import observe_rows
 from refrain.operators.typed import typed_projection
 from refrain.schemas import COLUMN_TYPES, EMPTY_DATASET, require_columns
+from refrain.sources.versions import write_version
 
 log = logging.getLogger(__name__)
 
@@ -35,23 +36,42 @@ def load_table(
     """Type an all-text dataset and store it as a catalog table.
 
     The table is made if it does not exist. ``append`` adds to it, ``overwrite``
-    replaces it, so that a repeated load leaves one copy. An empty dataset is
-    reported and leaves the catalog alone; a missing required column or a value
-    that cannot be stored raises, and then nothing is stored.
+    replaces it, so that a repeated load leaves one copy: the rows are written to a
+    new folder below ``path`` (by default one named after the table, in the
+    warehouse), and only when they are whole is the table pointed there. An empty
+    dataset is reported and leaves the catalog alone; a missing required column or
+    a value that cannot be stored raises, and then the table is as it was.
     """
+    if mode not in ("append", "overwrite"):
+        raise ValueError("mode must be append or overwrite")
     if not df.columns or df.isEmpty():
         log.error(EMPTY_DATASET.format(table=table))
         return LoadReport(table, 0)
     require_columns(df.columns, table)
-    counts = Observation()
-    writer = (
-        observe_rows(typed_projection(df, types, on_bad), counts)
-        .write.mode(mode)
-        .format("parquet")
-    )
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    spark, counts = df.sparkSession, Observation()
+    typed = observe_rows(typed_projection(df, types, on_bad), counts)
+    if mode == "append" and spark.catalog.tableExists(table):
+        typed.write.mode("append").format("parquet").saveAsTable(table)
+    else:
+        home = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table}-versions"
+        folder = write_version(typed, home, lambda rows, place: rows.write.parquet(place))
+        _point(spark, table, folder)
     report = LoadReport(table, counts.get["rows"])
     log.info("table %s: %d rows loaded", table, report.rows)
     return report
+
+
+def _point(spark: SparkSession, table: str, folder: str) -> None:
+    """Make ``table`` the Parquet files in ``folder``; only the catalog changes."""
+    new = spark.read.parquet(folder).schema
+    if spark.catalog.tableExists(table):
+        if spark.table(table).schema == new and _is_external(spark, table):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+            spark.sql(f"REFRESH TABLE {table}")
+            return
+        spark.sql(f"DROP TABLE {table}")
+    spark.catalog.createTable(table, path=folder, source="parquet", schema=new)
+
+
+def _is_external(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.getTable(table).tableType == "EXTERNAL"

@@ -1,5 +1,6 @@
 """Readers of raw and prepared datasets."""
 
 from refrain.sources.csv import read_prepared, read_raw
+from refrain.sources.versions import current, write_version
 
-__all__ = ["read_prepared", "read_raw"]
+__all__ = ["current", "read_prepared", "read_raw", "write_version"]

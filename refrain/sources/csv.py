@@ -1,17 +1,28 @@
 """CSV with a header, every field text.
 
 Paths are anything Spark can read (``file:``, ``s3a:``, ``hdfs:``, a folder or a
-glob); a path that does not exist raises ``PATH_NOT_FOUND``.
+glob); a path that does not exist raises ``PATH_NOT_FOUND``. A dataset written in
+versions is read in its newest whole one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from refrain.sources.versions import current
+
 # A quote inside a quoted field is written twice.
 DIALECT = {"sep": ",", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
+# What may be wrong with the shape of a row.
+SHORT_ROW, LONG_ROW = "short_row", "long_row"
+
+_RECORD = "_record"
+_TORN = "a quoted field goes on in the next line; read with multi_line=True: "
+_LONG = "a row has more fields than the header: "
+
 
 def header_columns(spark: SparkSession, path: str, multi_line: bool = False) -> list[str]:
     """Column names from the header; empty for an empty file."""
@@ -23,31 +34,83 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
 
-def _scan(spark, path, multi_line, mode) -> DataFrame:
-    columns = header_columns(spark, path, multi_line)
-    if not columns:
-        return spark.createDataFrame([], T.StructType([]))
+def _scan(spark, path, columns, multi_line, mode, record=()) -> DataFrame:
     return (
-        spark.read.schema(text_schema(columns))
+        spark.read.schema(text_schema([*columns, *record]))
         # Files of one folder must agree on their header; a file with other
         # columns fails instead of shifting its values.
         .options(**DIALECT, header=True, enforceSchema=False)
-        .options(multiLine=multi_line, mode=mode)
+        .options(multiLine=multi_line, mode=mode, columnNameOfCorruptRecord=_RECORD)
         .csv(path)
     )
 
 
-def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Raw dataset: short rows are filled up, long rows cut, nothing is NULL.
+def _fields(record: Column) -> Column:
+    """Number of fields of a CSV record."""
+    bare = F.regexp_replace(record, '"[^"]*+"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
+def _torn_lines(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """No rows, but an error if a line holds an odd number of quotes.
+
+    Read line by line, such a record would fall apart into wrong rows.
+    """
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    torn = F.raise_error(F.concat(F.lit(_TORN), F.left(line, F.lit(200)))).cast("boolean")
+    nothing = [F.lit(None).cast("string").alias(name) for name in columns]
+    lines = spark.read.text(path)
+    return lines.filter(F.when(quotes % 2 == 1, torn).otherwise(F.lit(False))).select(*nothing)
+
+
+def read_raw(
+    spark: SparkSession, path: str, multi_line: bool = False, faults: str | None = None
+) -> DataFrame:
+    """Raw dataset, nothing NULL: the missing fields of a short row read as blank.
 
-    ``multi_line`` admits line breaks inside quotes. A file read that way cannot
-    be split among tasks, so it is off unless asked for.
+    With ``faults`` a column of that name says ``short_row``, ``long_row`` or NULL;
+    the row has the fields that the header names. Without it a long row raises.
+    ``multi_line`` admits line breaks inside quotes; a file read that way cannot be
+    split among tasks, so it is off unless asked for, and then a record that goes on
+    in the next line raises. An empty file has no columns and no rows.
     """
-    return _scan(spark, path, multi_line, "PERMISSIVE").fillna("")
+    path = current(spark, path)
+    columns = header_columns(spark, path, multi_line)
+    if not columns:
+        return spark.createDataFrame([], T.StructType([]))
+    rows = _scan(spark, path, columns, multi_line, "PERMISSIVE", [_RECORD])
+    if not multi_line:
+        rows = rows.unionByName(_torn_lines(spark, path, [*columns, _RECORD]))
+    return judged_rows(rows, columns, faults)
+
+
+def judged_rows(rows: DataFrame, columns: list[str], faults: str | None) -> DataFrame:
+    """Scanned rows with their fault in ``faults``, or without long rows allowed."""
+    record = F.col(_RECORD)
+    fault = F.when(
+        record.isNotNull(),
+        F.when(_fields(record) > len(columns), F.lit(LONG_ROW)).otherwise(F.lit(SHORT_ROW)),
+    )
+    if faults:
+        return rows.fillna("", subset=columns).withColumn(faults, fault).drop(_RECORD)
+    refused = F.raise_error(F.concat(F.lit(_LONG), F.left(record, F.lit(200)))).cast("boolean")
+    whole = rows.filter(F.when(fault == LONG_ROW, refused).otherwise(F.lit(True)))
+    return whole.drop(_RECORD).fillna("")
+
+
+def raw_schema(columns: list[str]) -> tuple[T.StructType, dict]:
+    """Schema and options of a scan for ``judged_rows``."""
+    options = {**DIALECT, "header": True, "enforceSchema": False, "columnNameOfCorruptRecord": _RECORD}
+    return text_schema([*columns, _RECORD]), options
 
 
 def read_prepared(
     spark: SparkSession, path: str, multi_line: bool = False
 ) -> DataFrame:
     """Prepared dataset for loading: a row of the wrong width fails the job."""
-    return _scan(spark, path, multi_line, "FAILFAST")
+    path = current(spark, path)
+    columns = header_columns(spark, path, multi_line)
+    if not columns:
+        return spark.createDataFrame([], T.StructType([]))
+    return _scan(spark, path, columns, multi_line, "FAILFAST")

@@ -12,26 +12,29 @@ from pyspark.sql.streaming import StreamingQuery
 
 from refrain.operators.prepare import ITEM, ItemColumns, prepare_items
 from refrain.schemas import MIN_DURATION_MS
-from refrain.sources.csv import DIALECT, text_schema
+from refrain.sources.csv import judged_rows, raw_schema
 
 
 def stream_raw_csv(
     spark: SparkSession,
     folder: str,
     columns: list[str],
-    multi_line: bool = False,
+    multi_line: bool = True,
     files_per_batch: int | None = None,
+    faults: str | None = None,
 ) -> DataFrame:
     """Rows of the CSV files in a folder, new files included, every field text.
 
-    ``files_per_batch`` divides a large backlog into several commits.
+    A file is read by one task, with line breaks inside quotes; without
+    ``multi_line`` files are split, and must not have such breaks. Long rows raise,
+    or are marked in ``faults`` as by ``read_raw``. ``files_per_batch`` divides a large
+    backlog into several commits.
     """
-    reader = spark.readStream.schema(text_schema(columns)).options(
-        **DIALECT, header=True, enforceSchema=False, multiLine=multi_line
-    )
+    schema, options = raw_schema(columns)
+    reader = spark.readStream.schema(schema).options(**options, multiLine=multi_line)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(folder).fillna("")
+    return judged_rows(reader.csv(folder), columns, faults)
 
 
 def write_prepared_stream(

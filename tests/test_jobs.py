@@ -8,11 +8,12 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from refrain.__main__ import main
 from refrain.operators.prepare import prepare_items, with_band
 from refrain.plans import jobs, views
 from refrain.session import scratch_path, shared_dir
 from refrain.sinks import load_table, publish, publish_all, write_csv
-from refrain.sources import read_prepared, read_raw
+from refrain.sources import current, read_prepared, read_raw
 from refrain.streaming import stream_raw_csv, write_prepared_stream
 
 TRACKS = '''id,name,duration_ms,id_artists,release_date,danceability,popularity
@@ -109,7 +110,7 @@ def test_transform_csv(spark, files, tmp_path):
 def prepared(spark, files, base):
     targets = [str(base / "prepared-tracks"), str(base / "prepared-artists")]
     report = jobs.prepare_catalogue(
-        spark, str(files / "tracks.csv"), str(files / "artists.csv"), *targets
+        spark, str(files / "tracks.csv"), str(files / "artists.csv"), *targets, fmt="csv"
     )
     return report, targets
 
@@ -122,7 +123,8 @@ def test_parquet_between_the_jobs(spark, files, tmp_path):
         spark, *sources, *hops[0], fmt="parquet", rejects_target=rejects
     )
     assert (report.kept, report.entities) == (3, 4)
-    reasons = spark.read.parquet(rejects).select("id", "reject_reason")
+    assert report.rows == report.kept + 5
+    reasons = spark.read.parquet(current(spark, rejects)).select("id", "reject_reason")
     assert dict(tuple(r) for r in reasons.collect()) == {
         "t3": "no_name", "t4": "too_small", "t5": "bad_list", "t7": "too_small",
         "t8": "bad_number",
@@ -140,8 +142,8 @@ def test_parquet_between_the_jobs(spark, files, tmp_path):
 def test_prepare_publish_load_and_query(spark, files, tmp_path):
     report, targets = prepared(spark, files, tmp_path)
     assert report == jobs.PrepareReport(
-        rows=8, kept=3, no_name=1, bad_number=1, too_small=2, bad_list=1, raw_lists=1,
-        entities=4,
+        rows=8, kept=3, long_row=0, no_name=1, bad_number=1, too_small=2, bad_list=1,
+        raw_lists=1, short_rows=1, entities=4,
     )
     tracks = read_raw(spark, targets[0])
     assert tracks.columns == [
@@ -158,7 +160,7 @@ def test_prepare_publish_load_and_query(spark, files, tmp_path):
     }
 
     uris = [str(tmp_path / "public" / "tracks"), str(tmp_path / "public" / "artists")]
-    jobs.publish_catalogue(spark, *targets, *uris)
+    jobs.publish_catalogue(spark, *targets, *uris, prepared_fmt="csv")
     assert rows(read_raw(spark, uris[0])) == rows(tracks)
 
     # The raw id of t6 is no array literal, so a strict load stops at the first table.
@@ -201,12 +203,12 @@ def test_second_step_is_not_begun_after_a_failure(spark, files, tmp_path):
 
 def test_load_types_by_name(spark, tmp_path):
     path = tmp_path / "x.csv"
-    path.write_text("id,name,extra\n1,Test,abc\n")
+    path.write_text("name,id,tempo,colour\nFirst,q9,118.5 bpm,red\nLast,q8,,\n")
     report = load_table(read_prepared(spark, str(path)), "test_table")
-    assert report.loaded and report.rows == 1
+    assert report.loaded and report.rows == 2
     table = spark.table("test_table")
-    assert table.dtypes == [("id", "string"), ("name", "string"), ("extra", "string")]
-    assert rows(table) == Counter([("1", "Test", "abc")])
+    assert table.dtypes == [("name", "string"), ("id", "string"), ("tempo", "double"), ("colour", "string")]
+    assert rows(table) == Counter([("First", "q9", 118.5, "red"), ("Last", "q8", None, None)])
     spark.sql("DROP TABLE test_table")
 
 
@@ -320,3 +322,111 @@ def test_a_cluster_needs_a_shared_folder():
     conf = SimpleNamespace(get=lambda key, default: default)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(SimpleNamespace(conf=conf, sparkContext=context))
+
+
+# --- nothing is lost ---------------------------------------------------------
+
+
+def people(spark, *data):
+    return spark.createDataFrame(list(data), "id string, name string, followers string")
+
+
+def test_a_failed_load_leaves_the_table_and_its_views(spark):
+    good = people(spark, ("a", "A", "1"), ("b", "B", "2"))
+    load_table(good, "kept_rows")
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW kept_view AS SELECT id FROM kept_rows")
+    with pytest.raises(Exception, match="out of range"):
+        load_table(people(spark, ("c", "C", "99999999999")), "kept_rows")
+    assert rows(spark.table("kept_rows")) == Counter([("a", "A", 1), ("b", "B", 2)])
+    load_table(people(spark, ("d", "D", "4")), "kept_rows")
+    assert rows(spark.table("kept_view")) == Counter([("d",)])
+    load_table(people(spark, ("e", "E", "5")).withColumn("more", F.lit("x")), "kept_rows")
+    assert rows(spark.table("kept_view")) == Counter([("e",)])
+    spark.catalog.dropTempView("kept_view")
+    spark.sql("DROP TABLE kept_rows")
+
+
+def failing(df):
+    bad = F.when(F.col("id") == "b", F.raise_error("lost").cast("string")).otherwise(F.col("id"))
+    return df.withColumn("id", bad)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_a_failed_publication_leaves_the_old_dataset(spark, tmp_path, fmt):
+    uri, df = str(tmp_path / "d"), people(spark, ("a", "A", "1"), ("b", "B", ""))
+    publish(df, uri, fmt)
+    with pytest.raises(Exception, match="lost"):
+        publish(failing(df), uri, fmt, attempts=2)
+
+    def read():
+        return read_raw(spark, uri) if fmt == "csv" else spark.read.parquet(current(spark, uri))
+
+    assert rows(read()) == rows(df)
+    publish(read().filter("id = 'a'"), uri, fmt)  # onto its own source
+    assert rows(read()) == Counter([("a", "A", "1")])
+
+
+def test_a_failed_prepare_leaves_the_old_targets(spark, files, tmp_path):
+    targets = [str(tmp_path / "p1"), str(tmp_path / "p2")]
+    sources = [str(files / "tracks.csv"), str(files / "artists.csv")]
+    jobs.prepare_catalogue(spark, *sources, *targets)
+    before = [rows(spark.read.parquet(current(spark, t))) for t in targets]
+    (files / "tracks.csv").write_text(TRACKS + 't9,"open,70000,[],,,\n')
+    with pytest.raises(Exception, match="multi_line"):
+        jobs.prepare_catalogue(spark, *sources, *targets)
+    assert [rows(spark.read.parquet(current(spark, t))) for t in targets] == before
+
+
+def test_rows_of_the_wrong_length(spark, files, tmp_path):
+    (files / "tracks.csv").write_text(TRACKS + "u1,long,70000,[],,0.1,1,extra\nu2,x,80000\n")
+    with pytest.raises(Exception, match="more fields than the header"):
+        read_raw(spark, str(files / "tracks.csv")).collect()
+    rejects, raw_lists = str(tmp_path / "rejects"), str(tmp_path / "raw")
+    report = jobs.prepare_catalogue(
+        spark, str(files / "tracks.csv"), str(files / "artists.csv"), str(tmp_path / "t"),
+        str(tmp_path / "a"), rejects_target=rejects, raw_lists_target=raw_lists,
+    )
+    assert (report.rows, report.kept, report.long_row, report.short_rows) == (10, 4, 1, 2)
+    found = spark.read.parquet(current(spark, rejects)).select("id", "reject_reason")
+    assert ("u1", "long_row") in rows(found) and found.count() == report.rows - report.kept
+    assert [r["id"] for r in spark.read.parquet(current(spark, raw_lists)).collect()] == ["t6"]
+
+
+def test_a_line_break_in_quotes(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text('id,name\n1,"two\nlines"\n2,b\n')
+    with pytest.raises(Exception, match="multi_line=True"):
+        read_raw(spark, str(path)).collect()
+    assert rows(read_raw(spark, str(path), multi_line=True)) == Counter([("1", "two\nlines"), ("2", "b")])
+
+
+def test_blank_values_of_one_column(spark, tmp_path):
+    data = Counter([("a",), ("",), ("",), (" ",)])
+    write_csv(spark.createDataFrame(list(data.elements()), "x string").coalesce(1), str(tmp_path / "one"))
+    assert rows(read_raw(spark, str(tmp_path / "one"))) == data
+
+
+def test_empty_files(spark, files, tmp_path):
+    (files / "tracks.csv").write_text("")
+    report = jobs.prepare_catalogue(
+        spark, str(files / "tracks.csv"), str(files / "artists.csv"), str(tmp_path / "t"), str(tmp_path / "a")
+    )
+    assert (report.rows, report.kept, report.entities) == (0, 0, 0)
+    (files / "tracks.csv").write_text(TRACKS)
+    (files / "artists.csv").write_text("")
+    report = jobs.prepare_catalogue(
+        spark, str(files / "tracks.csv"), str(files / "artists.csv"), str(tmp_path / "t"), str(tmp_path / "a")
+    )
+    assert (report.kept, report.entities) == (3, 0)
+
+
+def test_jobs_from_the_command_line(spark, files, tmp_path, capsys):
+    names = [str(tmp_path / n) for n in ("t", "a", "pt", "pa")]
+    main(["prepare", str(files / "tracks.csv"), str(files / "artists.csv"), *names[:2], "--min-duration", "65000"], spark)
+    main(["publish", *names], spark)
+    main(["load", *names[2:], "--on-bad", "null", "--items-table", "cli_t", "--entities-table", "cli_a"], spark)
+    out = capsys.readouterr().out
+    assert '"kept": 2' in out and '"table": "cli_a"' in out
+    assert {r["id"] for r in spark.table("cli_t").collect()} == {"t1", "t6"}
+    spark.sql("DROP TABLE cli_t")
+    spark.sql("DROP TABLE cli_a")
