@@ -2,26 +2,69 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from refrain.session import scratch_path
+from refrain.session import shared_dir
+
+
+_scope: ContextVar[list[str] | None] = ContextVar("scratch tables", default=None)
+
+
+def _scratch_database(spark: SparkSession) -> str:
+    """A database of this application below the shared folder."""
+    name = "refrain_scratch_" + re.sub(r"\W", "_", spark.sparkContext.applicationId).lower()
+    if not spark.catalog.databaseExists(name):
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_dir(spark)}/{name}'")
+    return name
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again.
+    """``df`` written to a table in the shared folder and read again.
 
     Cuts the lineage: a lost executor repeats only what came after, and what
-    follows sees real sizes.
+    follows sees real sizes. ``release`` drops the table and its files.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    table = f"{_scratch_database(spark)}.{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(table)
+    tables = _scope.get()
+    if tables is not None:
+        tables.append(table)
+    found = spark.table(table)
+    found.scratch_table = table
+    return found
+
+
+def release(*frames: DataFrame) -> None:
+    """Drop stored tables from which nothing is read any more."""
+    for frame in frames:
+        frame.sparkSession.sql(f"DROP TABLE IF EXISTS {frame.scratch_table}")
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """Collects the names of tables stored meanwhile, for ``drop_tables``."""
+    tables: list[str] = []
+    before = _scope.set(tables)
+    try:
+        yield tables
+    finally:
+        _scope.reset(before)
+
+
+def drop_tables(spark: SparkSession, tables: list[str]) -> None:
+    while tables:
+        spark.sql(f"DROP TABLE IF EXISTS {tables.pop()}")
 
 
 def remainder_is(id_column: Column, modulus: int, remainder: int) -> Column:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.common import stored
+from refrain.llm.common import release, stored
 
 
 def _contracted(edges: DataFrame) -> DataFrame:
@@ -61,13 +61,17 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         around = edges.unionAll(edges.select("b", "a"))
-        large = around.join(_smallest(around), "a").where("b > a AND b <> m")
+        least = _smallest(around)
+        large = around.join(least, "a").where("b > a AND b <> m")
         # From the larger node to the smaller.
         large = stored(large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
+        release(edges, least)
         own = large.groupBy("a").agg(F.min("b").alias("b"))
-        tied = large.join(_smallest(large), "a").where("b <> m")
+        least = _smallest(large)
+        tied = large.join(least, "a").where("b <> m")
         tied = tied.select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = stored(tied.unionAll(own).distinct(), "small-star")
+        release(large, least)
         before, mark = mark, _mark(edges)
         if mark == before:
             heads = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

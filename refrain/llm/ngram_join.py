@@ -5,25 +5,27 @@ shingles of a set are hashed into GROUPS groups, and the number in each group ma
 the set a point. Two sets cannot share more than the sum of the smaller of each
 coordinate, and a node of an R-tree over points bounds that sum for all below it.
 
-Sets that are similar enough share one of their first shingles in any common order
-(prefix filter), so sets meet under these keys only; rare shingles come first,
-judged by a sample. Under each key a tree over the points is searched in two
-rounds. The first takes each set's most promising partner; verified links make
+Sets that are similar enough share several of their first shingles in any common
+order (prefix filter), so sets meet under these keys only; rare shingles come
+first, judged by a sample. Under each key a tree over the points is searched in
+two rounds. The first takes each set's most promising partner; verified links make
 components. The second takes all partners that the bound allows in other
-components, so no link between components is lost, while the many links inside a
-group of near copies are never written out. Large keys are split into blocks.
+components and that are met under enough keys, so no link between components is
+lost, while the many links inside a group of near copies are never written out.
+Large keys are split into blocks.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.common import map_texts, spread_sample, stored
+from refrain.llm.common import map_texts, release, spread_sample, stored
 from refrain.llm.components import components
 from refrain.llm.repeats import KEY, keyed_texts
 from refrain.llm.spans import LOWER, RangeHash, Texts, Words, byte_codes, chunks, mix, window_starts
@@ -32,9 +34,15 @@ SHINGLE_WORDS = 5
 #: Similarity in percent.
 SIMILARITY = 80
 GROUPS = 16
+#: The largest count that is written; it stands for any larger one, too.
+FULL = 65_535
 #: Texts sampled to find frequent shingles, which come last in the order. It sets
 #: only the order, not what is found.
 SAMPLE_TEXTS = 4_000
+#: Two sets must meet under as many keys as the smaller size asks for: one for each
+#: KEY_SHARE shingles, at most MOST_KEYS. Each adds a key to every set.
+KEY_SHARE = 20
+MOST_KEYS = 8
 #: Rows of a key searched together, and entries of a tree node.
 BLOCK_ROWS = 2_000
 NODE = 16
@@ -82,7 +90,9 @@ class Sets:
         """The keys of each set, and the set of each key.
 
         ``frequent`` holds frequent shingles, the most frequent last. A partner of
-        a set of n shingles shares at least ``similarity`` percent of n.
+        a set of n shingles shares at least ``similarity`` percent of n; so of the
+        first shingles, all but that many and ``keys_in_common`` more, it shares
+        ``keys_in_common`` at least.
         """
         late = np.zeros(len(self.hashes), np.int64)
         if len(frequent):
@@ -93,12 +103,21 @@ class Sets:
         order = np.argsort(late, kind="stable")
         order = order[np.argsort(self.text[order], kind="stable")]
         sizes = self.sizes()
-        keep = sizes - -(-sizes * similarity // 100) + 1
+        keep = sizes - -(-sizes * similarity // 100) + keys_in_common(sizes)
         place = np.arange(len(order)) - self.first[self.text[order]]
         order = order[place < keep[self.text[order]]]
         return self.hashes[order], self.text[order]
 
 
+def keys_in_common(sizes: np.ndarray) -> np.ndarray:
+    return np.clip(sizes // KEY_SHARE, 1, MOST_KEYS)
+
+
+def _keys_in_common(size: Column) -> Column:
+    """The same for a column."""
+    return F.greatest(F.lit(1), F.least(F.lit(MOST_KEYS), F.floor(size / KEY_SHARE)))
+
+
 def needed(size_a: np.ndarray, size_b: np.ndarray, similarity: int) -> np.ndarray:
     """Shingles that sets of these sizes must share at least."""
     return -(-similarity * (size_a + size_b) // (100 + similarity))
@@ -152,10 +171,10 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
             made["class"] += [
                 c if n else None for c, n in zip(sets.classes().view(np.int64).tolist(), sizes)
             ]
-            made["point"] += list(sets.points())
+            made["point"] += [p.tobytes() for p in np.minimum(sets.points(), FULL).astype("<u2")]
         return made
 
-    return map_texts(docs, run, "n_shingles bigint, class bigint, point array<int>", KEY)
+    return map_texts(docs, run, "n_shingles bigint, class bigint, point binary", KEY)
 
 
 def frequent_shingles(docs: DataFrame, words: int, sample: int) -> np.ndarray:
@@ -210,29 +229,49 @@ def shared_keys(docs: DataFrame, words: int, frequent: np.ndarray, similarity: i
 
 
 def _candidates(rows: DataFrame, similarity: int, across: bool) -> DataFrame:
-    """Pairs ``a`` < ``b`` of classes that the bound allows, found in blocks.
+    """Partners ``b`` that classes ``a`` find, and under how many keys (``votes``).
 
-    ``rows`` has ``block`` columns, ``class``, ``n_shingles``, ``point``, ``label`` and
-    ``asks``. Without ``across``, each class that asks gets its best partner; with it,
-    all partners of another label.
+    ``rows`` has ``key``, ``part`` and ``asking``, which make a block, ``class``,
+    ``n_shingles``, ``point``, ``label`` and ``asks``. Without ``across``, each class
+    finds its most promising partner in a block. With it, each row that asks finds
+    all rows that are only there to be found (``asks`` is false) and have another
+    label; of two classes that both ask, the smaller finds the larger.
     """
 
-    def pairs_of(group: list[pa.Array]) -> Iterator[tuple[int, int]]:
-        ids, sizes, labels, asks, points = group
-        if len(ids) < 2 or (across and (labels == labels[0]).all()):
+    def partners(ids, sizes, labels, asks, main, points) -> Iterator[tuple[int, int]]:
+        if across:
+            told = np.flatnonzero(~asks)
+            tree = CountTree(points[told], sizes[told])
+            for i in np.flatnonzero(asks):
+                at = told[tree.search(points[i], int(sizes[i]), similarity)[0]]
+                for j in at[(labels[at] != labels[i]) & ((labels[at] == main[i]) | (ids[i] < ids[at]))]:
+                    yield int(ids[i]), int(ids[j])
             return
         tree = CountTree(points, sizes)
-        for i in np.flatnonzero(asks):
+        for i in range(len(ids)):
             at, bound = tree.search(points[i], int(sizes[i]), similarity)
-            keep = (ids[at] != ids[i]) if not across else (labels[at] != labels[i])
-            at, bound = at[keep], bound[keep]
-            if len(at) and not across:
-                # Most promising first; ties go to the smallest, so that groups of
-                # near copies gather around few members.
+            other = ids[at] != ids[i]
+            at, bound = at[other], bound[other]
+            if len(at):
+                # Ties go to the smallest, so that near copies gather around few.
                 promise = bound / needed(sizes[at], sizes[i], similarity)
-                at = at[np.lexsort((ids[at], -promise))[:1]]
-            for j in at:
-                yield min(ids[i], ids[j]), max(ids[i], ids[j])
+                yield int(ids[i]), int(ids[at[np.lexsort((ids[at], -promise))[0]]])
+
+    def found_in(table: pa.Table) -> pa.RecordBatch:
+        votes: Counter[tuple[int, int]] = Counter()
+        if table.num_rows:
+            block = _block_ids(table)
+            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
+            names = ("class", "n_shingles", "label", "asks", "main")
+            arrays = [table[c].to_numpy() for c in names]
+            data = b"".join(table["point"].to_pylist())
+            points = np.frombuffer(data, "<u2").reshape(-1, GROUPS).astype(np.int64)
+            points[points == FULL] = 1 << 40
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if hi - lo > 1:
+                    votes.update(partners(*(a[lo:hi] for a in arrays), points[lo:hi]))
+        rows = np.array([(*pair, n) for pair, n in votes.items()], np.int64).reshape(-1, 3)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=["a", "b", "votes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -240,26 +279,13 @@ def _candidates(rows: DataFrame, similarity: int, across: bool) -> DataFrame:
             table = pa.Table.from_batches([batch])
             rest = pa.concat_tables([rest, table]) if rest is not None else table
             done, rest = _whole_groups(rest)
-            yield emit(done)
+            yield found_in(done)
         if rest is not None:
-            yield emit(rest)
-
-    def emit(table: pa.Table) -> pa.RecordBatch:
-        found = set()
-        if table.num_rows:
-            table = table.combine_chunks()
-            block = _block_ids(table)
-            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
-            arrays = [table[c].to_numpy() for c in ("class", "n_shingles", "label", "asks")]
-            points = table["point"].combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if hi - lo > 1:
-                    found.update(pairs_of([a[lo:hi] for a in arrays] + [points[lo:hi]]))
-        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            yield found_in(rest)
 
     dealt = rows.repartition("key", "part", "asking").sortWithinPartitions("key", "part", "asking", "class")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    found = dealt.mapInArrow(run, "a bigint, b bigint, votes bigint")
+    return found.groupBy("a", "b").agg(F.sum("votes").alias("votes"))
 
 
 def _block_ids(table: pa.Table) -> np.ndarray:
@@ -332,22 +358,37 @@ def linked_classes(
         .select("class", "s.n_shingles", "s.point"),
         "classes",
     )
-    meeting = keys.join(key_sizes, "key").join(classes, "class")
     blocks = F.ceil(F.col("rows") / block_rows).cast("int")
-    dealt = meeting.withColumn("part", F.pmod(F.xxhash64("class"), blocks).cast("int"))
-    near = dealt.select(
-        "key", "part", F.lit(0).alias("asking"), "class", "n_shingles", "point",
-        F.lit(0).cast("long").alias("label"), F.lit(True).alias("asks"),
+    nothing = F.lit(0).cast("long")
+    meeting = keys.join(key_sizes, "key").join(classes, "class").select(
+        "key", F.pmod(F.xxhash64("class"), blocks).cast("int").alias("part"),
+        F.lit(0).alias("asking"), "class", "n_shingles", "point",
+        nothing.alias("label"), F.lit(True).alias("asks"), nothing.alias("main"),
     )
-    pairs = stored(_candidates(near, similarity, across=False), "near-pairs")
-    texts = stored(_texts_of(docs, words, pairs), "class-texts")
-    links = stored(_verified(pairs, texts, words, similarity), "links")
+    votes = stored(_candidates(meeting, similarity, across=False), "votes")
+    # A class can only have a link if it meets partners often enough; where a key
+    # is split into blocks it may meet them in another block.
+    asker = votes.groupBy("a").agg(
+        F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"),
+        F.max("votes").alias("most"), F.sum("votes").alias("all"),
+    ).join(classes.select(F.col("class").alias("a"), "n_shingles"), "a")
+    enough = _keys_in_common(F.col("n_shingles") * similarity / 100)
+    asker = stored(asker.where(F.col("all") >= enough), "askers")
+    split = keys.join(key_sizes.where(F.col("rows") > block_rows), "key")
+    involved = asker.select(F.col("a").alias("class")).unionAll(split.select("class")).distinct()
+    involved = stored(involved, "involved")
+    texts = stored(_texts_of(docs, words, involved), "class-texts")
+    near = asker.where(2 * F.col("most") >= enough).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    ).distinct()
+    links = stored(_verified(near, texts, words, similarity), "links")
     found = stored(components(links), "components")
     label = stored(_labelled(classes, found), "labels")
+    release(votes, asker, links)
 
     # Keys under which several components meet; all rows but those of the most
     # frequent one ask, each in every block of the key.
-    tagged = keys.join(key_sizes, "key").join(label, "class")
+    tagged = keys.join(key_sizes, "key").join(label.select("class", "label"), "class")
     by_label = tagged.groupBy("key", "label").agg(F.count("*").alias("n"))
     mixed = stored(
         by_label.groupBy("key").agg(
@@ -358,38 +399,47 @@ def linked_classes(
         ).where("labels > 1").drop("labels"),
         "mixed-keys",
     )
+    wanted = label.join(involved, "class", "left_semi")
     rows = stored(
-        keys.join(mixed, "key").join(label, "class").withColumn(
+        keys.join(mixed, "key").join(wanted, "class").withColumn(
             "parts", F.ceil(F.col("rows") / block_rows).cast("int")
         ).withColumn("askings", F.ceil(F.col("asking_rows") / block_rows).cast("int")),
         "mixed-rows",
     )
+    release(keys, key_sizes, mixed, label, classes, involved)
     spread = F.sequence(F.lit(0), F.col("askings") - 1)
     told = rows.select(
         "key", F.pmod(F.xxhash64("class"), "parts").cast("int").alias("part"),
         F.explode(spread).alias("asking"), "class", "n_shingles", "point", "label",
-        F.lit(False).alias("asks"),
+        F.lit(False).alias("asks"), "main",
     )
     asking = rows.where("label <> main").select(
         "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.pmod(F.xxhash64("class", F.lit(1)), "askings").cast("int").alias("asking"),
-        "class", "n_shingles", "point", "label", F.lit(True).alias("asks"),
+        "class", "n_shingles", "point", "label", F.lit(True).alias("asks"), "main",
     )
-    across = _candidates(told.unionByName(asking), similarity, across=True)
-    across = stored(across.join(pairs, ["a", "b"], "left_anti"), "far-pairs")
-    if not across.isEmpty():
-        more_texts = stored(_texts_of(docs, words, across), "more-texts")
-        more = _verified(across, more_texts, words, similarity)
+    far = _candidates(told.unionByName(asking), similarity, across=True).groupBy(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    ).agg(F.sum("votes").alias("votes"))
+    size = sets.where("class IS NOT NULL").select("class", "n_shingles").distinct()
+    for end in ("a", "b"):
+        far = far.join(size.select(F.col("class").alias(end), F.col("n_shingles").alias(f"n_{end}")), end)
+    far = stored(
+        far.where(F.col("votes") >= _keys_in_common(F.least("n_a", "n_b"))).select("a", "b"), "far-pairs"
+    )
+    release(rows)
+    if not far.isEmpty():
+        more = _verified(far, texts, words, similarity)
         tied = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        found = components(tied.unionByName(more))
+        joined = stored(components(tied.unionByName(more)), "components")
+        release(found)
+        found = joined
+    release(texts, far)
     return found.select(F.col("node").alias("class"), F.col("component").alias("label"))
 
 
-def _texts_of(docs: DataFrame, words: int, pairs: DataFrame) -> DataFrame:
-    """One text for each class in ``pairs``."""
-    wanted = stored(
-        pairs.select(F.col("a").alias("class")).unionAll(pairs.select("b")).distinct(), "wanted"
-    )
+def _texts_of(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
+    """One text for each class in ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -455,6 +505,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
         .select(F.col("doc_id").alias("key")).distinct()
     )
     dropped = stored(dropped, "dropped")
+    release(first)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"))
     left = docs.withColumn("kept_key", key).join(dropped, F.col("kept_key") == F.col("key"), "left_anti")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.common import map_texts, stored
+from refrain.llm.common import map_texts, release, stored
 from refrain.llm.spans import Runs, chunks
 
 KEY = "struct<doc_id:bigint,text_hash:bigint>"
@@ -76,15 +76,18 @@ def all_runs(docs: DataFrame, make: MakeRuns) -> DataFrame:
     return map_texts(docs, run, "anchor bigint, content bigint, start int, count int", KEY)
 
 
-def settle_runs(docs: DataFrame, make: MakeRuns, keep_first: bool) -> DataFrame:
+def settle_runs(
+    docs: DataFrame, make: MakeRuns, keep_first: bool
+) -> tuple[DataFrame, list[DataFrame]]:
     """The ``closed`` runs, which repeat as a whole, and the ``open`` runs of each
-    document that has any.
+    document that has any; and the stored tables that this is read from.
 
     ``keep_first`` says whether the first of equal runs (smallest document, then
     start) is spared.
     """
     anchors = stored(repeated_anchors(docs, make), "anchors")
     runs = stored(all_runs(docs, make).join(anchors, "anchor", "left_semi"), "runs")
+    release(anchors)
     place = F.struct("doc_id", "start")
     contents = stored(
         runs.groupBy("anchor", "content").agg(
@@ -106,9 +109,10 @@ def settle_runs(docs: DataFrame, make: MakeRuns, keep_first: bool) -> DataFrame:
     if keep_first:
         closed = closed.where(place != F.col("first"))
     closed = closed.select("doc_id", F.struct("start", "count").alias("closed"), F.lit(None).alias("open"))
-    return closed.unionByName(open_runs).groupBy("doc_id").agg(
+    lists = closed.unionByName(open_runs).groupBy("doc_id").agg(
         F.collect_list("closed").alias("closed"), F.collect_list("open").alias("open")
     )
+    return lists, [runs, contents, shared]
 
 
 def with_runs(docs: DataFrame, lists: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from refrain.llm.common import map_batches, stored
+from refrain.llm.common import map_batches, release, stored
 from refrain.llm.repeats import keyed_texts, settle_runs, with_runs
 from refrain.llm.spans import RangeHash, Runs, Texts, anchored_runs, byte_codes
 
@@ -334,7 +334,7 @@ def remove_repeats(
     texts = keyed_texts(docs, carried)
     rest = ["rest"] if carried else []
     along = f", rest {texts.schema['rest'].dataType.simpleString()}" if carried else ""
-    lists = settle_runs(texts, run_maker(width, gram), keep_first=False)
+    lists, read_from = settle_runs(texts, run_maker(width, gram), keep_first=False)
     names = [f.split()[0] for f in RESULT.split(", ")]
 
     def settle(batch: pa.RecordBatch) -> dict:
@@ -361,6 +361,7 @@ def remove_repeats(
         ),
         "half-done",
     )
+    release(*read_from)
     waiting = half.where("text IS NOT NULL")
 
     def cut(batch: pa.RecordBatch) -> dict:

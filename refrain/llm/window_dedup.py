@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.common import map_batches, stored
+from refrain.llm.common import map_batches, release, stored
 from refrain.llm.repeats import keyed_texts, settle_runs, starts_of, with_runs
 from refrain.llm.spans import (
     RangeHash,
@@ -91,7 +91,7 @@ def remove_repeats(
     are ignored.
     """
     texts = keyed_texts(docs)
-    lists = settle_runs(texts, run_maker(width, gram), keep_first=True)
+    lists, read_from = settle_runs(texts, run_maker(width, gram), keep_first=True)
     names = [f.split()[0] for f in RESULT.split(", ")]
 
     def settle(batch: pa.RecordBatch) -> dict:
@@ -120,6 +120,7 @@ def remove_repeats(
         f"text string, closed array<int>, hashes array<bigint>, starts array<int>, {RESULT}",
     )
     half = stored(half, "half-done")
+    release(*read_from)
     waiting = half.where("text IS NOT NULL")
     windows = waiting.select(
         "doc_id", F.explode(F.arrays_zip("hashes", "starts")).alias("w")
