@@ -53,18 +53,23 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out_split().alias("held_out"), "score", "predicted")
 
 
-@query()
+@query(
+    oracle.line_frequency(
+        "source", line_frequency.MIN_TEXTS, line_frequency.MAX_SHARE, line_frequency.MAX_REMOVED,
+        line_frequency.MIN_WORDS, line_frequency.MAX_REPEATED,
+    )
+)
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_frequency.judge_lines(table(spark, sf_dir, "documents"), "source")
     return judged.drop("removed_lines")
 
 
-@query()
+@query(oracle.window_dedup(window_dedup.WIDTH))
 def op3_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(oracle.contained_items(decontamination.SHINGLE_WORDS, 80))
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained_items(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -114,6 +119,6 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(oracle.ngram_join(ngram_join.SHINGLE_WORDS, ngram_join.SIMILARITY))
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_documents(table(spark, sf_dir, "documents")).drop("class")
