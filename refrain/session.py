@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
     Only a local session may do without it; there a fresh temporary folder is
-    made once and set.
+    made once, set, and removed when the process ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -51,6 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
             "set spark.checkpoint.dir to a folder that all executors share"
         )
     folder = tempfile.mkdtemp(prefix="refrain-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
