@@ -79,6 +79,17 @@ def spread_sample(key: Column, expected: int, total: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * (1 << 30))
 
 
+#: Rows handled at once in a task, so that texts are not held many times over.
+SLICE_ROWS = 512
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
 def map_batches(
     frame: DataFrame, run: Callable[[pa.RecordBatch], dict], schema: str, id_type: str | None = None
 ) -> DataFrame:
@@ -93,7 +104,7 @@ def map_batches(
     target = to_arrow_schema(StructType.fromDDL(full))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             made = run(batch)
             ids = batch["doc_id"]
             if "row" in made:

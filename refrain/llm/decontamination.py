@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.common import map_texts
+from refrain.llm.common import map_texts, sliced
 from refrain.llm.spans import LOWER, RangeHash, Texts, Words, byte_codes, chunks, window_starts
 
 SHINGLE_WORDS = 5
@@ -144,7 +144,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRE
 
     def without(frame: DataFrame, index: ItemIndex) -> DataFrame:
         def run(batches):
-            for batch in batches:
+            for batch in sliced(batches):
                 keep = np.ones(batch.num_rows, bool)
                 for first, chunk in chunks(batch.column("text").to_pylist()):
                     for i, *_ in index.search(chunk):

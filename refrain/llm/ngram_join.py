@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.common import map_texts, release, spread_sample, stored
+from refrain.llm.common import map_texts, release, sliced, spread_sample, stored
 from refrain.llm.components import components
 from refrain.llm.repeats import KEY, keyed_texts
 from refrain.llm.spans import LOWER, RangeHash, Texts, Words, byte_codes, chunks, mix, window_starts
@@ -46,6 +46,8 @@ MOST_KEYS = 8
 #: Rows of a key searched together, and entries of a tree node.
 BLOCK_ROWS = 2_000
 NODE = 16
+#: Blocks of at most so many rows are one leaf.
+LEAF_ROWS = 48
 
 
 class Sets:
@@ -181,7 +183,7 @@ def frequent_shingles(docs: DataFrame, words: int, sample: int) -> np.ndarray:
     """Shingles in at least three of about ``sample`` texts, rarest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for _, chunk in chunks(batch["text"].to_pylist()):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(Sets(chunk, words).hashes.view(np.int64))], names=["shingle"]
@@ -202,7 +204,7 @@ def shared_keys(docs: DataFrame, words: int, frequent: np.ndarray, similarity: i
     known = docs.sparkSession.sparkContext.broadcast(frequent)  # bounded by the sample
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for _, chunk in chunks(batch["text"].to_pylist()):
                 keys, times = np.unique(
                     Sets(chunk, words).prefixes(known.value, similarity)[0], return_counts=True
@@ -212,7 +214,7 @@ def shared_keys(docs: DataFrame, words: int, frequent: np.ndarray, similarity: i
                 )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for _, chunk in chunks(batch["text"].to_pylist()):
                 sets = Sets(chunk, words)
                 keys, text = sets.prefixes(known.value, similarity)
@@ -238,7 +240,26 @@ def _candidates(rows: DataFrame, similarity: int, across: bool) -> DataFrame:
     label; of two classes that both ask, the smaller finds the larger.
     """
 
+    def near_leaf(ids, sizes, labels, asks, main, points) -> Iterator[tuple[int, int]]:
+        """``partners`` of a block that is a single leaf, all rows at once."""
+        bound = np.minimum(points[:, None], points[None]).sum(2)
+        least = needed(sizes[:, None], sizes[None], similarity)
+        fits = (bound >= least) & (ids[:, None] != ids[None])
+        if across:
+            fits &= asks[:, None] & ~asks[None] & (labels[:, None] != labels[None])
+            fits &= (labels[None] == main[:, None]) | (ids[:, None] < ids[None])
+            at, found = np.nonzero(fits)
+        else:
+            promise = np.where(fits, bound / least, 0)
+            found = promise.argmax(1)  # the first is the smallest, as blocks are sorted
+            at = np.flatnonzero(fits.any(1))
+            found = found[at]
+        yield from zip(ids[at].tolist(), ids[found].tolist())
+
     def partners(ids, sizes, labels, asks, main, points) -> Iterator[tuple[int, int]]:
+        if len(ids) <= LEAF_ROWS:
+            yield from near_leaf(ids, sizes, labels, asks, main, points)
+            return
         if across:
             told = np.flatnonzero(~asks)
             tree = CountTree(points[told], sizes[told])
@@ -309,7 +330,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) -
     """The pairs whose sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             keep = np.zeros(batch.num_rows, bool)
             both = zip(batch["text_a"].to_pylist(), batch["text_b"].to_pylist())
             number: dict[str, int] = {}
@@ -442,7 +463,7 @@ def _texts_of(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
     """One text for each class in ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             seen = {}
             for first, chunk in chunks(batch["text"].to_pylist()):
                 for i, c in enumerate(Sets(chunk, words).classes().view(np.int64).tolist()):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.common import map_texts, release, stored
+from refrain.llm.common import map_texts, release, sliced, stored
 from refrain.llm.spans import Runs, chunks
 
 KEY = "struct<doc_id:bigint,text_hash:bigint>"
@@ -47,7 +47,7 @@ def repeated_anchors(docs: DataFrame, make: MakeRuns) -> DataFrame:
     """The anchors that occur at least twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for _, chunk in chunks(batch["text"].to_pylist()):
                 anchors, times = np.unique(make(chunk)[0].anchor, return_counts=True)
                 yield pa.RecordBatch.from_arrays(

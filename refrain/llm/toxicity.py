@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.llm.common import map_texts, remainder_is, spread_sample
+from refrain.llm.common import map_texts, remainder_is, sliced, spread_sample
 
 #: The classifier is fitted on at most this many labelled documents of each class.
 MAX_SAMPLE = {1: 2000, 0: 4000}
@@ -250,7 +250,7 @@ def keep_unflagged(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             scores = model.scores(batch.column("text").to_pylist())
             yield batch.filter(pa.array(scores < THRESHOLD))
 
