@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Bytes of text handled at once; arrays take about fifty times as much memory.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse
 _UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
