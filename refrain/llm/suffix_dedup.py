@@ -52,23 +52,33 @@ class Interval:
     before: int | None = field(default=_MIXED, repr=False)
 
 
-def _ranks(data: np.ndarray, longest: int) -> list[np.ndarray]:
+def _ranks(joined: Texts, longest: int) -> list[np.ndarray]:
     """For 8, 16, 32, ... bytes: the rank of what starts at each place.
 
-    Each array has ``longest`` more entries, for places beyond the end.
+    Nothing is read beyond the end of a place's text: of two that begin alike, the
+    one whose text ends first ranks first. Each array has ``longest`` more
+    entries, for places beyond the end.
     """
-    n = len(data)
-    padded = np.r_[data, np.zeros(7, np.uint8)].astype(np.uint64)
+    n = len(joined.data)
+    padded = np.r_[joined.data, np.zeros(7, np.uint8)].astype(np.uint64)
     word = np.zeros(n, np.uint64)
     for i in range(8):
         word = (word << np.uint64(8)) | padded[i : i + n]
+    left = np.repeat(joined.end, joined.end - joined.begin + 1) - np.arange(n)
+    within = np.minimum(left, 8)
+    beyond = (8 * (8 - np.maximum(within, 1))).astype(np.uint64)
+    word = np.where(within > 0, (word >> beyond) << beyond, np.uint64(0))
+    _, rank = np.unique(word, return_inverse=True)
+    rank = rank.astype(np.int64) * 9 + within  # zeros of a text come after its end
     levels, size = [], 8
     while True:
-        _, rank = np.unique(word, return_inverse=True)
-        levels.append(np.r_[rank.astype(np.int64) + 1, np.zeros(longest + 1, np.int64)])
+        levels.append(np.r_[rank + 1, np.zeros(longest + 1, np.int64)])
         if size >= longest:
             return levels
-        word = levels[-1][:n] * (n + 1) + levels[-1][size : size + n]
+        follows = np.where(left > size, levels[-1][size : size + n], 0)
+        word = levels[-1][:n] * (int(levels[-1].max()) + 1) + follows
+        _, rank = np.unique(word, return_inverse=True)
+        rank = rank.astype(np.int64)
         size *= 2
 
 
@@ -136,7 +146,7 @@ def maximal_repeats(texts: list[bytes], width: int) -> tuple[Texts, list[Interva
         return joined, []
     text = np.repeat(np.arange(len(texts)), counts)
     place = np.arange(counts.sum()) - (np.cumsum(counts) - counts)[text] + joined.begin[text]
-    levels = _ranks(joined.data, int(sizes.max()))
+    levels = _ranks(joined, int(sizes.max()))
     order = np.argsort(levels[-1][place], kind="stable")
     place, left_over = place[order], joined.end[text[order]] - place[order]
     lengths = _common_prefix(

@@ -100,3 +100,26 @@ def test_interval_is_left_diverse_and_lists_all_occurrences():
     joined, repeats = suffix_dedup.maximal_repeats([b"xabcdeY", b"yabcdeZ", b"zabcdQ"], 3)
     found = {(r.length, tuple(sorted(joined.data[s - 1 : s].tobytes() for s in r.starts)), r.parent) for r in repeats}
     assert found == {(5, (b"x", b"y"), 4), (4, (b"z",), 0)}
+
+
+def test_line_feeds_in_texts_do_not_hide_repeats():
+    joined, repeats = suffix_dedup.maximal_repeats([b"ab\nb", b"ab\nz", b"ab", b"mq"], 2)
+    gone = {p for r in repeats for s in r.starts for p in range(s, s + r.length)}
+    assert gone == {0, 1, 2, 5, 6, 7, 10, 11}
+    for seed in range(400):
+        rng = random.Random(seed)
+        base = bytes(rng.choice(b"a\n\0") for _ in range(30))
+        texts = []
+        for _ in range(rng.randint(2, 8)):
+            a = rng.randint(0, 25)
+            texts.append(base[a : rng.randint(a, 30)] + bytes(rng.choice(b"a\n\0z") for _ in range(rng.randint(0, 4))))
+        width = rng.randint(1, 12)
+        joined, repeats = suffix_dedup.maximal_repeats(texts, width)
+        got = {p for r in repeats for s in r.starts for p in range(s, s + r.length)}
+        times = Counter(t[s : s + width] for t in texts for s in range(len(t) - width + 1))
+        assert got == {
+            int(b) + p
+            for t, b in zip(texts, joined.begin)
+            for s in range(len(t) - width + 1) if times[t[s : s + width]] > 1
+            for p in range(s, s + width)
+        }, (seed, texts, width)
