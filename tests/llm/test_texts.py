@@ -288,3 +288,28 @@ def test_wrapper_finds_the_content_root(spark):
     assert texts[None] == texts[1] and texts[22] == "" and texts[21] == "t"
     assert texts[20].startswith("Welcome to us\nRead this first\nv")
     assert wrappers.extract_text(pages.limit(0)).collect() == []
+
+
+def _induced(pages):
+    import json
+    from dataclasses import asdict
+
+    return json.dumps(asdict(wrappers.induce(pages)))
+
+
+def _prose(rng, n):
+    return " ".join(f"v{rng.randrange(9999)}" for _ in range(n))
+
+
+def test_text_beside_the_largest_container_is_kept():
+    rng = random.Random(11)
+    for outer in ("article", "main", "div class=x"):
+        parts = [(_prose(rng, 4), _prose(rng, 9), [_prose(rng, 40) for _ in range(4)], _prose(rng, 6)) for _ in range(6)]
+        pages = [
+            f"<body><nav>n</nav><{outer}><h1>{h}</h1><div class=lead><p>{lead}</p></div>"
+            f"<div class=body>{''.join(f'<p>{p}</p>' for p in ps)}</div><p>{end}</p></{outer.split()[0]}><div><p>Call {i}</p></div>"
+            for i, (h, lead, ps, end) in enumerate(parts)
+        ]
+        wrapper = _induced(pages)
+        for page, (h, lead, ps, end) in zip(pages, parts):
+            assert wrappers.main_text(page, wrapper) == "\n".join([h, lead, *ps, end]), outer
