@@ -313,3 +313,18 @@ def test_text_beside_the_largest_container_is_kept():
         wrapper = _induced(pages)
         for page, (h, lead, ps, end) in zip(pages, parts):
             assert wrappers.main_text(page, wrapper) == "\n".join([h, lead, *ps, end]), outer
+
+
+def test_constants_decide_inside_article_and_names_only_as_a_whole():
+    rng = random.Random(12)
+    texts = [[_prose(rng, 5), _prose(rng, 30), _prose(rng, 30), _prose(rng, 7)] for _ in range(6)]
+    pages = [
+        f"<body><article><h2 id=search>{h}</h2><p>Sign up for our letter</p><section id='related-work'><p>{a}</p></section>"
+        f"<p class='search-algorithms'>{b}</p><figure><figcaption>{c}</figcaption></figure><div class='x ad'>Buy</div></article>"
+        for h, a, b, c in texts
+    ]
+    wrapper = _induced(pages)
+    for page, held in zip(pages, texts):
+        assert wrappers.main_text(page, wrapper) == "\n".join(held)
+    beside = "<main><p>the main text</p><article><p>a teaser</p></article></main>"
+    assert wrappers.main_text(beside) == "the main text\na teaser"
