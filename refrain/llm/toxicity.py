@@ -33,7 +33,8 @@ WINDOW = re.compile(rb"(?s).{1,96}(?= |$)|\S{97,}")
 LEVEL = 6
 COMMON_BYTES = 16_384
 TOXIC_BYTES = 2_048
-#: What a gram needs to count as telling, and the longest run of such grams.
+#: What a gram needs to count as telling; longer runs of such grams are cut into
+#: pieces of MAX_RUN bytes.
 MIN_EVIDENCE = 30
 MIN_DOCS = 3
 MAX_RUN = 24
@@ -95,19 +96,28 @@ def _without_copies(texts: list[bytes]) -> list[bytes]:
 
 
 def _toxic_content(toxic: list[bytes], telling: np.ndarray) -> bytes:
-    """The runs of telling grams, most frequent last, none inside another."""
+    """The runs of telling grams, most frequent last, none inside another.
+
+    Of a longer run every piece of MAX_RUN bytes counts, as runs of one phrase start
+    and end differently; a piece is left out if all its grams are there already.
+    """
     counts: dict[bytes, int] = {}
     for text in toxic:
         hit = np.isin(_grams(text), telling)
         edges = np.flatnonzero(np.diff(np.r_[False, hit, False]))
         runs = {text[a : b + GRAM - 1] for a, b in edges.reshape(-1, 2)}
-        for run in runs:
+        pieces = {r[i : i + MAX_RUN] for r in runs for i in range(max(1, len(r) - MAX_RUN + 1))}
+        for run in pieces:
             counts[run] = counts.get(run, 0) + 1
-    content = b""
-    usable = (r for r in counts if len(r) <= MAX_RUN and counts[r] >= MIN_DOCS)
+    content, held = b"", set()
+    usable = (r for r in counts if counts[r] >= MIN_DOCS)
     for run in sorted(usable, key=lambda r: (-counts[r], r)):
-        if run not in content and len(content) + len(run) <= TOXIC_BYTES:
+        grams = {run[i : i + GRAM] for i in range(len(run) - GRAM + 1)}
+        if run in content or len(content) + len(run) > TOXIC_BYTES:
+            continue
+        if len(run) < MAX_RUN or not grams <= held:
             content = run + content
+            held |= grams
     return content
 
 

@@ -67,6 +67,22 @@ def test_toxicity_edges(frame, toxic_tables):
     assert toxicity.score_documents(frame([]), model).collect() == []
 
 
+def test_long_toxic_phrases_are_learned():
+    rng = random.Random(5)
+    plain = ["".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    phrase = "gruzzle blorfin vexwump dakkory"
+    bad, good = [], []
+    for i in range(240):
+        text = [rng.choice(plain) for _ in range(rng.randint(20, 60))]
+        if i % 3 == 0:
+            text.insert(rng.randrange(len(text)), phrase)
+        (good if i % 3 else bad).append(" ".join(text))
+    model = toxicity.fit_on_texts(bad[:60], good[:120])
+    for i in range(len(phrase) - toxicity.GRAM + 1):
+        assert phrase[i : i + toxicity.GRAM].encode() in model.toxic
+    assert (model.scores(bad[60:]) >= 0.7).all() and (model.scores(good[120:]) < 0.7).mean() > 0.95
+
+
 SYLLABLES = {"aa": "tha wen ing ough sha", "bb": "ßung schö ieck euz tzt", "cc": "ción ñez llo rra dad"}
 
 
