@@ -15,6 +15,7 @@ from refrain.llm import (
     ngram_join,
     oracle,
     packing,
+    simhash,
     suffix_dedup,
     toxicity,
     url_filter,
@@ -122,3 +123,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle.ngram_join(ngram_join.SHINGLE_WORDS, ngram_join.SIMILARITY))
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_documents(table(spark, sf_dir, "documents")).drop("class")
+
+
+@query()
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
