@@ -16,6 +16,7 @@ from refrain.llm import (
     oracle,
     packing,
     simhash,
+    spelling,
     suffix_dedup,
     toxicity,
     url_filter,
@@ -128,3 +129,12 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
+#: The contract damages a run where this divides the crc32 of ``<doc_id>:<run>``.
+DAMAGED_EVERY = 199
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), DAMAGED_EVERY)
