@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refrain.llm import (
+    conversations,
     decontamination,
     language_id,
     line_frequency,
@@ -138,3 +139,8 @@ DAMAGED_EVERY = 199
 @query()
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"), DAMAGED_EVERY)
+
+
+@query()
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"), damage=True)
