@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from refrain.functions.lists import RAW
@@ -20,18 +20,26 @@ from refrain.sources.csv import SHORT_ROW
 REASONS = (LONG_ROW, NO_NAME, BAD_NUMBER, TOO_SMALL, BAD_LIST)
 
 
-def observe_classified(df: DataFrame, observation: Observation) -> DataFrame:
-    """Count classified items: all, kept, rejected by reason, raw list texts
-    kept, and short rows, whose missing fields read as blank."""
+def _counts(df: DataFrame) -> list[Column]:
     reason = F.col("reject_reason")
-    return df.observe(
-        observation,
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(reason.isNull()).alias("kept"),
         *[F.count_if(reason == name).alias(name) for name in REASONS],
         F.count_if(F.col("list_kind") == RAW).alias("raw_lists"),
         F.count_if(optional_column(df, ROW_FAULT) == SHORT_ROW).alias("short_rows"),
-    )
+    ]
+
+
+def observe_classified(df: DataFrame, observation: Observation) -> DataFrame:
+    """Count classified items: all, kept, rejected by reason, raw list texts
+    kept, and short rows, whose missing fields read as blank."""
+    return df.observe(observation, *_counts(df))
+
+
+def count_classified(df: DataFrame) -> dict[str, int]:
+    """The counts of ``observe_classified``, of stored rows; reads three columns."""
+    return df.agg(*_counts(df)).first().asDict()
 
 
 def observe_rows(df: DataFrame, observation: Observation) -> DataFrame:

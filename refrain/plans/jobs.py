@@ -18,10 +18,10 @@ from refrain.operators.prepare import (
     entity_ids,
     prune_entities,
 )
-from refrain.operators.quality import observe_classified, observe_rows
+from refrain.operators.quality import count_classified, observe_rows
 from refrain.plans.views import ENTITIES_TABLE, ITEMS_TABLE
 from refrain.schemas import MIN_DURATION_MS
-from refrain.session import scratch_path
+from refrain.session import scratch_path, scratch_scope
 from refrain.sinks.csv import write_csv
 from refrain.sinks.publish import WRITERS, publish_all
 from refrain.sinks.tables import LoadReport, load_table
@@ -59,10 +59,11 @@ def transform_csv(
     source: str,
     target: str,
     fn: Callable[[DataFrame], DataFrame],
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> None:
     """Read a CSV dataset, apply any DataFrame transform, write a CSV dataset."""
-    write_csv(read_raw(spark, source, multi_line).transform(fn), target)
+    with scratch_scope(spark):
+        write_csv(read_raw(spark, source, multi_line).transform(fn), target)
 
 
 def _or_empty(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -79,7 +80,7 @@ def prepare_catalogue(
     items_target: str,
     entities_target: str,
     min_duration: float = MIN_DURATION_MS,
-    multi_line: bool = False,
+    multi_line: bool = True,
     fmt: str = "parquet",
     rejects_target: str | None = None,
     raw_lists_target: str | None = None,
@@ -87,23 +88,37 @@ def prepare_catalogue(
     """Prepare the items, then keep the entities that kept items refer to.
 
     The raw items are scanned and classified once: all rows with what was found go
-    to a scratch dataset in Parquet, and the kept items, the ids, and on request the
-    rejected items with their reasons and the kept items whose list is raw text are
-    taken from there. Rows with more fields than the header are rejected, columns
-    that the raw items lack read as blank, empty files count as no rows. If a step
-    fails the next is not begun, the error is raised, and the targets keep what
-    they had. The targets are Parquet; ``fmt="csv"`` makes them CSV.
+    to a scratch dataset in Parquet, and the kept items, the ids, the counts, and on
+    request the rejected items with their reasons and the kept items whose list is
+    raw text are taken from there. Rows with more fields than the header are rejected,
+    columns that the raw items lack read as blank, empty files count as no rows. If a
+    step fails the next is not begun, the error is raised, and the targets keep what
+    they had; scratch data goes in any case. The targets are Parquet; ``fmt="csv"``
+    makes them CSV.
     """
-    write = WRITERS[fmt]
-    item_counts, entity_counts = Observation(), Observation()
-    raw = _or_empty(
-        read_raw(spark, items_source, multi_line, faults=ROW_FAULT), ["id", ITEM.name, ITEM.duration]
-    )
-    classified = observe_classified(classify_items(raw, min_duration), item_counts)
-    found = [c for c in (ROW_FAULT, "reject_reason", "list_kind") if c in classified.columns]
-    scratch = scratch_path(spark, "classified")
-    classified.write.parquet(scratch)
-    rows = spark.read.schema(classified.schema).parquet(scratch)
+    with scratch_scope(spark):
+        return _prepare(
+            spark, items_source, entities_source, items_target, entities_target, min_duration,
+            multi_line, WRITERS[fmt], rejects_target, raw_lists_target,
+        )
+
+
+def _prepare(
+    spark, items_source, entities_source, items_target, entities_target, min_duration,
+    multi_line, write, rejects_target, raw_lists_target,
+) -> PrepareReport:
+    def classified(raw: DataFrame) -> DataFrame:
+        return classify_items(raw, min_duration)
+
+    rows = read_raw(spark, items_source, multi_line, ROW_FAULT, classified)
+    if not rows.columns:
+        rows = classified(_or_empty(rows, ["id", ITEM.name, ITEM.duration]))
+    if not multi_line:
+        # A lazy scan; it is run once here.
+        scratch = scratch_path(spark, "classified")
+        rows.write.parquet(scratch)
+        rows = spark.read.schema(rows.schema).parquet(scratch)
+    found = [c for c in (ROW_FAULT, "reject_reason", "list_kind") if c in rows.columns]
     kept = rows.filter(F.col("reject_reason").isNull())
     write(append_item_columns(kept.drop(*found)), items_target)
     log.info("prepared items written to %s", items_target)
@@ -114,11 +129,12 @@ def prepare_catalogue(
     if raw_lists_target:
         write(kept.filter(F.col("list_kind") == RAW).drop(*found), raw_lists_target)
 
+    entity_counts = Observation()
     entities = _or_empty(read_raw(spark, entities_source, multi_line), ["id"])
     entities = prune_entities(entities, entity_ids(kept))
     write(observe_rows(entities, entity_counts), entities_target)
     log.info("kept entities written to %s", entities_target)
-    return PrepareReport(**item_counts.get, entities=entity_counts.get["rows"])
+    return PrepareReport(**count_classified(rows), entities=entity_counts.get["rows"])
 
 
 def publish_catalogue(
@@ -127,18 +143,19 @@ def publish_catalogue(
     entities_path: str,
     items_uri: str,
     entities_uri: str,
-    multi_line: bool = False,
+    multi_line: bool = True,
     fmt: str = "csv",
     prepared_fmt: str = "parquet",
 ) -> None:
     """Publish both prepared datasets at the same time, by default as CSV."""
-    publish_all(
-        {
-            items_uri: _read_hop(spark, items_path, prepared_fmt, multi_line),
-            entities_uri: _read_hop(spark, entities_path, prepared_fmt, multi_line),
-        },
-        fmt,
-    )
+    with scratch_scope(spark):
+        publish_all(
+            {
+                items_uri: _read_hop(spark, items_path, prepared_fmt, multi_line),
+                entities_uri: _read_hop(spark, entities_path, prepared_fmt, multi_line),
+            },
+            fmt,
+        )
 
 
 def load_catalogue(
@@ -149,11 +166,12 @@ def load_catalogue(
     entities_table: str = ENTITIES_TABLE,
     mode: str = "overwrite",
     on_bad: str = "fail",
-    multi_line: bool = False,
+    multi_line: bool = True,
     fmt: str = "csv",
 ) -> list[LoadReport]:
     """Load items, then entities; the first failure ends the run."""
-    return [
-        load_table(_read_hop(spark, uri, fmt, multi_line), table, mode, on_bad=on_bad)
-        for uri, table in ((items_uri, items_table), (entities_uri, entities_table))
-    ]
+    with scratch_scope(spark):
+        return [
+            load_table(_read_hop(spark, uri, fmt, multi_line), table, mode, on_bad=on_bad)
+            for uri, table in ((items_uri, items_table), (entities_uri, entities_table))
+        ]

@@ -53,6 +53,14 @@ EMPTY_DATASET = "CSV file for {table} is empty."
 MIN_DURATION_MS = 60_000
 
 
+def free_name(base: str, taken: Iterable[str]) -> str:
+    """``base``, with underscores behind it until no column has that name."""
+    taken = {name.lower() for name in taken}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def column_type(name: str, types: dict[str, str] = COLUMN_TYPES) -> str:
     return types.get(name, TEXT)
 

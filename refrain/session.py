@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -58,6 +61,32 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scratch folders", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder, never used before."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folders = _scope.get()
+    if folders is not None:
+        folders.append(path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark can reach, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the scratch folders that are made meanwhile, also after a failure."""
+    folders: list[str] = []
+    before = _scope.set(folders)
+    try:
+        yield
+    finally:
+        _scope.reset(before)
+        for folder in folders:
+            remove_folder(spark, folder)
