@@ -1,35 +1,75 @@
 """Equi-joins that hold when one key has a large share of the rows.
 
-Left rows are spread over salts by a hash of the whole row, and right rows are
-repeated once for each salt, so a hot key meets in as many tasks as there are
-salts. Everything is one lazy join with one scan of each side: Spark broadcasts a
-small right side as ever, and adaptive execution still splits a skewed partition,
-as both inputs of the shuffle join are plain exchanges.
+Both inputs of the shuffle join are plain exchanges, also where one comes out of an
+aggregate on the key, so that adaptive execution can split a skewed partition. Keys
+that are known to be hot, measured by ``hot_keys``, are spread over salts beforehand:
+only their left rows get a salt and only their right rows are repeated, once for each
+salt. Everything is one lazy join with one scan of each side, and Spark broadcasts a
+small right side as ever.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Parts that a hot key is spread over, and so how often the right side is written
-#: to the shuffle. A key with a share s of the left rows puts s / SALTS in a task.
+from refrain.schemas import free_name
+
+#: Parts that a hot key is spread over. One with a share s of the left rows puts
+#: s / SALTS in a task.
 SALTS = 16
 
-_SALT = "_salt"
+#: A key is hot from this share of the rows on; so there are at most 50 hot keys.
+HOT_SHARE = 0.02
+_MOST_HOT = 50
+
+#: Keys that the sketch of frequent keys holds; its counts err by less than a
+#: thousandth of the rows.
+_TRACKED = 8_192
+
+
+def hot_keys(df: DataFrame, key: str | Column, share: float = HOT_SHARE) -> list:
+    """The keys with at least ``share`` of all rows, of which there are few.
+
+    One pass with a sketch of fixed size in each task; NULL counts as no key.
+    """
+    keys = df.select((F.col(key) if isinstance(key, str) else key).alias("k"))
+    found = keys.agg(
+        F.count("*").alias("rows"), F.expr(f"approx_top_k(k, {_MOST_HOT}, {_TRACKED})").alias("top")
+    ).first()
+    least = share * found.rows
+    return [t["item"] for t in found.top or [] if t["item"] is not None and t["count"] >= least]
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "inner", salts: int = SALTS
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "inner",
+    salts: int = SALTS,
+    hot: Sequence = (),
 ) -> DataFrame:
     """``inner``, ``left`` or ``left_semi`` join on ``key``; both sides may repeat it.
 
-    Right columns other than the key must have names of their own. Columns of map
-    type cannot be hashed and do not spread their rows.
+    Rows of the keys in ``hot`` are spread over ``salts``. Right columns other than
+    the key must have names of their own. Columns of map type cannot be hashed and do
+    not spread their rows.
     """
-    hashed = [F.col(f"`{c}`") for c, kind in left.dtypes if not kind.startswith("map")]
-    spread = left.withColumn(_SALT, F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
+    salt = free_name("salt", [*left.columns, *right.columns])
     if how == "left_semi":
         right = right.select(key).distinct()
-    repeated = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(repeated, [key, _SALT], how).drop(_SALT)
+    # Always 0, but not to the optimizer: with a second key the join wants exchanges
+    # of its own on both sides.
+    zero = F.pmod(F.hash(F.col(f"`{key}`")), F.lit(1))
+    if not hot:
+        left, right = left.withColumn(salt, zero), right.withColumn(salt, zero)
+        return left.join(right, [key, salt], how).drop(salt)
+    is_hot = F.col(f"`{key}`").isin(list(hot))
+    hashed = [F.col(f"`{c}`") for c, kind in left.dtypes if not kind.startswith("map")]
+    spread = F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    left = left.withColumn(salt, F.when(is_hot, spread).otherwise(zero))
+    right = right.withColumn(salt, F.explode(F.when(is_hot, every).otherwise(F.array(zero))))
+    return left.join(right, [key, salt], how).drop(salt)

@@ -16,8 +16,10 @@ from refrain.functions.dates import clean_date, date_form, split_date
 from refrain.functions.lists import DROP, list_elements, list_kind
 from refrain.functions.numbers import strict_number
 from refrain.functions.text import trim_wide
+from refrain.operators.bloom import probable
 from refrain.operators.joins import salted_join
-from refrain.schemas import MIN_DURATION_MS
+from refrain.operators.staged import with_computed
+from refrain.schemas import MIN_DURATION_MS, free_name
 
 
 @dataclass(frozen=True)
@@ -82,11 +84,12 @@ def usable_list(df: DataFrame, column: str) -> DataFrame:
 def with_date_parts(df: DataFrame, column: str = ITEM.date) -> DataFrame:
     """Append year, month and day text; columns of these names are replaced."""
     # The helper columns keep the clean-up and the matching to one evaluation.
-    staged = df.withColumn("_date", clean_date(optional_column(df, column)))
-    staged = staged.withColumn("_form", date_form(F.col("_date")))
-    parts = split_date(F.col("_date"), F.col("_form"))
+    date, form = (free_name(n, [*df.columns, YEAR, MONTH, DAY]) for n in ("date", "form"))
+    staged = df.withColumn(date, clean_date(optional_column(df, column)))
+    staged = staged.withColumn(form, date_form(F.col(date)))
+    parts = split_date(F.col(date), F.col(form))
     added = {YEAR: parts.year, MONTH: parts.month, DAY: parts.day}
-    return staged.withColumns(added).drop("_date", "_form")
+    return staged.withColumns(added).drop(date, form)
 
 
 def with_band(
@@ -97,9 +100,10 @@ def with_band(
 ) -> DataFrame:
     """Append the label of a text score."""
     score = optional_column(df, column)
-    staged = df.withColumn("_number", strict_number(score))
-    label = band(score, F.col("_number"), strict_lower)
-    return staged.withColumn(into, label).drop("_number")
+    number = free_name("number", [*df.columns, into])
+    staged = df.withColumn(number, strict_number(score))
+    label = band(score, F.col(number), strict_lower)
+    return staged.withColumn(into, label).drop(number)
 
 
 def classify_items(
@@ -113,22 +117,22 @@ def classify_items(
     passed the others; ``list_kind`` is NULL elsewhere. A row that the reader found
     too long (``row_fault``) is rejected first.
     """
-    number = F.col("_number")
-    failed = (
+    names = list(df.columns)
+    number, failed = (free_name(n, [*names, "reject_reason", "list_kind"]) for n in ("number", "failed"))
+    value = F.col(number)
+    fault = (
         F.when(optional_column(df, ROW_FAULT) == LONG_ROW, F.lit(LONG_ROW))
         .when(~has_text(F.col(columns.name)), F.lit(NO_NAME))
-        .when(number.isNull(), F.lit(BAD_NUMBER))
-        .when(number < F.lit(float(min_duration)), F.lit(TOO_SMALL))
+        .when(value.isNull(), F.lit(BAD_NUMBER))
+        .when(value < F.lit(float(min_duration)), F.lit(TOO_SMALL))
     )
-    kind = F.when(F.col("_failed").isNull(), list_kind(optional_column(df, columns.ids)))
+    # Each step is worked out once, whatever is asked of the result.
+    df = with_computed(df.drop("list_kind", "reject_reason"), {number: strict_number(F.col(columns.duration))})
+    df = with_computed(df, {failed: fault})
+    kind = F.when(F.col(failed).isNull(), list_kind(optional_column(df, columns.ids)))
+    df = with_computed(df, {"list_kind": kind})
     bad_list = F.when(F.col("list_kind") == DROP, F.lit(BAD_LIST))
-    return (
-        df.withColumn("_number", strict_number(F.col(columns.duration)))
-        .withColumn("_failed", failed)
-        .withColumn("list_kind", kind)
-        .withColumn("reject_reason", F.coalesce(F.col("_failed"), bad_list))
-        .drop("_number", "_failed")
-    )
+    return df.withColumn("reject_reason", F.coalesce(F.col(failed), bad_list)).drop(number, failed)
 
 
 def append_item_columns(df: DataFrame, columns: ItemColumns = ITEM) -> DataFrame:
@@ -162,27 +166,40 @@ def rejected_items(
     return classified.filter(F.col("reject_reason").isNotNull())
 
 
-def exploded_ids(df: DataFrame, column: str = ITEM.ids) -> DataFrame:
+def exploded_ids(df: DataFrame, column: str = ITEM.ids, distinct: bool = False) -> DataFrame:
     """One row per non-blank id of each list text, trimmed, with repeats.
 
     A ``list_kind`` that ``classify_items`` has left is used, not found anew.
+    ``distinct`` takes each different list text once, before it is parsed.
     """
     text = optional_column(df, column)
-    kind = F.col("list_kind") if "list_kind" in df.columns else list_kind(text)
-    kinds = df.select(text.alias("_ids"), kind.alias("_kind"))
-    elements = list_elements(F.col("_ids"), F.col("_kind"))
-    ids = kinds.select(F.explode(elements).alias("id"))
+    known = "list_kind" in df.columns
+    texts = df.select(text.alias("ids"), *([F.col("list_kind").alias("kind")] if known else []))
+    if distinct:
+        texts = texts.distinct()
+    if not known:
+        texts = with_computed(texts, {"kind": list_kind(F.col("ids"))})
+    elements = list_elements(F.col("ids"), F.col("kind"))
+    ids = texts.select(F.explode(elements).alias("id"))
     return ids.select(trim_wide(F.col("id")).alias("id")).filter(F.col("id") != "")
 
 
 def entity_ids(df: DataFrame, column: str = ITEM.ids) -> DataFrame:
-    """Distinct ids the items refer to; repeats are merged before the shuffle."""
-    return exploded_ids(df, column).distinct()
+    """Distinct ids the items refer to.
+
+    Items of one entity mostly have the same list: equal texts are merged, within
+    each task and then over all, and each is parsed once; then equal ids are merged.
+    """
+    return exploded_ids(df, column, distinct=True).distinct()
 
 
-def prune_entities(entities: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
+def prune_entities(
+    entities: DataFrame, ids: DataFrame, key: str = "id", sieve: DataFrame | None = None
+) -> DataFrame:
     """Entities whose id is among ``ids``, unchanged, repeated rows included.
 
-    ``ids`` has one column; its values may repeat. The entity id is not trimmed.
+    ``ids`` has one column; its values may repeat. The entity id is not trimmed. A
+    ``sieve``, the ``bloom_filter`` of the ids, lets only probable entities into the join.
     """
-    return salted_join(entities, ids.toDF(key), key, "left_semi").select(*entities.columns)
+    asked = entities if sieve is None else probable(entities, key, sieve)
+    return salted_join(asked, ids.toDF(key), key, "left_semi").select(*entities.columns)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from refrain.functions.lists import RAW
+from refrain.operators.bloom import bloom_filter
 from refrain.operators.prepare import (
     ITEM,
     ROW_FAULT,
@@ -19,12 +20,12 @@ from refrain.operators.prepare import (
     prune_entities,
 )
 from refrain.operators.quality import count_classified, observe_rows
-from refrain.plans.views import ENTITIES_TABLE, ITEMS_TABLE
+from refrain.plans.views import ENTITIES_TABLE, ITEMS_TABLE, hot_members
 from refrain.schemas import MIN_DURATION_MS
 from refrain.session import scratch_path, scratch_scope
 from refrain.sinks.csv import write_csv
 from refrain.sinks.publish import WRITERS, publish_all
-from refrain.sinks.tables import LoadReport, load_table
+from refrain.sinks.tables import LoadReport, load_table, record_hot_keys
 from refrain.sources.csv import read_prepared, read_raw, text_schema
 from refrain.sources.versions import current
 
@@ -131,7 +132,11 @@ def _prepare(
 
     entity_counts = Observation()
     entities = _or_empty(read_raw(spark, entities_source, multi_line), ["id"])
-    entities = prune_entities(entities, entity_ids(kept))
+    # The ids are worked out and stored once, for the filter and for the join.
+    scratch = scratch_path(spark, "ids")
+    entity_ids(kept).write.parquet(scratch)
+    ids = spark.read.schema("id string").parquet(scratch)
+    entities = prune_entities(entities, ids, sieve=bloom_filter(ids))
     write(observe_rows(entities, entity_counts), entities_target)
     log.info("kept entities written to %s", entities_target)
     return PrepareReport(**count_classified(rows), entities=entity_counts.get["rows"])
@@ -169,9 +174,16 @@ def load_catalogue(
     multi_line: bool = True,
     fmt: str = "csv",
 ) -> list[LoadReport]:
-    """Load items, then entities; the first failure ends the run."""
+    """Load items, then entities; the first failure ends the run.
+
+    Which ids many of the items have is measured on the loaded table and kept with
+    it, for the views.
+    """
     with scratch_scope(spark):
-        return [
+        reports = [
             load_table(_read_hop(spark, uri, fmt, multi_line), table, mode, on_bad=on_bad)
             for uri, table in ((items_uri, items_table), (entities_uri, entities_table))
         ]
+    if reports[0].loaded and ITEM.ids in spark.table(items_table).columns:
+        record_hot_keys(spark, items_table, ITEM.ids, hot_members(spark.table(items_table)))
+    return reports

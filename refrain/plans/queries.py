@@ -129,13 +129,15 @@ def _run_with(spark, settings: dict[str, str], make) -> DataFrame:
 def hot_entity_sum(spark, sf_dir):
     """A third of the items belong to one entity, and nothing is broadcast."""
     items, entities = typed_items(spark, sf_dir, HOT_ITEMS), typed_entities(spark, sf_dir)
-    return _run_with(spark, NO_BROADCAST, lambda: views.track_summary(items, entities))
+    hot = views.hot_members(items)
+    return _run_with(spark, NO_BROADCAST, lambda: views.track_summary(items, entities, hot))
 
 
 @query(_pairs_sql(oracle.HOT_MEMBERS))
 def hot_entity_pairs(spark, sf_dir):
     items, entities = typed_items(spark, sf_dir, HOT_ITEMS), typed_entities(spark, sf_dir)
-    return _run_with(spark, NO_BROADCAST, lambda: views.artist_track_summary(items, entities))
+    hot = views.hot_members(items)
+    return _run_with(spark, NO_BROADCAST, lambda: views.artist_track_summary(items, entities, hot))
 
 
 @query(
@@ -146,9 +148,10 @@ def hot_entity_semi(spark, sf_dir):
     items = typed_items(spark, sf_dir, HOT_ITEMS).select("id", "id_artists")
     members = unnest_list(items, "id_artists", "member")
     wanted = typed_entities(spark, sf_dir).filter("followers > 0").select(F.col("id").alias("member"))
+    hot = views.hot_members(items)
     return _run_with(
         spark, NO_BROADCAST,
-        lambda: salted_join(members, wanted, "member", "left_semi").select("id", "member"),
+        lambda: salted_join(members, wanted, "member", "left_semi", hot=hot).select("id", "member"),
     )
 
 

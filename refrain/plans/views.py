@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from refrain.operators.joins import SALTS
-from refrain.operators.ranking import SALTS as PARTS
+from refrain.operators.joins import SALTS, hot_keys
+from refrain.operators.ranking import top_per_group
+from refrain.operators.unnest import unnest_list
+from refrain.sinks.tables import table_hot_keys
 
 # Names of the loaded tables and of the views over them.
 ITEMS_TABLE, ENTITIES_TABLE = "tracks", "artists"
@@ -13,21 +18,44 @@ SUMMARY_VIEW = "track_summary"
 TOP_VIEW = "most_energising_track_per_year"
 PAIRS_VIEW = "artist_track_summary"
 
-# Each view is defined once, as SQL over {items} and {entities}. Ids are spread
-# over salts as in ``salted_join``; list brackets and quotes go, as in
-# ``drop_list_marks``.
+# Each view is defined once, as SQL over {items} and {entities}. List brackets and
+# quotes go, as in ``drop_list_marks``; hot ids are spread over salts and others have
+# a second key that is always 0, as in ``salted_join``.
 _MEMBERS = "split(nullif(translate(array_join(id_artists, ','), '[]\\'\"', ''), ''), ',')"
 
+
+def _salts(hot: Sequence[str]) -> dict[str, str]:
+    """How members and entities get their salts."""
+    member, entity = "pmod(hash(trim(member)), 1)", "pmod(hash(id), 1)"
+    if not hot:
+        return {"member_salt": member, "entity_salt": entity}
+    listed = ", ".join(_literal(key) for key in hot)
+    return {
+        "member_salt": f"CASE WHEN trim(member) IN ({listed}) THEN spread ELSE {member} END",
+        "entity_salt": f"""explode(CASE WHEN id IN ({listed})
+            THEN sequence(0, {SALTS} - 1) ELSE array({entity}) END)""",
+    }
+
+
+def _literal(text: str) -> str:
+    """A SQL literal of any text; braces too would mean something in a template."""
+    return f"cast(unhex('{text.encode().hex()}') AS string)"
+
+
 # Followers are summed per entity before the join, which keeps the sums and spares
 # the product of repeated ids on both sides.
-_SUMMARY = f"""
-    WITH members AS (
+def _summary(hot: Sequence[str] = ()) -> str:
+    salts = _salts(hot)
+    return f"""
+    WITH listed AS (
       SELECT id, name, popularity, energy, danceability_level,
-             cast(pmod(xxhash64(id, name), {SALTS}) AS int) AS salt,
+             cast(pmod(xxhash64(id, name), {SALTS}) AS int) AS spread,
              explode_outer({_MEMBERS}) AS member
       FROM {{items}}
+    ), members AS (
+      SELECT *, {salts["member_salt"]} AS salt FROM listed
     ), audience AS (
-      SELECT id, followers, explode(sequence(0, {SALTS} - 1)) AS salt
+      SELECT id, followers, {salts["entity_salt"]} AS salt
       FROM (SELECT id, sum(followers) AS followers FROM {{entities}}
             WHERE id IS NOT NULL GROUP BY id)
     )
@@ -39,32 +67,32 @@ _SUMMARY = f"""
     GROUP BY ALL
 """
 
-# Parts of a year are ranked side by side first, as in ``top_per_group``.
-_ORDER = "ORDER BY energy DESC NULLS FIRST, track_id ASC NULLS LAST, name ASC NULLS LAST"
-_TOP = f"""
-    WITH slim AS (
-      SELECT release_year, id AS track_id, name, energy,
-             pmod(xxhash64(energy, id, name), {PARTS}) AS part
-      FROM {{items}}
-    ), best AS (
-      SELECT release_year, track_id, name, energy FROM (
-        SELECT *, row_number() OVER (PARTITION BY release_year, part {_ORDER}) AS place
-        FROM slim
-      ) WHERE place <= {{k}}
+
+# The first item of a year is a minimum, merged within each task before the shuffle:
+# NULL energy first, then the greatest, NaN above all, then the least id and name.
+_TOP = """
+    SELECT best.* FROM (
+      SELECT min_by(
+               struct(release_year, id AS track_id, name, energy),
+               struct(energy IS NOT NULL, NOT isnan(energy), -energy, id IS NULL, id, name IS NULL, name)
+             ) AS best
+      FROM {items} GROUP BY release_year
     )
-    SELECT release_year, track_id, name, energy FROM (
-      SELECT *, row_number() OVER (PARTITION BY release_year {_ORDER}) AS place FROM best
-    ) WHERE place <= {{k}}
 """
 
+
 # A plain comparison drops NULL followers like 0 and reaches the Parquet scan.
-_PAIRS = f"""
-    WITH members AS (
-      SELECT id, name, cast(pmod(xxhash64(id, name), {SALTS}) AS int) AS salt,
+def _pairs(hot: Sequence[str] = ()) -> str:
+    salts = _salts(hot)
+    return f"""
+    WITH listed AS (
+      SELECT id, name, cast(pmod(xxhash64(id, name), {SALTS}) AS int) AS spread,
              explode({_MEMBERS}) AS member
       FROM {{items}}
+    ), members AS (
+      SELECT *, {salts["member_salt"]} AS salt FROM listed
     ), followed AS (
-      SELECT id, name, explode(sequence(0, {SALTS} - 1)) AS salt
+      SELECT id, name, {salts["entity_salt"]} AS salt
       FROM {{entities}} WHERE followers > 0
     )
     SELECT e.id AS artist_id, e.name AS artist_name,
@@ -73,28 +101,37 @@ _PAIRS = f"""
       ON e.id = trim(m.member) AND e.salt = m.salt
 """
 
-DEFINITIONS = {SUMMARY_VIEW: _SUMMARY, TOP_VIEW: _TOP, PAIRS_VIEW: _PAIRS}
+
+def definitions(hot: Sequence[str] = ()) -> dict[str, str]:
+    return {SUMMARY_VIEW: _summary(hot), TOP_VIEW: _TOP, PAIRS_VIEW: _pairs(hot)}
+
+
+def hot_members(items: DataFrame) -> list[str]:
+    """Ids that a large share of the items' list elements are; runs a job."""
+    return hot_keys(unnest_list(items.select("id_artists"), "id_artists", "member"), "member")
 
 
-def track_summary(items: DataFrame, entities: DataFrame) -> DataFrame:
+def track_summary(items: DataFrame, entities: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
     """Each item with the summed followers of its entities, 0 if there are none.
 
-    Repeated entities and repeated items add up as joined rows would.
+    Repeated entities and repeated items add up as joined rows would. ``hot`` ids,
+    as ``hot_members`` finds them, are spread.
     """
-    return items.sparkSession.sql(_SUMMARY, items=items, entities=entities)
+    return items.sparkSession.sql(_summary(hot), items=items, entities=entities)
 
 
 def most_energising_track_per_year(items: DataFrame, k: int = 1) -> DataFrame:
-    """The most energetic item of each release year, NULL energy first.
+    """The ``k`` most energetic items of each release year, NULL energy first.
 
     Ties go to the smallest id, then name.
     """
-    return items.sparkSession.sql(_TOP, items=items, k=k)
+    columns = ["release_year", F.col("id").alias("track_id"), "name", "energy"]
+    return top_per_group(items.select(*columns), "release_year", "energy", ["track_id", "name"], k)
 
 
-def artist_track_summary(items: DataFrame, entities: DataFrame) -> DataFrame:
-    """Every entity that has followers with each of its items."""
-    return items.sparkSession.sql(_PAIRS, items=items, entities=entities)
+def artist_track_summary(items: DataFrame, entities: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
+    """Every entity that has followers with each of its items; ``hot`` as above."""
+    return items.sparkSession.sql(_pairs(hot), items=items, entities=entities)
 
 
 def create_views(
@@ -103,7 +140,8 @@ def create_views(
     """Create or replace the three temporary views.
 
     Without DataFrames they are over the tables and, being stored as text, follow
-    them through every reload.
+    them through every reload. Ids that were hot when the items were loaded are
+    spread; reloads change nothing but how evenly the work is dealt.
     """
     if items is None and entities is None:
         _create(spark, "TEMPORARY VIEW", ITEMS_TABLE, ENTITIES_TABLE)
@@ -126,6 +164,7 @@ def create_catalog_views(
 
 
 def _create(spark: SparkSession, kind: str, items: str, entities: str, prefix: str = "") -> None:
-    for name, text in DEFINITIONS.items():
-        body = text.format(items=items, entities=entities, k=1)
+    hot = table_hot_keys(spark, items).get("id_artists", ())
+    for name, text in definitions(hot).items():
+        body = text.format(items=items, entities=entities)
         spark.sql(f"CREATE OR REPLACE {kind} {prefix}{name} AS {body}")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from refrain.operators.quality import observe_rows
 from refrain.operators.typed import typed_projection
@@ -73,5 +75,21 @@ def _point(spark: SparkSession, table: str, folder: str) -> None:
     spark.catalog.createTable(table, path=folder, source="parquet", schema=new)
 
 
+_HOT = "refrain.hot."
+
+
+def record_hot_keys(spark: SparkSession, table: str, column: str, keys: list[str]) -> None:
+    """Keep, as a property of the table, which values of a column many rows have."""
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_HOT}{column}' = '{json.dumps(keys).encode().hex()}')")
+
+
+def table_hot_keys(spark: SparkSession, table: str) -> dict[str, list[str]]:
+    """What ``record_hot_keys`` has kept, by column; nothing for a view or no table."""
+    if not spark.catalog.tableExists(table) or spark.catalog.getTable(table).tableType in ("VIEW", "TEMPORARY"):
+        return {}
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key").startswith(_HOT)).collect()
+    return {r.key.removeprefix(_HOT): json.loads(bytes.fromhex(r.value)) for r in found}
+
+
 def _is_external(spark: SparkSession, table: str) -> bool:
     return spark.catalog.getTable(table).tableType == "EXTERNAL"
