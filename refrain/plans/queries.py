@@ -718,6 +718,23 @@ def load_append_counts(spark, sf_dir):
     return listed.groupBy(*loaded.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
+@query(
+    f"""SELECT *, 'monday' AS load_id FROM ({_TYPED_ENTITIES_SQL})
+    UNION ALL SELECT *, 'tuesday' AS load_id FROM ({_TYPED_ENTITIES_SQL}) WHERE followers > 10"""
+)
+def append_twice_same_load(spark, sf_dir):
+    """Two loads appended, the first one three times and the last time in full."""
+    path = scratch_path(spark, "appended")
+    name = "appended_" + path.rsplit("-", 1)[1]
+    entities = raw_entities(spark, sf_dir)
+    some = entities.where("try_cast(followers AS double) > 10")
+    for rows, load_id in ((some, "monday"), (some, "tuesday"), (some, "monday"), (entities, "monday")):
+        load_table(rows, name, "append", path=path, load_id=load_id)
+    loaded = spark.read.parquet(path)
+    spark.sql(f"DROP TABLE {name}")  # external: its files stay
+    return loaded.withColumn("genres", F.array_join("genres", "|"))
+
+
 def _fails(fn) -> bool:
     try:
         fn()

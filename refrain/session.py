@@ -12,6 +12,8 @@ from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+from refrain.files import remove
+
 SESSION_DEFAULTS = {
     # Adaptive execution merges small partitions, switches to broadcast joins
     # on measured sizes and splits skewed join partitions.
@@ -73,12 +75,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of any file system that Spark can reach, if it is there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Removes the scratch folders that are made meanwhile, also after a failure."""
@@ -89,4 +85,4 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _scope.reset(before)
         for folder in folders:
-            remove_folder(spark, folder)
+            remove(spark, folder)

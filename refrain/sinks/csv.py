@@ -19,7 +19,7 @@ EXACT = {
 QUOTED_BLANKS = {"emptyValue": '""', "nullValue": '""', "quoteAll": True}
 
 
-def _files(df: DataFrame, path: str) -> None:
+def csv_files(df: DataFrame, path: str) -> None:
     blanks = QUOTED_BLANKS if len(df.columns) == 1 else {}
     df.write.options(**DIALECT, **(EXACT | blanks), header=True).csv(path)
 
@@ -29,4 +29,4 @@ def write_csv(df: DataFrame, path: str) -> str:
 
     What was there stays until the new version is whole.
     """
-    return write_version(df, path, _files)
+    return write_version(df, path, csv_files)

@@ -10,8 +10,8 @@ from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
-from refrain.sinks.csv import write_csv
-from refrain.sources.versions import write_version
+from refrain.sinks.csv import csv_files, write_csv
+from refrain.sources.versions import write_version, write_versions
 
 log = logging.getLogger(__name__)
 
@@ -21,10 +21,15 @@ ATTEMPTS = 3
 
 def write_parquet(df: DataFrame, path: str) -> None:
     """As a new version; what was there stays until that is whole."""
-    write_version(df, path, lambda rows, folder: rows.write.parquet(folder))
+    write_version(df, path, _parquet_files)
+
+
+def _parquet_files(df: DataFrame, folder: str) -> None:
+    df.write.parquet(folder)
 
 
 WRITERS = {"csv": write_csv, "parquet": write_parquet}
+_FILES = {"csv": csv_files, "parquet": _parquet_files}
 
 
 def publish(
@@ -52,16 +57,27 @@ def publish(
 
 
 def publish_all(
-    datasets: Mapping[str, DataFrame], fmt: str = "csv", attempts: int = ATTEMPTS
+    datasets: Mapping[str, DataFrame],
+    fmt: str = "csv",
+    attempts: int = ATTEMPTS,
+    journal: str | None = None,
 ) -> None:
     """Publish several datasets at the same time, by target URI.
 
     One that fails does not stop the others; the first failure is raised once
-    all have ended.
+    all have ended. With a ``journal``, a folder that the targets share, readers see
+    the new versions of all of them or of none, and a failed try begins all again.
     """
     if not datasets:
         return
     spark = next(iter(datasets.values())).sparkSession
+    if journal:
+
+        def together(_, __):
+            write_versions(datasets, _FILES[fmt], journal, lambda runs: _side_by_side(spark, runs))
+
+        publish(next(iter(datasets.values())), journal, fmt, attempts, together)
+        return
     run = inheritable_thread_target(spark)(publish)
     with ThreadPoolExecutor(len(datasets)) as pool:
         futures = [
@@ -69,3 +85,11 @@ def publish_all(
         ]
     for future in futures:
         future.result()
+
+
+def _side_by_side(spark, runs) -> None:
+    run = inheritable_thread_target(spark)(lambda f: f())
+    with ThreadPoolExecutor(len(runs)) as pool:
+        futures = [pool.submit(run, f) for f in runs]
+    for future in futures:
+        future.result()

@@ -1,6 +1,8 @@
 """Readers of raw and prepared datasets."""
 
 from refrain.sources.csv import read_prepared, read_raw
-from refrain.sources.versions import current, write_version
+from refrain.sources.versions import VersionConflict, current, vacuum, version, write_version
 
-__all__ = ["current", "read_prepared", "read_raw", "write_version"]
+__all__ = [
+    "VersionConflict", "current", "read_prepared", "read_raw", "vacuum", "version", "write_version",
+]

@@ -1,0 +1,159 @@
+"""Versions of datasets and tables: one wins, none is lost, old ones go."""
+
+import os
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from refrain import files
+from refrain.sinks import load_table, publish, publish_all
+from refrain.sources import VersionConflict, current, vacuum, version, versions, write_version
+
+
+def parquet(df, folder):
+    df.write.parquet(folder)
+
+
+def numbers(spark, n):
+    return spark.range(n)
+
+
+def read(spark, target):
+    return spark.read.parquet(current(spark, target)).count()
+
+
+def folders(target):
+    return sorted(n for n in os.listdir(target) if n.startswith("v-"))
+
+
+def test_versions_are_numbered_whatever_the_clock_says(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "d")
+    assert version(spark, target) == 0 and current(spark, target) == target
+    clock = iter([9e9, 5.0, 3.0, 1.0] * 20)
+    monkeypatch.setattr(versions.time, "time", lambda: next(clock))
+    for n in (1, 2, 3):
+        write_version(numbers(spark, n), target, parquet)
+        assert (version(spark, target), read(spark, target)) == (n, n)
+
+
+def test_of_two_writers_one_wins_and_the_other_sees_it(spark, tmp_path):
+    target = str(tmp_path / "d")
+    write_version(numbers(spark, 1), target, parquet)
+
+    def slow(df, folder):
+        parquet(df, folder)
+        write_version(numbers(spark, 2), target, parquet)  # another writer is quicker
+
+    with pytest.raises(VersionConflict):
+        write_version(numbers(spark, 3), target, slow)
+    assert (version(spark, target), read(spark, target)) == (2, 2)
+    assert len(folders(target)) == 2  # the loser's folder is gone
+    first = []
+
+    def once(df, uri):
+        def slow_once(rows, folder):
+            parquet(rows, folder)
+            if not first:
+                first.append(1)
+                write_version(numbers(spark, 4), target, parquet)
+
+        write_version(df, uri, slow_once)
+
+    publish(numbers(spark, 5), target, write=once)  # tries again, from the new version
+    assert (version(spark, target), read(spark, target)) == (4, 5)
+
+
+def test_put_if_absent(spark, tmp_path):
+    path = str(tmp_path / "sub" / "x")
+    assert files.put_if_absent(spark, path, "é") and not files.put_if_absent(spark, path, "b")
+    assert files.read_text(spark, path) == "é" and [*files.listed(spark, str(tmp_path / "sub"))] == ["x"]
+
+
+def test_two_datasets_are_seen_together(spark, tmp_path):
+    journal, a, b = (str(tmp_path / n) for n in ("j", "a", "b"))
+    publish_all({a: numbers(spark, 1), b: numbers(spark, 1)}, "parquet", journal=journal)
+    assert (read(spark, a), read(spark, b), version(spark, a)) == (1, 1, 1)
+    broken = numbers(spark, 3).withColumn("x", F.raise_error("lost").cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        publish_all({a: numbers(spark, 2), b: broken}, "parquet", 1, journal)
+    assert (read(spark, a), read(spark, b), version(spark, b)) == (1, 1, 1)
+    publish_all({a: numbers(spark, 4), b: numbers(spark, 5)}, "parquet", journal=journal)
+    assert (read(spark, a), read(spark, b), version(spark, b)) == (4, 5, 2)
+    write_version(numbers(spark, 6), a, parquet)  # by itself, in the same journal
+    assert (read(spark, a), read(spark, b), version(spark, b)) == (6, 5, 3)
+    with pytest.raises(ValueError, match="another journal"):
+        publish_all({a: numbers(spark, 1)}, "parquet", journal=str(tmp_path / "k"))
+
+
+def test_vacuum_removes_old_versions_and_failed_tries(spark, tmp_path):
+    target = str(tmp_path / "d")
+    for n in (1, 2, 3):
+        write_version(numbers(spark, n), target, parquet)
+    os.makedirs(f"{target}/v-torn")
+    assert vacuum(spark, target) == []
+    for name in folders(target):
+        os.utime(f"{target}/{name}", (1e9, 1e9))
+    gone = vacuum(spark, target)
+    assert len(gone) == 3 and folders(target) == [os.path.basename(current(spark, target))]
+    assert read(spark, target) == 3
+    write_version(numbers(spark, 4), target, parquet)
+    assert (version(spark, target), read(spark, target)) == (4, 4)
+
+
+def test_a_log_that_cannot_be_read_is_no_missing_log(spark, tmp_path):
+    target = tmp_path / "d"
+    write_version(numbers(spark, 1), str(target), parquet)
+    (target / "_log" / f"{2:020}.json").write_text("{")
+    with pytest.raises(ValueError):
+        current(spark, str(target))
+
+
+def people(spark, *data):
+    return spark.createDataFrame(list(data), "id string, name string, followers string")
+
+
+def test_a_table_is_never_dropped_for_another_schema(spark, monkeypatch):
+    spark.sql("CREATE TABLE managed_rows (id STRING, name STRING, old INT) USING parquet")
+    spark.sql("INSERT INTO managed_rows VALUES ('o', 'O', 1)")
+    said, sql = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda s, q, *a, **k: said.append(q) or sql(s, q, *a, **k))
+    for table in ("managed_rows", "plain_rows"):
+        load_table(people(spark, ("a", "A", "1")), table)
+        load_table(people(spark, ("b", "B", "2")).withColumn("more", F.lit("x")), table)
+        assert [tuple(r) for r in spark.table(table).collect()] == [("b", "B", 2, "x")]
+        load_table(people(spark, ("c", "C", "3")).select("name", "id"), table)
+        assert [tuple(r) for r in spark.table(table).collect()] == [("C", "c")]
+    assert not any("DROP" in q for q in said)
+    for table in ("managed_rows", "plain_rows"):
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_a_table_of_another_format_is_left(spark):
+    spark.sql("CREATE TABLE csv_rows (id STRING, name STRING) USING csv")
+    with pytest.raises(ValueError, match="no plain Parquet"):
+        load_table(people(spark, ("a", "A", "1")), "csv_rows")
+    assert spark.table("csv_rows").columns == ["id", "name"]
+    spark.sql("DROP TABLE csv_rows")
+
+
+def test_a_repeated_append_is_stored_once(spark, tmp_path):
+    def load(load_id, *data):
+        return load_table(people(spark, *data), "by_load", "append", path=str(tmp_path / "t"), load_id=load_id)
+
+    for _ in range(2):
+        assert load("one", ("a", "A", "1"), ("b", "B", "2")).rows == 2
+    load("two={%}/'x\\", ("c", "C", "3"))
+    load("one", ("a", "A", "9"))
+    got = Counter(map(tuple, spark.table("by_load").collect()))
+    assert got == Counter([("a", "A", 9, "one"), ("c", "C", 3, "two={%}/'x\\")])
+    with pytest.raises(Exception, match="out of range"):
+        load("one", ("a", "A", "99999999999"))
+    assert spark.table("by_load").count() == 2
+    with pytest.raises(ValueError, match="other columns"):
+        load_table(people(spark, ("a", "A", "1")).drop("followers"), "by_load", "append", load_id="x")
+    with pytest.raises(ValueError, match="ASCII"):
+        load("é", ("a", "A", "1"))
+    with pytest.raises(ValueError, match="only an append"):
+        load_table(people(spark, ("a", "A", "1")), "by_load", load_id="x")
+    spark.sql("DROP TABLE by_load")
