@@ -73,33 +73,81 @@ def _as_json(c: Column) -> Column:
     return F.replace(c, F.lit("'"), F.lit('"'))
 
 
+# A JSON text with its strings, and its numbers and words, each as one character that
+# JSON does not have, and the arrays and objects of them alone.
+_STRING_MARK, _VALUE_MARK = "\x01", "\x02"
+_JSON_WORD = rf"{_JSON_NUMBER}|true|false|null"
+_NO_JSON = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
+_NOT_MARKED = r"[^\x01\x02\[\]{},:]"
+_MARKED = r"[\x01\x02]"
+_MEMBER = rf"\x01:{_MARKED}"
+_INNERMOST = (
+    rf"\[(?:{_MARKED}(?:,{_MARKED})*+)?+\]"
+    rf"|\{{(?:{_MEMBER}(?:,{_MEMBER})*+)?+\}}"
+)
+
+#: How often innermost arrays and objects are taken for values before the rest is
+#: read character by character.
+_ROUNDS = 6
+
+# What may come next: a value; a value or ]; a key or }; a key; a colon; what follows a
+# value. Anything else is a fault.
+_VALUE, _FIRST, _OPEN, _KEY, _COLON, _AFTER, _FAULT = range(7)
+
+
+def _next(read: Column, c: Column) -> Column:
+    """One step of a push-down automaton over a marked text; ``held`` is its stack."""
+    state, held = read["state"], read["held"]
+    top, rest = F.right(held, F.lit(1)), F.left(held, F.length(held) - 1)
+    value, first = state.isin(_VALUE, _FIRST), state.isin(_OPEN, _KEY)
+    after = state == _AFTER
+    closes = (c == "]") & (top == "[") & ((state == _FIRST) | after)
+    closes |= (c == "}") & (top == "{") & ((state == _OPEN) | after)
+    pushes = value & c.isin("[", "{")
+    found = (
+        F.when(closes | (value & c.isin(_STRING_MARK, _VALUE_MARK)), _AFTER)
+        .when(pushes, F.when(c == "[", _FIRST).otherwise(_OPEN))
+        .when(first & (c == _STRING_MARK), _COLON)
+        .when((state == _COLON) & (c == ":"), _VALUE)
+        .when(after & (c == ",") & (top == "["), _VALUE)
+        .when(after & (c == ",") & (top == "{"), _KEY)
+        .otherwise(_FAULT)
+    )
+    stack = F.when(pushes, F.concat(held, c)).when(closes, rest).otherwise(held)
+    return F.struct(found.alias("state"), stack.alias("held"))
+
+
 def _is_json(q: Column) -> Column:
-    """Whether the text is exactly one JSON value.
+    """Whether the text is exactly one JSON value, nested to any depth.
 
-    Spark's parsers ignore what follows the first value. Wrapped both as an
-    array element and as an object member, only a text that ends with its first
-    value parses in both. The second test also covers repeated object keys,
-    which the variant parser refuses; it is lax about control characters.
+    Strings and other scalars are masked; a quote that begins none stays and is a
+    fault. Innermost arrays and objects are reduced to values a few times, and what is
+    nested deeper is read by an automaton with a stack, not by recursion: in time
+    proportional to the text, times its depth beyond ``_ROUNDS``.
     """
-    array = F.concat(F.lit("["), q, F.lit("]"))
-    member = F.concat(F.lit('{"v":'), q, F.lit("}"))
-    as_variant = (
-        F.try_parse_json(array).isNotNull() & F.try_parse_json(member).isNotNull()
-    )
-    as_text = (
-        F.contains(q, F.lit("{"))
-        & ~q.rlike(r"[\x00-\x1F]")
-        & F.get_json_object(array, "$[0]").isNotNull()
-        & F.get_json_object(member, "$.v").isNotNull()
-    )
-    return as_variant | as_text
+    marked = F.regexp_replace(F.regexp_replace(q, _JSON_STRING, _STRING_MARK), _JSON_WORD, _VALUE_MARK)
+    marked = F.regexp_replace(marked, r"[ \t\n\r]++", "")
+    for _ in range(_ROUNDS):
+        marked = F.regexp_replace(marked, _INNERMOST, _VALUE_MARK)
+    start = F.struct(F.lit(_VALUE).alias("state"), F.lit("").alias("held"))
+
+    def whole(text: Column) -> Column:
+        end = F.aggregate(F.split(text, ""), start, lambda read, c: F.when(c == "", read).otherwise(_next(read, c)))
+        return (
+            F.when(text.rlike(rf"\A{_MARKED}\z"), F.lit(True))
+            .when(text.rlike(_NOT_MARKED) | ~text.rlike(r"[\[{]"), F.lit(False))
+            .otherwise((end["state"] == _AFTER) & (end["held"] == ""))
+        )
+
+    # The masked text is worked out once.
+    return ~q.rlike(_NO_JSON) & F.get(F.transform(F.array(marked), whole), F.lit(0))
 
 
 def list_kind(c: Column) -> Column:
     """``empty``, ``list``, ``raw`` or ``drop``.
 
-    Branches are tried in order, so the JSON parsers only see the rare text
-    that is nested or broken.
+    Branches are tried in order, so only the rare text that is nested or broken is
+    taken apart.
     """
     q = _as_json(c)
     return (
