@@ -59,7 +59,7 @@ from refrain.plans.driver_tables import (
 from refrain.session import scratch_path
 from refrain.sinks import load_table, publish_all, write_csv
 from refrain.sources import current, read_prepared, read_raw
-from refrain.streaming import stream_raw_csv, write_prepared_stream
+from refrain.streaming import prepare_stream, read_batches, stream_raw_csv, write_prepared_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -941,3 +941,26 @@ def streamed_items(spark, sf_dir):
     run = write_prepared_stream(raw, f"{base}/out", f"{base}/checkpoint")
     run.awaitTermination()
     return spark.read.parquet(f"{base}/out")
+
+
+@query(
+    f"""WITH {oracle.PREPARED}
+    SELECT id, coalesce(reject_reason, 'kept') AS outcome FROM classified
+    UNION ALL SELECT id, 'entity' AS outcome FROM kept_entities"""
+)
+def streamed_batches(spark, sf_dir):
+    """Items kept and rejected and entities kept, by a stream in several batches."""
+    base = scratch_path(spark, "batches")
+    folder = write_csv(raw_items(spark, sf_dir).repartition(4, "id"), f"{base}/in")
+    entities = raw_entities(spark, sf_dir)
+    run = prepare_stream(
+        spark, f"{folder}/*.csv", lambda: entities, f"{base}/out", f"{base}/checkpoint", files_per_batch=2
+    )
+    run.awaitTermination()
+    items, rejects, found = [read_batches(spark, f"{base}/out", p) for p in ("items", "rejects", "entities")]
+    parts = [
+        items.select("id", F.lit("kept").alias("outcome")),
+        rejects.select("id", F.col("reject_reason").alias("outcome")),
+        found.select("id", F.lit("entity").alias("outcome")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

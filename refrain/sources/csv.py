@@ -30,7 +30,9 @@ _LONG = "a row has more fields than the header: "
 _MALFORMED = "malformed row, with more or fewer fields than the header: "
 
 
-def header_columns(spark: SparkSession, path: str, multi_line: bool = False) -> list[str]:
+def header_columns(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False
+) -> list[str]:
     """Column names from the header; empty for an empty file."""
     reader = spark.read.options(**DIALECT, header=True, multiLine=multi_line)
     return reader.csv(path).columns
@@ -86,7 +88,7 @@ def _parsed(records: DataFrame, columns: list[str], record: str) -> DataFrame:
 
 def read_raw(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     multi_line: bool = True,
     faults: str | None = None,
     then: Callable[[DataFrame], DataFrame] | None = None,
@@ -99,9 +101,10 @@ def read_raw(
     the rows in the same job, and what it makes is kept in a scratch dataset, of which
     the rows are read. It must work row by row and keep all columns. Without
     ``multi_line`` nothing is stored, the scan is lazy, and a record that goes on in
-    the next line raises. An empty file has no columns and no rows.
+    the next line raises. An empty file has no columns and no rows. Of several paths
+    all files must have one header.
     """
-    path = current(spark, path)
+    path = current(spark, path) if isinstance(path, str) else path
     columns = header_columns(spark, path, multi_line)
     if not columns:
         return spark.createDataFrame([], T.StructType([]))

@@ -200,13 +200,13 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.Array]]:
             yield files.dictionary[int(keys[a])].as_py(), int(starts[a]), batch["value"].slice(a, b - a)
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(path)
     place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
     return lines.select(F.col("value").cast("binary").alias("value"), *place)
 
 
-def _scan(spark: SparkSession, path: str, columns: list[str], begins: Begins) -> DataFrame:
+def _scan(spark: SparkSession, path: str | list[str], columns: list[str], begins: Begins) -> DataFrame:
     """``record`` of every record within a split, and a row with ``split`` for each."""
     split_type = pa.struct(
         [("file", pa.string()), ("start", pa.int64()), ("opens", pa.bool_()), ("closes", pa.bool_()),
@@ -238,7 +238,7 @@ def _scan(spark: SparkSession, path: str, columns: list[str], begins: Begins) ->
     return _lines(spark, path).mapInArrow(run, f"record binary, split {SPLIT}")
 
 
-def _true_beginnings(spark: SparkSession, path: str) -> set[tuple[str, int]]:
+def _true_beginnings(spark: SparkSession, path: str | list[str]) -> set[tuple[str, int]]:
     """The splits that begin inside quotes, by a scan over the ends of all splits.
 
     A split makes one end of either beginning, or keeps it, or turns it round. The
@@ -297,7 +297,7 @@ def _crossing(splits: DataFrame) -> DataFrame:
 
 
 def stored_records(
-    spark: SparkSession, path: str, columns: list[str], made: Callable[[DataFrame], DataFrame]
+    spark: SparkSession, path: str | list[str], columns: list[str], made: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     """What ``made`` makes of the ``record`` of all records, header lines left out.
 
