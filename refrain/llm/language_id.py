@@ -47,6 +47,11 @@ def _plain(text: str) -> bytes:
     return f" {_NOT_LETTERS.sub(' ', text.lower()).strip()} ".encode()
 
 
+def _has_letter(text: str | None) -> bool:
+    """Whether a text has a letter; numerals such as ``Ⅷ`` and ``½`` are none."""
+    return any(map(str.isalpha, text or ""))
+
+
 @dataclass
 class LanguageModel:
     """The raw content of each language's dictionary."""
@@ -75,9 +80,9 @@ class LanguageModel:
         are NULL or have no letter, or any text if no language was learned, are
         ``und`` with score 0 and rejected. Ties go to the first name.
         """
-        plain = _plain(text or "")
-        if not self.contents or not plain.strip():
+        if not self.contents or not _has_letter(text):
             return UNKNOWN, 0.0, True
+        plain = _plain(text)
         parts = [plain[i : i + WINDOW] for i in range(0, len(plain), WINDOW)]
         sizes = {
             lang: sum(len(c.compress(p)) for p in parts)
@@ -116,9 +121,8 @@ def contents_of(rows: list[tuple[str, str]]) -> LanguageModel:
     """
     texts: dict[str, list[bytes]] = {}
     for lang, text in rows:
-        plain = _plain(text)
-        if plain.strip():
-            texts.setdefault(lang, []).append(plain)
+        if _has_letter(text):
+            texts.setdefault(lang, []).append(_plain(text))
     share = {k: max(256, DICTIONARY_BYTES // len(v)) for k, v in texts.items()}
     return LanguageModel(
         {k: b"".join(t[: share[k]] for t in v)[-DICTIONARY_BYTES:] for k, v in texts.items()}

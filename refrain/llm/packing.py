@@ -39,6 +39,9 @@ CACHED_CHUNKS = 300_000
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
+#: Texts that are one token of their own, wherever they stand.
+ADDED_TOKENS = {"<|endoftext|>": 50256}
+_ADDED = re.compile("(" + "|".join(map(re.escape, ADDED_TOKENS)) + ")")
 _TOUCHING_SPACES = re.compile(r"\s | \s")
 
 
@@ -71,10 +74,16 @@ def _chunk_ids(path: str) -> _ChunkIds:
 def token_bytes(text: str, path: str) -> bytes:
     """The ids of ``text`` as little-endian unsigned 32-bit numbers.
 
-    No token reaches over a single space between two non-space characters, so
-    such a text is encoded chunk by chunk, each chunk remembered. A text in which
-    white space touches white space is encoded whole.
+    No token reaches over an added token, nor over a single space between two
+    non-space characters, so a text is encoded chunk by chunk, each chunk remembered.
+    A text in which white space touches white space is encoded whole.
     """
+    parts = _ADDED.split(text)
+    if len(parts) > 1:
+        return b"".join(
+            np.array([ADDED_TOKENS[p]], "<u4").tobytes() if p in ADDED_TOKENS else token_bytes(p, path)
+            for p in parts
+        )
     known = _chunk_ids(path)
     if _TOUCHING_SPACES.search(text):
         return known.direct(text)
@@ -217,11 +226,14 @@ def pack_pieces(
 
     ``total`` is the number of pieces; it sets the number of blocks. Pieces must
     have 1 to ``capacity`` tokens. Within a sequence pieces stand in order of
-    document and piece.
+    document and piece, NULL ids last. Equal rows are dealt to all blocks, so a block
+    has about ``block_pieces`` whatever repeats; no pieces give no rows. ``pieces``
+    must be a stored table, whose rows a lost task reads again in the same order.
     """
     blocks = max(1, -(-total // block_pieces))
     keys = [c for c in ("doc_id", "piece", "start", "ids_crc32") if c in pieces.columns]
-    dealt = pieces.withColumn("block", F.pmod(F.xxhash64(*keys), F.lit(blocks)))
+    place = F.xxhash64(*keys, F.monotonically_increasing_id())
+    dealt = pieces.withColumn("block", F.pmod(place, F.lit(blocks)))
 
     def run(found: pa.Table) -> pa.Table:
         found = found.sort_by([("doc_id", "ascending"), ("piece", "ascending")])

@@ -61,7 +61,6 @@ def test_stages(spark, sf_dir, tmp_path):
     assert {r["doc_id"] for r in made["decontamination"]} == clean
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     lengths = {
         r["doc_id"]: len(tokenizer.encode(r["text"], add_special_tokens=False).ids) + 1
         for r in made["decontamination"]

@@ -106,6 +106,9 @@ def test_language(spark):
     )
     got = {r["doc_id"]: (r["lang_pred"], r["score"] == 0, r["rejected"]) for r in language_id.identify(odd, model).collect()}
     assert got[1] == got[2] == got[3] == ("und", True, True)
+    for text in ("½ ½", "²", "Ⅷ ⅷ", "٣ ४", "_ ́", "🙂 12"):
+        assert model.predict(text) == ("und", 0.0, True), text
+    assert model.predict("½ ingough ²")[0] == "aa"
     assert got[None][0] == got[5][0] == "aa"
     empty = language_id.fit(docs.limit(0))
     assert {r["lang_pred"] for r in language_id.identify(odd, empty).collect()} == {"und"}
@@ -169,9 +172,8 @@ TEXTS = [
 
 def test_tokens_equal_those_of_the_tokenizer():
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    whole.encode_special_tokens = True
     rng = random.Random(6)
-    parts = ["a", "The", " ", "  ", "\n", "é", "12", "'s", ",", "。", "\u00a0", "\t", "ing", "<"]
+    parts = ["a", "The", " ", "  ", "\n", "é", "12", "'s", ",", "。", "\u00a0", "\t", "ing", "<", "<|endoftext|>", "|>"]
     texts = TEXTS + ["".join(rng.choice(parts) for _ in range(40)) for _ in range(200)]
     for text in texts:
         ids = np.frombuffer(packing.token_bytes(text, VOCABULARY), "<u4").tolist()
@@ -209,6 +211,15 @@ def test_pack(frame):
     assert packing.pack_pieces(pieces.limit(0), 0).collect() == []
 
 
+def test_equal_rows_are_dealt_to_all_blocks(frame):
+    pieces = packing.token_pieces(frame([(7, "one two")] * 900 + [(None, None)] * 900), VOCABULARY, capacity=8).cache()
+    got = packing.pack_pieces(pieces, 1_800, capacity=8, block_pieces=100).collect()
+    pieces.unpersist()
+    blocks = Counter(r["sequence_id"] >> 32 for r in got)
+    assert len(blocks) == 18 and max(blocks.values()) < 200
+    assert len(got) == 1_800 and len({(r["sequence_id"], r["offset"]) for r in got}) == 1_800
+
+
 def test_cut():
     assert packing.cut(5, 8) == [(0, 5)] and packing.cut(8, 8) == [(0, 8)]
     assert packing.cut(19, 8) == [(0, 3), (3, 8), (11, 8)] and packing.cut(16, 8) == [(0, 8), (8, 8)]
