@@ -1,11 +1,10 @@
 """Equi-joins that hold when one key has a large share of the rows.
 
-Both inputs of the shuffle join are plain exchanges, also where one comes out of an
-aggregate on the key, so that adaptive execution can split a skewed partition. Keys
-that are known to be hot, measured by ``hot_keys``, are spread over salts beforehand:
-only their left rows get a salt and only their right rows are repeated, once for each
-salt. Everything is one lazy join with one scan of each side, and Spark broadcasts a
-small right side as ever.
+Without known hot keys this is Spark's own join: it broadcasts a small side, and
+adaptive execution splits a skewed partition. Keys that are known to be hot, measured
+by ``hot_keys``, are spread over salts beforehand: only their left rows get a salt and
+only their right rows are repeated, once for each salt, which also holds where the
+right side is an aggregate. Everything is one lazy join with one scan of each side.
 """
 
 from __future__ import annotations
@@ -57,15 +56,11 @@ def salted_join(
     the key must have names of their own. Columns of map type cannot be hashed and do
     not spread their rows.
     """
-    salt = free_name("salt", [*left.columns, *right.columns])
     if how == "left_semi":
         right = right.select(key).distinct()
-    # Always 0, but not to the optimizer: with a second key the join wants exchanges
-    # of its own on both sides.
-    zero = F.pmod(F.hash(F.col(f"`{key}`")), F.lit(1))
     if not hot:
-        left, right = left.withColumn(salt, zero), right.withColumn(salt, zero)
-        return left.join(right, [key, salt], how).drop(salt)
+        return left.join(right, key, how)
+    zero, salt = F.lit(0), free_name("salt", [*left.columns, *right.columns])
     is_hot = F.col(f"`{key}`").isin(list(hot))
     hashed = [F.col(f"`{c}`") for c, kind in left.dtypes if not kind.startswith("map")]
     spread = F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
