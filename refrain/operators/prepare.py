@@ -201,5 +201,11 @@ def prune_entities(
     ``ids`` has one column; its values may repeat. The entity id is not trimmed. A
     ``sieve``, the ``bloom_filter`` of the ids, lets only probable entities into the join.
     """
-    asked = entities if sieve is None else probable(entities, key, sieve)
-    return salted_join(asked, ids.toDF(key), key, "left_semi").select(*entities.columns)
+    asked = entities
+    if sieve is not None:
+        # Through a computed key the exact join cannot be moved below the filter.
+        exact = free_name("key", entities.columns)
+        asked = with_computed(probable(entities, key, sieve), {exact: F.col(f"`{key}`")})
+        key = exact
+    kept = salted_join(asked, ids.toDF(key), key, "left_semi")
+    return kept.select(*[F.col(f"`{c}`") for c in entities.columns])
