@@ -8,10 +8,12 @@ coordinate, and a node of an R-tree over points bounds that sum for all below it
 Sets that are similar enough share several of their first shingles in any common
 order (prefix filter), so sets meet under these keys only; rare shingles come
 first, judged by a sample. Under each key a tree over the points is searched in
-two rounds. The first takes each set's most promising partner; verified links make
-components. The second takes all partners that the bound allows in other
-components and that are met under enough keys, so no link between components is
-lost, while the many links inside a group of near copies are never written out.
+rounds. In each round a set takes the few most promising partners outside its
+component from each key; those it meets under most keys are verified and the links
+make components. A set is done when all partners that the bound and the number of
+common keys allow have been verified or lie in its component; each round takes more
+partners from the sets that are not, the last one all. So no link between components
+is lost, while the many links inside a group of near copies are never written out.
 Large keys are split into blocks.
 """
 
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refrain.llm.common import map_texts, release, sliced, spread_sample, stored
@@ -33,9 +35,9 @@ from refrain.llm.spans import LOWER, RangeHash, Texts, Words, byte_codes, chunks
 SHINGLE_WORDS = 5
 #: Similarity in percent.
 SIMILARITY = 80
-GROUPS = 16
+GROUPS = 32
 #: The largest count that is written; it stands for any larger one, too.
-FULL = 65_535
+FULL = 255
 #: Texts sampled to find frequent shingles, which come last in the order. It sets
 #: only the order, not what is found.
 SAMPLE_TEXTS = 4_000
@@ -48,6 +50,11 @@ BLOCK_ROWS = 2_000
 NODE = 16
 #: Blocks of at most so many rows are one leaf.
 LEAF_ROWS = 48
+#: Partners that a set takes from a block, and pairs of it that are verified, by round.
+#: Sets that are still not done take all in the round that follows.
+TAKEN = (1, 4, 16, 64)
+#: Pairs that a task counts at once.
+HELD_PAIRS = 100_000
 
 
 class Sets:
@@ -173,7 +180,7 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
             made["class"] += [
                 c if n else None for c, n in zip(sets.classes().view(np.int64).tolist(), sizes)
             ]
-            made["point"] += [p.tobytes() for p in np.minimum(sets.points(), FULL).astype("<u2")]
+            made["point"] += [p.tobytes() for p in np.minimum(sets.points(), FULL).astype("u1")]
         return made
 
     return map_texts(docs, run, "n_shingles bigint, class bigint, point binary", KEY)
@@ -230,69 +237,80 @@ def shared_keys(docs: DataFrame, words: int, frequent: np.ndarray, similarity: i
     return texts.mapInArrow(rows, "key bigint, class bigint").join(twice, "key", "left_semi")
 
 
-def _candidates(rows: DataFrame, similarity: int, across: bool) -> DataFrame:
+def _candidates(rows: DataFrame, similarity: int, taken: int | None) -> DataFrame:
     """Partners ``b`` that classes ``a`` find, and under how many keys (``votes``).
 
     ``rows`` has ``key``, ``part`` and ``asking``, which make a block, ``class``,
-    ``n_shingles``, ``point``, ``label`` and ``asks``. Without ``across``, each class
-    finds its most promising partner in a block. With it, each row that asks finds
-    all rows that are only there to be found (``asks`` is false) and have another
-    label; of two classes that both ask, the smaller finds the larger.
+    ``n_shingles``, ``point``, ``asks``, ``told``, ``label`` and ``rank_size`` and
+    ``rank_label``, which say who asks whom: each row that asks finds, among those
+    told with another label and no lower rank, the ``taken`` most promising (all if
+    None). A row with ``a`` = ``b`` says in how many blocks there were more.
     """
 
-    def near_leaf(ids, sizes, labels, asks, main, points) -> Iterator[tuple[int, int]]:
+    def best(ids, promise) -> np.ndarray:
+        # Ties go to the smallest, so that near copies gather around few.
+        return np.lexsort((ids, -promise))[:taken]
+
+    def near_leaf(ids, sizes, labels, asks, told, size, label, points) -> Iterator[tuple[int, int]]:
         """``partners`` of a block that is a single leaf, all rows at once."""
         bound = np.minimum(points[:, None], points[None]).sum(2)
         least = needed(sizes[:, None], sizes[None], similarity)
-        fits = (bound >= least) & (ids[:, None] != ids[None])
-        if across:
-            fits &= asks[:, None] & ~asks[None] & (labels[:, None] != labels[None])
-            fits &= (labels[None] == main[:, None]) | (ids[:, None] < ids[None])
+        fits = (bound >= least) & asks[:, None] & told[None] & (labels[:, None] != labels[None])
+        fits &= (size[None] > size[:, None]) | ((size[None] == size[:, None]) & (label[None] >= label[:, None]))
+        if taken is None:
             at, found = np.nonzero(fits)
-        else:
-            promise = np.where(fits, bound / least, 0)
-            found = promise.argmax(1)  # the first is the smallest, as blocks are sorted
-            at = np.flatnonzero(fits.any(1))
-            found = found[at]
-        yield from zip(ids[at].tolist(), ids[found].tolist())
-
-    def partners(ids, sizes, labels, asks, main, points) -> Iterator[tuple[int, int]]:
-        if len(ids) <= LEAF_ROWS:
-            yield from near_leaf(ids, sizes, labels, asks, main, points)
+            yield from zip(ids[at].tolist(), ids[found].tolist())
             return
-        if across:
-            told = np.flatnonzero(~asks)
-            tree = CountTree(points[told], sizes[told])
-            for i in np.flatnonzero(asks):
-                at = told[tree.search(points[i], int(sizes[i]), similarity)[0]]
-                for j in at[(labels[at] != labels[i]) & ((labels[at] == main[i]) | (ids[i] < ids[at]))]:
-                    yield int(ids[i]), int(ids[j])
+        promise = bound / np.maximum(least, 1)
+        for i in np.flatnonzero(fits.any(1)):
+            at = np.flatnonzero(fits[i])
+            if len(at) > taken:
+                yield int(ids[i]), int(ids[i])
+                at = at[best(ids[at], promise[i, at])]
+            for b in ids[at].tolist():
+                yield int(ids[i]), b
+
+    def partners(ids, sizes, labels, asks, told, size, label, points) -> Iterator[tuple[int, int]]:
+        if len(ids) <= LEAF_ROWS:
+            yield from near_leaf(ids, sizes, labels, asks, told, size, label, points)
             return
-        tree = CountTree(points, sizes)
-        for i in range(len(ids)):
+        there = np.flatnonzero(told)
+        tree = CountTree(points[there], sizes[there])
+        for i in np.flatnonzero(asks):
             at, bound = tree.search(points[i], int(sizes[i]), similarity)
-            other = ids[at] != ids[i]
-            at, bound = at[other], bound[other]
-            if len(at):
-                # Ties go to the smallest, so that near copies gather around few.
-                promise = bound / needed(sizes[at], sizes[i], similarity)
-                yield int(ids[i]), int(ids[at[np.lexsort((ids[at], -promise))[0]]])
-
-    def found_in(table: pa.Table) -> pa.RecordBatch:
+            at = there[at]
+            keep = (labels[at] != labels[i]) & (
+                (size[at] > size[i]) | ((size[at] == size[i]) & (label[at] >= label[i]))
+            )
+            at, bound = at[keep], bound[keep]
+            if taken is not None and len(at) > taken:
+                yield int(ids[i]), int(ids[i])
+                at = at[best(ids[at], bound / np.maximum(needed(sizes[at], sizes[i], similarity), 1))]
+            for b in ids[at].tolist():
+                yield int(ids[i]), b
+
+    def counted(votes: Counter[tuple[int, int]]) -> pa.RecordBatch:
+        rows = np.array([(*pair, n) for pair, n in votes.items()], np.int64).reshape(-1, 3)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=["a", "b", "votes"])
+
+    def found_in(table: pa.Table) -> Iterator[pa.RecordBatch]:
         votes: Counter[tuple[int, int]] = Counter()
         if table.num_rows:
             block = _block_ids(table)
             cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
-            names = ("class", "n_shingles", "label", "asks", "main")
+            names = ("class", "n_shingles", "label", "asks", "told", "rank_size", "rank_label")
             arrays = [table[c].to_numpy() for c in names]
             data = b"".join(table["point"].to_pylist())
-            points = np.frombuffer(data, "<u2").reshape(-1, GROUPS).astype(np.int64)
-            points[points == FULL] = 1 << 40
+            points = np.frombuffer(data, "u1").reshape(-1, GROUPS).astype(np.int32)
+            points[points == FULL] = 1 << 24
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if hi - lo > 1:
-                    votes.update(partners(*(a[lo:hi] for a in arrays), points[lo:hi]))
-        rows = np.array([(*pair, n) for pair, n in votes.items()], np.int64).reshape(-1, 3)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=["a", "b", "votes"])
+                    for pair in partners(*(a[lo:hi] for a in arrays), points[lo:hi]):
+                        votes[pair] += 1
+                        if len(votes) >= HELD_PAIRS:
+                            yield counted(votes)
+                            votes.clear()
+        yield counted(votes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -300,9 +318,9 @@ def _candidates(rows: DataFrame, similarity: int, across: bool) -> DataFrame:
             table = pa.Table.from_batches([batch])
             rest = pa.concat_tables([rest, table]) if rest is not None else table
             done, rest = _whole_groups(rest)
-            yield found_in(done)
+            yield from found_in(done)
         if rest is not None:
-            yield found_in(rest)
+            yield from found_in(rest)
 
     dealt = rows.repartition("key", "part", "asking").sortWithinPartitions("key", "part", "asking", "class")
     found = dealt.mapInArrow(run, "a bigint, b bigint, votes bigint")
@@ -351,21 +369,51 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) -
     )
 
 
-def _labelled(classes: DataFrame, found: DataFrame) -> DataFrame:
-    """``classes`` with the component of each as ``label``."""
+def _labels(found: DataFrame | None, classes: DataFrame) -> DataFrame:
+    """``class`` and the component of each as ``label``."""
+    if found is None:
+        return classes.select("class", F.col("class").alias("label"))
     parts = found.select(F.col("node").alias("class"), F.col("component"))
-    return classes.join(parts, "class", "left").withColumn(
-        "label", F.coalesce("component", "class")
-    ).drop("component")
+    return classes.select("class").join(parts, "class", "left").select(
+        "class", F.coalesce("component", "class").alias("label")
+    )
+
+
+def _chosen(
+    votes: DataFrame, unseen: DataFrame, tried: DataFrame | None, enough: DataFrame, taken: int | None
+) -> DataFrame:
+    """Pairs ``a``, ``b`` to verify, and who must go on, as rows without ``b``.
+
+    A pair can be a link only if it met under ``enough`` keys, those counted where
+    ``a`` had more partners than it named, or did not see all rows (``unseen``).
+    """
+    hidden = votes.where("a = b").select("a", F.col("votes").alias("hidden")).unionAll(unseen)
+    hidden = hidden.groupBy("a").agg(F.sum("hidden").alias("hidden"))
+    asker = enough.join(hidden, "a", "left").withColumn("hidden", F.coalesce("hidden", F.lit(0)))
+    pairs = votes.where("a <> b").join(asker, "a").where("votes + hidden >= enough")
+    if tried is not None:
+        pairs = pairs.join(
+            tried, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti"
+        )
+    if taken is None:
+        return pairs.select("a", "b")
+    # The partner after the last that is taken says that there are more.
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("votes"), "b"))
+    pairs = pairs.withColumn("place", place).where(F.col("place") <= taken + 1)
+    pairs = pairs.select("a", F.when(F.col("place") <= taken, F.col("b")).alias("b"))
+    return pairs.unionAll(
+        asker.where("hidden >= enough").select("a", F.lit(None).cast("long").alias("b"))
+    )
 
 
 def linked_classes(
     docs: DataFrame, sets: DataFrame, words: int = SHINGLE_WORDS, similarity: int = SIMILARITY,
-    sample: int = SAMPLE_TEXTS, block_rows: int = BLOCK_ROWS,
+    sample: int = SAMPLE_TEXTS, block_rows: int = BLOCK_ROWS, rounds: tuple[int, ...] = TAKEN,
 ) -> DataFrame:
     """``class`` and ``label``: classes that are linked, directly or by others.
 
-    Classes linked with no other are left out.
+    Classes linked with no other are left out. ``rounds`` says how many partners a
+    class takes in each round before the last, which takes all.
     """
     frequent = frequent_shingles(docs, words, sample)
     # Exact copies bring the same row many times; one stays.
@@ -379,84 +427,123 @@ def linked_classes(
         .select("class", "s.n_shingles", "s.point"),
         "classes",
     )
+    enough = classes.select(
+        F.col("class").alias("a"),
+        _keys_in_common(F.col("n_shingles") * similarity / 100).alias("enough"),
+    )
     blocks = F.ceil(F.col("rows") / block_rows).cast("int")
-    nothing = F.lit(0).cast("long")
+    same = F.lit(0).cast("long")
+    # In the first round, each block of a key by itself, all rows ask all others.
     meeting = keys.join(key_sizes, "key").join(classes, "class").select(
         "key", F.pmod(F.xxhash64("class"), blocks).cast("int").alias("part"),
         F.lit(0).alias("asking"), "class", "n_shingles", "point",
-        nothing.alias("label"), F.lit(True).alias("asks"), nothing.alias("main"),
+        F.lit(True).alias("asks"), F.lit(True).alias("told"), F.col("class").alias("label"),
+        same.alias("rank_size"), same.alias("rank_label"),
+    )
+    votes = stored(_candidates(meeting, similarity, rounds[0]), "votes")
+    split = stored(
+        keys.join(key_sizes.where(F.col("rows") > block_rows), "key").groupBy(F.col("class").alias("a"))
+        .agg(F.count("*").alias("hidden")),
+        "split",
     )
-    votes = stored(_candidates(meeting, similarity, across=False), "votes")
-    # A class can only have a link if it meets partners often enough; where a key
-    # is split into blocks it may meet them in another block.
-    asker = votes.groupBy("a").agg(
-        F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"),
-        F.max("votes").alias("most"), F.sum("votes").alias("all"),
-    ).join(classes.select(F.col("class").alias("a"), "n_shingles"), "a")
-    enough = _keys_in_common(F.col("n_shingles") * similarity / 100)
-    asker = stored(asker.where(F.col("all") >= enough), "askers")
-    split = keys.join(key_sizes.where(F.col("rows") > block_rows), "key")
-    involved = asker.select(F.col("a").alias("class")).unionAll(split.select("class")).distinct()
-    involved = stored(involved, "involved")
+    # Whoever has a link has found something under enough keys, or did not see all.
+    met = votes.where("a <> b").select("a", "votes").unionAll(split.select("a", F.col("hidden")))
+    involved = stored(
+        met.groupBy("a").agg(F.sum("votes").alias("met")).join(enough, "a").where("met >= enough")
+        .select(F.col("a").alias("class")),
+        "involved",
+    )
+    enough = stored(enough.join(involved, F.col("a") == F.col("class"), "left_semi"), "enough")
     texts = stored(_texts_of(docs, words, involved), "class-texts")
-    near = asker.where(2 * F.col("most") >= enough).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).distinct()
-    links = stored(_verified(near, texts, words, similarity), "links")
-    found = stored(components(links), "components")
-    label = stored(_labelled(classes, found), "labels")
-    release(votes, asker, links)
-
-    # Keys under which several components meet; all rows but those of the most
-    # frequent one ask, each in every block of the key.
-    tagged = keys.join(key_sizes, "key").join(label.select("class", "label"), "class")
-    by_label = tagged.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = stored(
-        by_label.groupBy("key").agg(
-            F.max_by("label", F.struct("n", "label")).alias("main"),
-            F.sum("n").alias("rows"),
-            (F.sum("n") - F.max("n")).alias("asking_rows"),
-            F.count("*").alias("labels"),
-        ).where("labels > 1").drop("labels"),
-        "mixed-keys",
+    live = stored(
+        keys.join(key_sizes, "key", "left_semi").join(classes.join(involved, "class", "left_semi"), "class"),
+        "live-rows",
     )
-    wanted = label.join(involved, "class", "left_semi")
-    rows = stored(
-        keys.join(mixed, "key").join(wanted, "class").withColumn(
-            "parts", F.ceil(F.col("rows") / block_rows).cast("int")
-        ).withColumn("askings", F.ceil(F.col("asking_rows") / block_rows).cast("int")),
-        "mixed-rows",
+    release(keys, key_sizes, classes)
+
+    found = tried = going = None
+    rank = label = None
+    for taken in (*rounds, None):
+        if going is not None:
+            rows = stored(_asking_rows(live, rank, label, going, block_rows), "asking-rows")
+            votes = stored(_candidates(rows, similarity, taken), "votes")
+            release(rows)
+        chosen = stored(_chosen(votes, split if going is None else split.limit(0), tried, enough, taken), "chosen")
+        release(votes, *([going] if going is not None else []))
+        pairs = stored(
+            chosen.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            .distinct(),
+            "pairs",
+        )
+        links = stored(_verified(pairs, texts, words, similarity), "links")
+        known = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"))
+        known = stored(known if tried is None else known.unionAll(tried), "tried")
+        if tried is not None:
+            release(tried)
+        tried = known
+        release(pairs)
+        if found is None or not links.isEmpty():
+            tied = links if found is None else links.unionByName(
+                found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            )
+            joined = stored(components(tied), "components")
+            if found is not None:
+                release(found, label)
+            found = joined
+            label = stored(_labels(found, involved), "labels")
+        if rank is None:
+            # Who asks whom stays as it is now, so that a class that is done stays done.
+            size = label.groupBy(F.col("label").alias("l")).agg(F.count("*").alias("rank_size"))
+            rank = stored(
+                label.join(size, F.col("label") == F.col("l"))
+                .select("class", "rank_size", F.col("label").alias("rank_label")),
+                "ranks",
+            )
+        going = stored(chosen.where("b IS NULL").select(F.col("a").alias("class")).distinct(), "going")
+        release(chosen, links)
+        if going.isEmpty():
+            break
+    release(going, tried, rank, label, live, split, texts, involved, enough)
+    return found.select(F.col("node").alias("class"), F.col("component").alias("label"))
+
+
+def _asking_rows(
+    live: DataFrame, rank: DataFrame, label: DataFrame, going: DataFrame, block_rows: int
+) -> DataFrame:
+    """The rows of a later round: who asks is in one block with all that it may find.
+
+    Under each key all classes but those of the highest rank may ask, if they are
+    among ``going``. Those that ask are dealt to ``askings`` parts and those that are
+    told to ``parts``; each two meet in one block. Keys under which nobody asks, or
+    with a single component, are left out.
+    """
+    asker = going.select("class", F.lit(True).alias("goes"))
+    rows = live.join(rank, "class").join(label, "class").join(asker, "class", "left")
+    by_key = rows.groupBy("key").agg(
+        F.max(F.struct("rank_size", "rank_label")).alias("top"),
+        F.count("*").alias("rows"),
+        F.min("label").alias("low"), F.max("label").alias("high"),
+        F.count("goes").alias("askers"),
+    ).where("low < high AND askers > 0")
+    below = F.col("goes").isNotNull() & (F.struct("rank_size", "rank_label") < F.col("top"))
+    rows = rows.join(by_key.drop("low", "high"), "key").select(
+        "key", "class", "n_shingles", "point", "label", "rank_size", "rank_label",
+        F.coalesce(below, F.lit(False)).alias("goes"),
+        F.ceil(F.col("rows") / block_rows).cast("int").alias("parts"),
+        F.ceil(F.col("askers") / block_rows).cast("int").alias("askings"),
     )
-    release(keys, key_sizes, mixed, label, classes, involved)
-    spread = F.sequence(F.lit(0), F.col("askings") - 1)
+    kept = ["class", "n_shingles", "point", "label", "rank_size", "rank_label"]
     told = rows.select(
         "key", F.pmod(F.xxhash64("class"), "parts").cast("int").alias("part"),
-        F.explode(spread).alias("asking"), "class", "n_shingles", "point", "label",
-        F.lit(False).alias("asks"), "main",
+        F.explode(F.sequence(F.lit(0), F.col("askings") - 1)).alias("asking"), *kept,
+        F.lit(False).alias("asks"), F.lit(True).alias("told"),
     )
-    asking = rows.where("label <> main").select(
+    asking = rows.where("goes").select(
         "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("class", F.lit(1)), "askings").cast("int").alias("asking"),
-        "class", "n_shingles", "point", "label", F.lit(True).alias("asks"), "main",
-    )
-    far = _candidates(told.unionByName(asking), similarity, across=True).groupBy(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).agg(F.sum("votes").alias("votes"))
-    size = sets.where("class IS NOT NULL").select("class", "n_shingles").distinct()
-    for end in ("a", "b"):
-        far = far.join(size.select(F.col("class").alias(end), F.col("n_shingles").alias(f"n_{end}")), end)
-    far = stored(
-        far.where(F.col("votes") >= _keys_in_common(F.least("n_a", "n_b"))).select("a", "b"), "far-pairs"
+        F.pmod(F.xxhash64("class", F.lit(1)), "askings").cast("int").alias("asking"), *kept,
+        F.lit(True).alias("asks"), F.lit(False).alias("told"),
     )
-    release(rows)
-    if not far.isEmpty():
-        more = _verified(far, texts, words, similarity)
-        tied = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        joined = stored(components(tied.unionByName(more)), "components")
-        release(found)
-        found = joined
-    release(texts, far)
-    return found.select(F.col("node").alias("class"), F.col("component").alias("label"))
+    return told.unionByName(asking)
 
 
 def _texts_of(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
