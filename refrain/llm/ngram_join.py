@@ -19,8 +19,8 @@ Large keys are split into blocks.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +55,8 @@ LEAF_ROWS = 48
 TAKEN = (1, 4, 16, 64)
 #: Pairs that a task counts at once.
 HELD_PAIRS = 100_000
+#: Pairs of rows in small blocks that are compared at once.
+LEAF_PAIRS = 1 << 16
 
 
 class Sets:
@@ -247,70 +249,84 @@ def _candidates(rows: DataFrame, similarity: int, taken: int | None) -> DataFram
     None). A row with ``a`` = ``b`` says in how many blocks there were more.
     """
 
-    def best(ids, promise) -> np.ndarray:
-        # Ties go to the smallest, so that near copies gather around few.
-        return np.lexsort((ids, -promise))[:taken]
-
-    def near_leaf(ids, sizes, labels, asks, told, size, label, points) -> Iterator[tuple[int, int]]:
-        """``partners`` of a block that is a single leaf, all rows at once."""
-        bound = np.minimum(points[:, None], points[None]).sum(2)
-        least = needed(sizes[:, None], sizes[None], similarity)
-        fits = (bound >= least) & asks[:, None] & told[None] & (labels[:, None] != labels[None])
-        fits &= (size[None] > size[:, None]) | ((size[None] == size[:, None]) & (label[None] >= label[:, None]))
-        if taken is None:
-            at, found = np.nonzero(fits)
-            yield from zip(ids[at].tolist(), ids[found].tolist())
-            return
-        promise = bound / np.maximum(least, 1)
-        for i in np.flatnonzero(fits.any(1)):
-            at = np.flatnonzero(fits[i])
-            if len(at) > taken:
-                yield int(ids[i]), int(ids[i])
-                at = at[best(ids[at], promise[i, at])]
-            for b in ids[at].tolist():
-                yield int(ids[i]), b
-
-    def partners(ids, sizes, labels, asks, told, size, label, points) -> Iterator[tuple[int, int]]:
-        if len(ids) <= LEAF_ROWS:
-            yield from near_leaf(ids, sizes, labels, asks, told, size, label, points)
-            return
-        there = np.flatnonzero(told)
+    def beside(rows: dict, points: np.ndarray, first: np.ndarray, count: np.ndarray):
+        """Pairs of rows and their bounds in blocks that are single leaves.
+
+        Row i is compared with the ``count[i]`` rows from ``first[i]`` on; many
+        blocks go at once.
+        """
+        asking = np.flatnonzero(rows["asks"] & (count > 0))
+        ends = np.cumsum(count[asking])
+        for at in np.split(asking, np.searchsorted(ends, np.arange(LEAF_PAIRS, ends[-1], LEAF_PAIRS))) if len(ends) else ():
+            a = np.repeat(at, count[at])
+            b = np.arange(len(a)) + np.repeat(first[at] - np.cumsum(count[at]) + count[at], count[at])
+            keep = may_find(rows, a, b)
+            a, b = a[keep], b[keep]
+            bound = np.minimum(points[a], points[b]).sum(1, dtype=np.int64)
+            keep = bound >= needed(rows["n_shingles"][a], rows["n_shingles"][b], similarity)
+            yield a[keep], b[keep], bound[keep]
+
+    def searched(rows: dict, points: np.ndarray, lo: int, hi: int):
+        """The same in a larger block, row by row down its tree."""
+        sizes = rows["n_shingles"]
+        there = lo + np.flatnonzero(rows["told"][lo:hi])
         tree = CountTree(points[there], sizes[there])
-        for i in np.flatnonzero(asks):
+        for i in lo + np.flatnonzero(rows["asks"][lo:hi]):
             at, bound = tree.search(points[i], int(sizes[i]), similarity)
-            at = there[at]
-            keep = (labels[at] != labels[i]) & (
-                (size[at] > size[i]) | ((size[at] == size[i]) & (label[at] >= label[i]))
-            )
-            at, bound = at[keep], bound[keep]
-            if taken is not None and len(at) > taken:
-                yield int(ids[i]), int(ids[i])
-                at = at[best(ids[at], bound / np.maximum(needed(sizes[at], sizes[i], similarity), 1))]
-            for b in ids[at].tolist():
-                yield int(ids[i]), b
-
-    def counted(votes: Counter[tuple[int, int]]) -> pa.RecordBatch:
-        rows = np.array([(*pair, n) for pair, n in votes.items()], np.int64).reshape(-1, 3)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=["a", "b", "votes"])
+            a, b = np.full(len(at), i), there[at]
+            keep = may_find(rows, a, b)
+            yield a[keep], b[keep], bound[keep]
+
+    def may_find(rows: dict, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        size, label = rows["rank_size"], rows["rank_label"]
+        higher = (size[b] > size[a]) | ((size[b] == size[a]) & (label[b] >= label[a]))
+        return rows["told"][b] & (rows["label"][a] != rows["label"][b]) & higher
+
+    def named(rows: dict, a: np.ndarray, b: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The most promising partners of each row, and itself if there are more."""
+        ids = rows["class"]
+        if taken is None or not len(a):
+            return ids[a], ids[b]
+        promise = bound / np.maximum(needed(rows["n_shingles"][a], rows["n_shingles"][b], similarity), 1)
+        # Ties go to the smallest, so that near copies gather around few.
+        order = np.lexsort((ids[b], -promise, a))
+        a, b = a[order], b[order]
+        place = np.arange(len(a)) - np.searchsorted(a, a)
+        more = a[place == taken]
+        a, b = a[place < taken], b[place < taken]
+        return np.r_[ids[a], ids[more]], np.r_[ids[b], ids[more]]
+
+    def counted(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        a, b = (np.concatenate([p[i] for p in pairs] or [np.empty(0, np.int64)]) for i in (0, 1))
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)])
+        votes = np.diff(np.r_[new, len(a)])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (a[new], b[new], votes)], names=["a", "b", "votes"])
 
     def found_in(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        votes: Counter[tuple[int, int]] = Counter()
-        if table.num_rows:
-            block = _block_ids(table)
-            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
-            names = ("class", "n_shingles", "label", "asks", "told", "rank_size", "rank_label")
-            arrays = [table[c].to_numpy() for c in names]
-            data = b"".join(table["point"].to_pylist())
-            points = np.frombuffer(data, "u1").reshape(-1, GROUPS).astype(np.int32)
-            points[points == FULL] = 1 << 24
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if hi - lo > 1:
-                    for pair in partners(*(a[lo:hi] for a in arrays), points[lo:hi]):
-                        votes[pair] += 1
-                        if len(votes) >= HELD_PAIRS:
-                            yield counted(votes)
-                            votes.clear()
-        yield counted(votes)
+        if not table.num_rows:
+            return
+        block = _block_ids(table)
+        cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
+        names = ("class", "n_shingles", "label", "asks", "told", "rank_size", "rank_label")
+        rows = {c: table[c].to_numpy() for c in names}
+        data = b"".join(table["point"].to_pylist())
+        points = np.frombuffer(data, "u1").reshape(-1, GROUPS).astype(np.int32)
+        points[points == FULL] = 1 << 24
+        length = np.diff(cuts)
+        count = np.where((length > 1) & (length <= LEAF_ROWS), length, 0)
+        large = np.flatnonzero(length > LEAF_ROWS)
+        found = [beside(rows, points, np.repeat(cuts[:-1], length), np.repeat(count, length))]
+        found += [searched(rows, points, cuts[i], cuts[i + 1]) for i in large]
+        pairs, held = [], 0
+        for a, b, bound in chain.from_iterable(found):
+            pairs.append(named(rows, a, b, bound))
+            held += len(pairs[-1][0])
+            if held >= HELD_PAIRS:
+                yield counted(pairs)
+                pairs, held = [], 0
+        yield counted(pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -455,18 +471,15 @@ def linked_classes(
     )
     enough = stored(enough.join(involved, F.col("a") == F.col("class"), "left_semi"), "enough")
     texts = stored(_texts_of(docs, words, involved), "class-texts")
-    live = stored(
-        keys.join(key_sizes, "key", "left_semi").join(classes.join(involved, "class", "left_semi"), "class"),
-        "live-rows",
-    )
-    release(keys, key_sizes, classes)
-
     found = tried = going = None
-    rank = label = None
+    live = label = None
     for taken in (*rounds, None):
         if going is not None:
-            rows = stored(_asking_rows(live, rank, label, going, block_rows), "asking-rows")
+            rows = stored(_asking_rows(live, label, going, block_rows), "asking-rows")
+            release(live)
             votes = stored(_candidates(rows, similarity, taken), "votes")
+            # Keys that are left out now stay out.
+            live = stored(rows.where("told AND asking = 0").select(live.columns), "live-rows")
             release(rows)
         chosen = stored(_chosen(votes, split if going is None else split.limit(0), tried, enough, taken), "chosen")
         release(votes, *([going] if going is not None else []))
@@ -491,24 +504,26 @@ def linked_classes(
                 release(found, label)
             found = joined
             label = stored(_labels(found, involved), "labels")
-        if rank is None:
-            # Who asks whom stays as it is now, so that a class that is done stays done.
-            size = label.groupBy(F.col("label").alias("l")).agg(F.count("*").alias("rank_size"))
-            rank = stored(
-                label.join(size, F.col("label") == F.col("l"))
-                .select("class", "rank_size", F.col("label").alias("rank_label")),
-                "ranks",
-            )
         going = stored(chosen.where("b IS NULL").select(F.col("a").alias("class")).distinct(), "going")
         release(chosen, links)
         if going.isEmpty():
             break
-    release(going, tried, rank, label, live, split, texts, involved, enough)
+        if live is None:
+            # Who asks whom stays as it is now, so that a class that is done stays done.
+            size = label.groupBy(F.col("label").alias("rank_label")).agg(F.count("*").alias("rank_size"))
+            rank = label.withColumnRenamed("label", "rank_label").join(size, "rank_label")
+            wanted = classes.join(rank, "class").select(
+                "class", "n_shingles", "point", "rank_size", "rank_label"
+            )
+            live = stored(keys.join(key_sizes, "key", "left_semi").join(wanted, "class"), "live-rows")
+    release(keys, key_sizes, classes, going, tried, label, split, texts, involved, enough)
+    if live is not None:
+        release(live)
     return found.select(F.col("node").alias("class"), F.col("component").alias("label"))
 
 
 def _asking_rows(
-    live: DataFrame, rank: DataFrame, label: DataFrame, going: DataFrame, block_rows: int
+    live: DataFrame, label: DataFrame, going: DataFrame, block_rows: int
 ) -> DataFrame:
     """The rows of a later round: who asks is in one block with all that it may find.
 
@@ -518,7 +533,7 @@ def _asking_rows(
     with a single component, are left out.
     """
     asker = going.select("class", F.lit(True).alias("goes"))
-    rows = live.join(rank, "class").join(label, "class").join(asker, "class", "left")
+    rows = live.join(label.join(asker, "class", "left"), "class")
     by_key = rows.groupBy("key").agg(
         F.max(F.struct("rank_size", "rank_label")).alias("top"),
         F.count("*").alias("rows"),

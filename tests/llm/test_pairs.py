@@ -38,9 +38,9 @@ def groups(rows, similarity):
     return Counter((i, len(s), least.get(top(n))) for n, (i, s) in enumerate(sets))
 
 
-@pytest.mark.parametrize("similarity, block_rows", [(80, 2000), (60, 4)])
-def test_join(frame, repetitive, similarity, block_rows):
-    got = ngram_join.join_documents(frame(repetitive), similarity=similarity, block_rows=block_rows)
+@pytest.mark.parametrize("similarity, block_rows, rounds", [(80, 2000, ngram_join.TAKEN), (60, 4, (1,))])
+def test_join(frame, repetitive, similarity, block_rows, rounds):
+    got = ngram_join.join_documents(frame(repetitive), similarity=similarity, block_rows=block_rows, rounds=rounds)
     rows = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect())
     assert rows == groups(repetitive, similarity)
 
