@@ -1,8 +1,9 @@
 """Words, windows and their rolling hashes, for many texts at once.
 
 Texts are handled as UTF-8 bytes, joined with line feeds, in numpy. Sums of
-``code * base ** position`` modulo 2 ** 64 give the Rabin-Karp hash of any range
-of bytes or words in constant time.
+``code * base ** position`` modulo the prime 2 ** 61 - 1 give the Rabin-Karp hash of
+any range of bytes or words in constant time. (Modulo a power of two, some strings
+of 1,024 bytes hash alike whatever the base.)
 """
 
 from __future__ import annotations
@@ -15,8 +16,11 @@ import numpy as np
 #: Bytes of text handled at once; arrays take about fifty times as much memory.
 CHUNK_BYTES = 1 << 18
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse
-_UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: Hashes are taken modulo this prime.
+_PRIME = np.uint64((1 << 61) - 1)
+_BASE = 0x0D3A5C91E47B26F9
+_UNBASE = pow(_BASE, -1, int(_PRIME))
+_LENGTH = np.uint64(0x9E3779B97F4A7C15)
 _powers: dict[int, np.ndarray] = {}
 
 _SPACE = np.zeros(256, bool)
@@ -25,13 +29,65 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def _power(base: np.uint64, n: int) -> np.ndarray:
-    """base ** 0 up to base ** n, kept between calls."""
-    known = _powers.get(int(base))
-    if known is None or len(known) <= n:
-        factors = np.full(max(n, CHUNK_BYTES) + 1, base)
-        factors[0] = 1
-        known = _powers[int(base)] = np.multiply.accumulate(factors)
+_LOW_30, _LOW_31, _LOW_62 = (np.uint64((1 << n) - 1) for n in (30, 31, 62))
+_1, _30, _31, _61 = (np.uint64(n) for n in (1, 30, 31, 61))
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, for any 64-bit x."""
+    folded = x >> _61
+    folded += x & _PRIME
+    return np.minimum(folded, folded - _PRIME)  # below the prime the difference wraps
+
+
+#: Items multiplied at once, few enough to stay in a core's cache.
+_BLOCK = 1 << 13
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, by halves of 31 bits; a below 2 ** 62, b below the prime."""
+    made = np.empty(len(a), np.uint64)
+    for at in range(0, len(a), _BLOCK):
+        x = a[at : at + _BLOCK]
+        y = b[at : at + len(x)] if b.ndim else b
+        high_x, low_x, high_y, low_y = x >> _31, x & _LOW_31, y >> _31, y & _LOW_31
+        middle = high_x * low_y
+        middle += low_x * high_y
+        # 2 ** 61 is 1 modulo the prime, so 2 ** 62 is 2.
+        high_x *= high_y
+        high_x <<= _1
+        high_x += middle >> _30
+        middle &= _LOW_30
+        middle <<= _31
+        high_x += middle
+        low_x *= low_y
+        high_x += low_x
+        made[at : at + _BLOCK] = _fold(high_x)
+    return made
+
+
+def _prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Sums of the first 0, 1, 2, ... values (below the prime) modulo the prime."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    for at in range(0, len(values), _BLOCK):
+        block = values[at : at + _BLOCK]
+        low, high = np.cumsum(block & _LOW_31), np.cumsum(block >> _31)
+        low += high >> _30
+        high &= _LOW_30
+        high <<= _31
+        low += high
+        low += sums[at]
+        sums[at + 1 : at + 1 + len(block)] = _fold(low)
+    return sums
+
+
+def _power(base: int, n: int) -> np.ndarray:
+    """base ** 0 up to base ** n modulo the prime, kept between calls."""
+    known = _powers.get(base, np.ones(1, np.uint64))
+    while len(known) <= n:
+        step = np.uint64(pow(base, len(known), int(_PRIME)))
+        known = np.r_[known, _times(known, step)]
+    _powers[base] = known
     return known
 
 
@@ -46,21 +102,23 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
-_CODES = mix(np.arange(1, 257))
+_CODES = _fold(mix(np.arange(1, 257)))
 
 
 class RangeHash:
     """Hashes of ranges of a sequence of 64-bit codes."""
 
     def __init__(self, codes: np.ndarray):
-        self._sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(codes * _power(_BASE, len(codes))[: len(codes)], out=self._sums[1:])
+        """Of each code the low 62 bits count, modulo the prime."""
+        self._sums = _prefix_sums(_times(codes & _LOW_62, _power(_BASE, len(codes))))
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         start = np.asarray(start)
-        found = self._sums[end] - self._sums[start]
-        found *= _power(_UNBASE, len(self._sums))[start]
-        return mix(found + (np.asarray(end) - start).astype(np.uint64) * _BASE)
+        found = _times(
+            self._sums[end] + (_PRIME - self._sums[start]),
+            _power(_UNBASE, len(self._sums))[start],
+        )
+        return mix(found + (np.asarray(end) - start).astype(np.uint64) * _LENGTH)
 
 
 def byte_codes(data: np.ndarray) -> np.ndarray:
