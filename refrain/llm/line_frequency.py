@@ -1,10 +1,10 @@
 """Quality rules by the frequency of lines across documents.
 
 Every line is normalised (words in lower case, one space between) and hashed.
-For each host the distinct texts that hold a line are counted; exact copies of a
-text count once. Lines in more than a host's limit are removed, and a document
-that loses more than a set share of its words is rejected. Base rules on words
-and repeated windows come before.
+For each host the documents that hold a line are counted, every copy of a text
+among them. Lines in more than a host's limit are removed, and a document that
+loses more than a set share of its words is rejected. Base rules on words and
+repeated windows come before.
 """
 
 from __future__ import annotations
@@ -26,9 +26,11 @@ from refrain.llm.spans import (
     window_starts,
 )
 
-#: A line is removed if it is in more texts of a host than both of these allow.
-MIN_TEXTS = 10
+#: A line is removed if it is in more documents of a host than both of these allow,
+MIN_DOCS = 10
 MAX_SHARE = 0.05
+#: or in more than this many, however large the host is.
+MAX_DOCS = 200
 #: A document is depleted if more than this share of its words is removed.
 MAX_REMOVED = 0.5
 MIN_WORDS = 50
@@ -129,40 +131,45 @@ def measure(docs: DataFrame, host: str) -> DataFrame:
     return measured.select("doc_id.*", *(c for c in measured.columns if c != "doc_id"))
 
 
-def frequent_lines(measured: DataFrame, min_texts: int, max_share: float) -> tuple[DataFrame, DataFrame]:
-    """Every line of every distinct text of a host, and those above the limit."""
+def frequent_lines(
+    measured: DataFrame, min_docs: int, max_share: float, max_docs: int
+) -> tuple[DataFrame, DataFrame]:
+    """Every line of every distinct text of a host, and those above the limit.
+
+    Copies of a text are merged before the shuffle and counted as ``copies``.
+    """
     lines = (
         measured.select("host", "text_hash", F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
         .select("host", "text_hash", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
-        .groupBy("host", "line", "text_hash").agg(F.max("words").alias("words"))
+        .groupBy("host", "line", "text_hash")
+        .agg(F.max("words").alias("words"), F.count("*").alias("copies"))
     )
     lines = stored(lines, "host-lines")
-    texts = (
-        measured.groupBy("host", "text_hash").agg(F.lit(1).alias("one"))
-        .groupBy("host").agg(F.count("*").alias("texts"))
-    )
-    held = lines.groupBy("host", "line").agg(F.count("*").alias("n_texts")).where(
-        F.col("n_texts") > min_texts
+    hosts = measured.groupBy("host").agg(F.count("*").alias("docs"))
+    held = lines.groupBy("host", "line").agg(F.sum("copies").alias("n_docs")).where(
+        F.col("n_docs") > min(min_docs, max_docs)
     )
-    above = held.join(texts, held["host"].eqNullSafe(texts["host"])).where(
-        F.col("n_texts") > max_share * F.col("texts")
+    above = held.join(hosts, held["host"].eqNullSafe(hosts["host"])).where(
+        (F.col("n_docs") > max_docs)
+        | (F.col("n_docs") > min_docs) & (F.col("n_docs") > max_share * F.col("docs"))
     )
-    return lines, stored(above.select(held["host"], "line", "n_texts"), "frequent-lines")
+    return lines, stored(above.select(held["host"], "line", "n_docs"), "frequent-lines")
 
 
 def judge_lines(
-    docs: DataFrame, host: str, min_texts: int = MIN_TEXTS, max_share: float = MAX_SHARE
+    docs: DataFrame, host: str, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+    max_docs: int = MAX_DOCS,
 ) -> DataFrame:
     """Every row of ``docs`` (``doc_id``, ``text`` and a host column) judged.
 
     Returns ``doc_id``, COUNTS, ``base_failed``, ``n_line_words_removed``, the
     hashes of the ``removed_lines`` and ``kept``. A NULL or empty text has no word
     and fails the base rules; NULL hosts count as one host; NULL ids stay NULL;
-    repeated rows each get a row and count as one text; other columns of ``docs``
-    are ignored.
+    repeated rows each get a row and each count as a document; other columns of
+    ``docs`` are ignored; an empty table gives none.
     """
     measured = stored(measure(docs, host), "measured")
-    lines, frequent = frequent_lines(measured, min_texts, max_share)
+    lines, frequent = frequent_lines(measured, min_docs, max_share, max_docs)
     removed = (
         lines.alias("a").join(
             frequent.alias("b"),

@@ -36,7 +36,8 @@ def _lower(x: str) -> str:
 
 
 def line_frequency(
-    host: str, min_texts: int, max_share: float, max_removed: float, min_words: int, max_repeated: int
+    host: str, min_docs: int, max_share: float, max_docs: int, max_removed: float,
+    min_words: int, max_repeated: int,
 ) -> str:
     return f"""
 WITH docs AS (
@@ -54,15 +55,15 @@ WITH docs AS (
   SELECT n, count(DISTINCT j + k) AS n_repeat_words
   FROM again, unnest([0, 1, 2]) AS t(k) GROUP BY n
 ), normal AS (
-  SELECT n, host, text, regexp_extract_all({_lower('line')}, '{_WORD}') AS lw
-  FROM (SELECT n, host, text, unnest(lines) AS line FROM docs)
+  SELECT n, host, regexp_extract_all({_lower('line')}, '{_WORD}') AS lw
+  FROM (SELECT n, host, unnest(lines) AS line FROM docs)
 ), held AS (
-  SELECT host, array_to_string(lw, ' ') AS line, count(DISTINCT text) AS n_texts
+  SELECT host, array_to_string(lw, ' ') AS line, count(DISTINCT n) AS n_docs
   FROM normal GROUP BY ALL
-), hosts AS (SELECT host, count(DISTINCT text) AS texts FROM docs GROUP BY host
+), hosts AS (SELECT host, count(*) AS docs FROM docs GROUP BY host
 ), frequent AS (
   SELECT held.host, line FROM held JOIN hosts ON held.host IS NOT DISTINCT FROM hosts.host
-  WHERE n_texts > {min_texts} AND n_texts > {max_share} * texts
+  WHERE n_docs > {max_docs} OR (n_docs > {min_docs} AND n_docs > {max_share} * hosts.docs)
 ), lost AS (
   SELECT n, CAST(sum(len(lw)) AS BIGINT) AS lost
   FROM normal JOIN frequent ON normal.host IS NOT DISTINCT FROM frequent.host

@@ -58,8 +58,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     oracle.line_frequency(
-        "source", line_frequency.MIN_TEXTS, line_frequency.MAX_SHARE, line_frequency.MAX_REMOVED,
-        line_frequency.MIN_WORDS, line_frequency.MAX_REPEATED,
+        "source", line_frequency.MIN_DOCS, line_frequency.MAX_SHARE, line_frequency.MAX_DOCS,
+        line_frequency.MAX_REMOVED, line_frequency.MIN_WORDS, line_frequency.MAX_REPEATED,
     )
 )
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:

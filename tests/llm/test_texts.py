@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest_words import lower, split
+from conftest_words import colliding_words, lower, split
 from tokenizers import Tokenizer
 
 from refrain.llm import language_id, line_frequency, packing, toxicity, url_filter, wrappers
@@ -116,7 +116,8 @@ def test_language(spark):
 
 # --- line frequency -----------------------------------------------------------
 
-def test_lines(spark):
+@pytest.mark.parametrize("max_docs", [1000, 8])
+def test_lines(spark, max_docs):
     rng = random.Random(4)
     rows = []
     for i in range(60):
@@ -127,17 +128,17 @@ def test_lines(spark):
             lines += [lines[0], "é ü é ü é ü é", "   "]
         rows.append((i, "\n".join(lines), "h1" if i % 3 else None))
     rows += [(100, None, "h1"), (101, "", None), (102, " \n\t", "h1"), (None, rows[1][1], "h1"), (7, rows[7][1], "h1")]
+    rows += [(300 + i, rows[3][1], "h1") for i in range(9)]  # in too few texts, in too many documents
     rows += [(200, "all rights reserved #1\n" * 20, "h1"), (201, rows[1][1], "h1")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumn("kept", docs_flag())
-    got = line_frequency.judge_lines(docs, "source", min_texts=5, max_share=0.2)
+    got = line_frequency.judge_lines(docs, "source", min_docs=5, max_share=0.2, max_docs=max_docs)
 
     def normal(line):
         return " ".join(split(lower(line)))
 
-    texts = {(h, t or "") for _, t, h in rows}
-    held = Counter((h, n) for h, t in texts for n in {normal(x) for x in t.split("\n")} if n)
-    per_host = Counter(h for h, _ in texts)
-    frequent = {k for k, n in held.items() if n > 5 and n > 0.2 * per_host[k[0]]}
+    held = Counter((h, n) for _, t, h in rows for n in {normal(x) for x in (t or "").split("\n")} if n)
+    per_host = Counter(h for *_, h in rows)
+    frequent = {k for k, n in held.items() if n > max_docs or n > 5 and n > 0.2 * per_host[k[0]]}
     assert frequent
     expected = Counter()
     for i, t, h in rows:
@@ -156,6 +157,15 @@ def test_lines(spark):
     assert line_frequency.judge_lines(docs.limit(0), "source").collect() == []
 
 
+def test_lines_that_collide_modulo_powers_of_two(spark):
+    one, other = colliding_words()
+    rows = [(i, f"{one if i % 2 else other}\n" + "w " * 60) for i in range(6)] + [(9, f"{one}\n{other}")]
+    docs = spark.createDataFrame([(*r, "h") for r in rows], "doc_id bigint, text string, source string")
+    got = line_frequency.judge_lines(docs, "source", min_docs=4, max_share=0.1).collect()
+    found = {r["doc_id"]: (r["n_dup_lines"], r["n_line_words_removed"]) for r in got}
+    assert found == {i: (0, 60) for i in range(6)} | {9: (0, 0)}
+
+
 def docs_flag():
     from pyspark.sql import functions as F
 
