@@ -67,6 +67,14 @@ def drop_tables(spark: SparkSession, tables: list[str]) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {tables.pop()}")
 
 
+def unused_name(wanted: str, frame: DataFrame) -> str:
+    """``wanted``, made longer until no column of ``frame`` has that name."""
+    taken = {c.lower() for c in frame.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def remainder_is(id_column: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; false for NULL."""
     text = id_column.cast("string").cast("binary")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refrain.llm.common import map_texts, release, sliced, spread_sample, stored
+from refrain.llm.common import map_texts, release, sliced, spread_sample, stored, unused_name
 from refrain.llm.components import components
 from refrain.llm.repeats import KEY, keyed_texts
 from refrain.llm.spans import LOWER, RangeHash, Texts, Words, byte_codes, chunks, mix, window_starts
@@ -616,7 +616,8 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs``, all columns, with one document of each component left.
 
     The one with the smallest id stays; NULL counts as larger. Documents without
-    shingles all stay; of rows that repeat id and text one stays.
+    shingles all stay; of rows that repeat id and text one stays. Columns may have
+    any names; an empty table stays empty.
     """
     labelled = _labelled_documents(docs, **options).where("label IS NOT NULL")
     order = F.struct(F.col("doc_id.doc_id").isNull(), "doc_id")
@@ -631,5 +632,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     release(first)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"))
-    left = docs.withColumn("kept_key", key).join(dropped, F.col("kept_key") == F.col("key"), "left_anti")
-    return left.dropDuplicates(["kept_key"]).drop("kept_key")
+    name = unused_name("kept_key", docs)
+    keyed = docs.withColumn(name, key)
+    left = keyed.join(dropped, keyed[name] == dropped["key"], "left_anti")
+    return left.dropDuplicates([name]).drop(name)

@@ -83,7 +83,8 @@ def settle_runs(
     document that has any; and the stored tables that this is read from.
 
     ``keep_first`` says whether the first of equal runs (smallest document, then
-    start) is spared.
+    start) is spared. Rows that repeat id and text have the same runs, which are
+    listed once for all of them.
     """
     anchors = stored(repeated_anchors(docs, make), "anchors")
     runs = stored(all_runs(docs, make).join(anchors, "anchor", "left_semi"), "runs")
@@ -110,7 +111,7 @@ def settle_runs(
         closed = closed.where(place != F.col("first"))
     closed = closed.select("doc_id", F.struct("start", "count").alias("closed"), F.lit(None).alias("open"))
     lists = closed.unionByName(open_runs).groupBy("doc_id").agg(
-        F.collect_list("closed").alias("closed"), F.collect_list("open").alias("open")
+        F.collect_set("closed").alias("closed"), F.collect_list("open").alias("open")
     )
     return lists, [runs, contents, shared]
 

@@ -4,8 +4,8 @@ Runs of windows that repeat as a whole are settled by their hashes (see
 ``repeats``). The open runs of each anchor go together into an enhanced suffix
 array: suffixes in order and the common prefix of neighbours. A scan with a stack
 turns it into the tree of common-prefix intervals; an interval whose occurrences
-have different bytes before them is a maximal repeat, and all its occurrences are
-put out. Their union is removed.
+have different bytes before them is a maximal repeat with all occurrences that
+the interval spans. Their union is removed.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from refrain.llm.common import map_batches, release, stored
+from refrain.llm.common import map_batches, release, stored, unused_name
 from refrain.llm.repeats import keyed_texts, settle_runs, with_runs
 from refrain.llm.spans import RangeHash, Runs, Texts, anchored_runs, byte_codes
 
@@ -42,14 +42,17 @@ _MIXED = None
 class Interval:
     """A maximal repeat: its length and where it starts in the joined texts.
 
-    ``starts`` holds the occurrences that are in no longer maximal repeat below
-    it; ``parent`` is the length of the next shorter repeat that holds it, or 0.
+    Its suffixes follow each other in order, from ``low`` to ``high``; ``starts`` is
+    that part of the suffix array, so it holds all occurrences, those in longer
+    repeats too. ``parent`` is the length of the next shorter common prefix, or 0.
     """
 
     length: int
-    starts: list[int]
+    low: int
+    high: int = 0
     parent: int = 0
     before: int | None = field(default=_MIXED, repr=False)
+    starts: np.ndarray | None = field(default=None, repr=False)
 
 
 def _ranks(joined: Texts, longest: int) -> list[np.ndarray]:
@@ -98,39 +101,31 @@ def _common_prefix(
     return np.minimum(length, most)
 
 
-def _scan(starts: list[int], lengths: list[int], before: list[int]) -> Iterator[Interval]:
-    """The left-diverse intervals of suffixes in order.
+def _scan(lengths: list[int], before: list[int]) -> Iterator[Interval]:
+    """The left-diverse common-prefix intervals of suffixes in order.
 
-    ``lengths[i]`` is the common prefix of suffixes i and i + 1. An interval
-    whose suffixes all follow the same byte is part of one that starts a byte
-    earlier; its occurrences pass to the interval above it.
+    ``lengths[i]`` is the common prefix of suffixes i and i + 1, ``before[i]`` the
+    byte before suffix i. The stack holds the open intervals, the longest on top; one
+    is complete when a shorter common prefix comes. An interval whose suffixes all
+    follow the same byte is part of one that starts a byte earlier.
     """
     stack: list[Interval] = []
-    for i, start in enumerate(starts):
+    for i, said in enumerate(before):
         length = lengths[i] if i < len(lengths) else 0
-        if not stack or length > stack[-1].length:
-            stack.append(Interval(length, [start], 0, before[i]))
-            continue
-        top = stack[-1]
-        top.starts.append(start)
-        if top.before != before[i]:
-            top.before = _MIXED
+        low = i
         while stack and stack[-1].length > length:
             node = stack.pop()
-            if not stack or stack[-1].length < length:
-                if not length:
-                    if node.before is _MIXED:
-                        yield node
-                    continue
-                stack.append(Interval(length, [], 0, node.before))
-            above = stack[-1]
-            if above.before != node.before:
-                above.before = _MIXED
-            if node.before is _MIXED:
-                node.parent = above.length
+            if node.before != said:
+                node.before = said = _MIXED
+            low, node.high = node.low, i
+            if said is _MIXED:
+                node.parent = max(length, stack[-1].length if stack else 0)
                 yield node
-            else:
-                above.starts += node.starts
+        if stack and stack[-1].length == length:
+            if stack[-1].before != said:
+                stack[-1].before = _MIXED
+        elif length:
+            stack.append(Interval(length, low, before=said))
 
 
 def maximal_repeats(texts: list[bytes], width: int) -> tuple[Texts, list[Interval]]:
@@ -160,9 +155,9 @@ def maximal_repeats(texts: list[bytes], width: int) -> tuple[Texts, list[Interva
     diverse = np.minimum.reduceat(before, group) != np.maximum.reduceat(before, group)
     found = []
     for g, n in zip(group[diverse & (size > 1)], size[diverse & (size > 1)]):
-        found += _scan(
-            place[g : g + n].tolist(), lengths[g : g + n - 1].tolist(), before[g : g + n].tolist()
-        )
+        for interval in _scan(lengths[g : g + n - 1].tolist(), before[g : g + n].tolist()):
+            interval.starts = place[g + interval.low : g + interval.high + 1]
+            found.append(interval)
     return joined, found
 
 
@@ -175,36 +170,33 @@ def run_maker(width: int, gram: int) -> Callable[[list[bytes]], tuple[Runs, np.n
     return make
 
 
-def _repeats_by_anchor(open_texts: DataFrame, width: int) -> DataFrame:
-    """``doc_id``, ``start``, ``length``, ``repeat`` and ``parent`` for each occurrence
-    of a maximal repeat among the open runs of an anchor."""
+def _repeated_spans(open_texts: DataFrame, width: int) -> DataFrame:
+    """``doc_id``, ``start`` and ``length`` of the bytes that maximal repeats among
+    the open runs of an anchor cover, all occurrences together."""
 
     def flush(rows: list[dict]) -> pa.RecordBatch:
         joined, intervals = maximal_repeats([r["bytes"] for r in rows], width)
-        made = []
+        change = np.zeros(len(joined.data) + 1, np.int64)
         for interval in intervals:
-            if not interval.starts:  # all its occurrences are in longer ones
-                continue
-            at = interval.starts[0]
-            name = hashlib.blake2b(joined.data[at : at + interval.length].tobytes(), digest_size=16).hexdigest()
-            owners = np.searchsorted(joined.begin, interval.starts, "right") - 1
-            for place, owner in zip(interval.starts, owners.tolist()):
-                row = rows[owner]
-                made.append(
-                    {
-                        "doc_id": row["doc_id"],
-                        "start": row["start"] + place - int(joined.begin[owner]),
-                        "length": interval.length,
-                        "repeat": name,
-                        "parent": interval.parent,
-                    }
-                )
+            change[interval.starts] += 1
+            change[interval.starts + interval.length] -= 1
+        edges = np.flatnonzero(np.diff(np.r_[0, np.cumsum(change[:-1]) > 0, 0]))
+        begin, end = edges[::2], edges[1::2]
+        owner = np.searchsorted(joined.begin, begin, "right") - 1
+        made = [
+            {"doc_id": rows[o]["doc_id"], "start": rows[o]["start"] + at, "length": length}
+            for o, at, length in zip(
+                owner.tolist(), (begin - joined.begin[owner]).tolist(), (end - begin).tolist()
+            )
+        ]
         return pa.RecordBatch.from_pylist(made, schema=target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
         for batch in batches:
             for row in batch.to_pylist():
+                if rows and all(row[c] == rows[-1][c] for c in ("anchor", "doc_id", "start")):
+                    continue  # of a row that repeats id and text
                 if size > ARRAY_BYTES and row["anchor"] != rows[-1]["anchor"]:
                     yield flush(rows)
                     rows, size = [], 0
@@ -214,12 +206,10 @@ def _repeats_by_anchor(open_texts: DataFrame, width: int) -> DataFrame:
             yield flush(rows)
 
     key = pa.struct([("doc_id", pa.int64()), ("text_hash", pa.int64())])
-    target = pa.schema(
-        [("doc_id", key), ("start", pa.int32()), ("length", pa.int32()), ("repeat", pa.string()), ("parent", pa.int32())]
-    )
+    target = pa.schema([("doc_id", key), ("start", pa.int32()), ("length", pa.int32())])
     return (
-        open_texts.repartition("anchor").sortWithinPartitions("anchor")
-        .mapInArrow(run, "doc_id struct<doc_id:bigint,text_hash:bigint>, start int, length int, repeat string, parent int")
+        open_texts.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start")
+        .mapInArrow(run, "doc_id struct<doc_id:bigint,text_hash:bigint>, start int, length int")
     )
 
 
@@ -375,8 +365,13 @@ def remove_repeats(
     waiting = half.where("text IS NOT NULL")
 
     def cut(batch: pa.RecordBatch) -> dict:
-        rows = []
-        for i, (text, runs) in enumerate(zip(batch["text"].to_pylist(), batch["open"].to_pylist())):
+        rows, seen = [], set()
+        columns = (batch[c].to_pylist() for c in ("doc_id", "text", "open"))
+        for i, (key, text, runs) in enumerate(zip(*columns)):
+            key = key["doc_id"], key["text_hash"]
+            if key in seen:  # rows that repeat id and text tell the same
+                continue
+            seen.add(key)
             data = text.encode("utf-8", "surrogatepass")
             for r in runs:
                 part = data[r["start"] : r["start"] + r["count"] - 1 + width]
@@ -389,14 +384,15 @@ def remove_repeats(
         waiting.select("doc_id", "text", "open"), cut,
         "anchor bigint, large boolean, start int, at int, bytes binary",
     )
-    large = stored(open_texts.where("large").drop("large"), "large-groups")
+    large = open_texts.where("large").drop("large").dropDuplicates(["doc_id", "anchor", "start"])
+    large = stored(large, "large-groups")
     groups = [open_texts.where("NOT large").select("doc_id", "anchor", "start", "bytes")]
     whole, split = _split_groups(large, width, gram, max_group)
-    repeats = _repeats_by_anchor(reduce(DataFrame.unionByName, groups + split), width)
+    repeated = _repeated_spans(reduce(DataFrame.unionByName, groups + split), width)
     spans = (
-        reduce(DataFrame.unionByName, [repeats.select("doc_id", "start", "length"), *whole])
+        reduce(DataFrame.unionByName, [repeated, *whole])
         .groupBy(F.col("doc_id").alias("key"))
-        .agg(F.collect_list(F.struct("start", "length")).alias("spans"))
+        .agg(F.collect_set(F.struct("start", "length")).alias("spans"))
     )
 
     def finish(batch: pa.RecordBatch) -> dict:
@@ -424,12 +420,14 @@ def cut_repeats(docs: DataFrame, **options) -> DataFrame:
 
     Where a cut falls inside a character its remaining bytes go too. ``n_chars``, if
     there, is counted anew. Texts that are NULL stay NULL; a text that is cut out
-    whole is empty; no row is dropped.
+    whole is empty; no row is dropped; rows that repeat id and text remove each
+    other; columns may have any names; an empty table stays empty.
     """
-    carried = [c for c in docs.columns if c != "text"] + ["text_is_null"]
-    marked = docs.withColumn("text_is_null", F.col("text").isNull())
+    mark = unused_name("text_is_null", docs)
+    carried = [c for c in docs.columns if c != "text"] + [mark]
+    marked = docs.withColumn(mark, F.col("text").isNull())
     cut = remove_repeats(marked, with_text=True, carried=carried, **options)
-    text = F.when(~F.col("rest.text_is_null"), _whole_characters("kept"))
+    text = F.when(~F.col("rest")[mark], _whole_characters("kept"))
     columns = {c: F.col("rest")[c] for c in docs.columns if c != "text"} | {"text": text}
     if "n_chars" in columns:
         columns["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)

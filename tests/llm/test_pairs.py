@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest_words import lower, split
+from conftest_words import colliding_words, lower, split
 
 from refrain.llm import decontamination, ngram_join
 from refrain.llm.components import components
@@ -54,6 +54,21 @@ def test_keep_one(frame, repetitive):
     assert kept == firsts
 
 
+def test_words_that_collide_modulo_powers_of_two(frame):
+    rows = [(n, f"one two {w} three four five") for n, w in enumerate(colliding_words())]
+    got = ngram_join.join_documents(frame(rows)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(0, 0), (1, 1)}
+
+
+def test_keep_one_keeps_columns_named_like_helpers(frame):
+    docs = frame([(1, "one two"), (2, "one two"), (3, None)])
+    docs = docs.withColumnRenamed("class", "kept_key").withColumnRenamed("start", "key")
+    got = ngram_join.keep_one(docs)
+    assert got.columns == docs.columns
+    assert {(r["doc_id"], r["kept_key"], r["key"]) for r in got.collect()} == {(1, "c", "x"), (3, "c", "x")}
+    assert ngram_join.keep_one(docs.limit(0)).collect() == []
+
+
 def test_join_of_nothing(frame):
     assert ngram_join.join_documents(frame([])).collect() == []
 

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import pytest
-from conftest_words import split
+from conftest import words
+from conftest_words import colliding_words, split
 
 from refrain.llm import suffix_dedup, window_dedup
 
@@ -57,6 +59,27 @@ def test_suffixes(frame, repetitive, width, gram, max_group):
     assert Counter(map(tuple, got.collect())) == by_bytes(repetitive, width)
 
 
+def test_words_that_collide_modulo_powers_of_two(frame):
+    one, other = colliding_words()
+    around = [f"w{i}" for i in range(30)]
+    rows = [(n, " ".join(around[:10] + [w] + around[10:20])) for n, w in enumerate((one, other))]
+    got = window_dedup.remove_repeats(frame(rows), width=20, gram=5)
+    assert {r["n_removed"] for r in got.collect()} == {0}
+    rows = [(0, "a" * 40 + one), (1, "b" * 40 + other)]
+    got = suffix_dedup.remove_repeats(frame(rows), width=900, gram=32)
+    assert Counter(map(tuple, got.collect())) == by_bytes(rows, 900)
+
+
+def test_columns_named_like_helpers(frame):
+    docs = frame([(1, "a" * 60), (2, "a" * 60), (3, None)])
+    docs = docs.withColumnRenamed("class", "TEXT_is_null").withColumnRenamed("start", "rest")
+    got = suffix_dedup.cut_repeats(docs, width=41, gram=9)
+    assert got.columns == docs.columns
+    assert {(r["doc_id"], r["text"], r["TEXT_is_null"], r["rest"]) for r in got.collect()} == {
+        (1, "", "c", "x"), (2, "", "c", "x"), (3, None, "c", "x")
+    }
+
+
 def test_empty_tables(frame):
     assert window_dedup.remove_repeats(frame([])).collect() == []
     assert suffix_dedup.remove_repeats(frame([])).collect() == []
@@ -99,7 +122,64 @@ def test_maximal_repeats_cover_all_repeated_windows():
 def test_interval_is_left_diverse_and_lists_all_occurrences():
     joined, repeats = suffix_dedup.maximal_repeats([b"xabcdeY", b"yabcdeZ", b"zabcdQ"], 3)
     found = {(r.length, tuple(sorted(joined.data[s - 1 : s].tobytes() for s in r.starts)), r.parent) for r in repeats}
-    assert found == {(5, (b"x", b"y"), 4), (4, (b"z",), 0)}
+    assert found == {(5, (b"x", b"y"), 4), (4, (b"x", b"y", b"z"), 0)}
+
+
+def maximal_groups(texts, width):
+    """Strings of at least ``width`` bytes that occur twice, with different bytes (or
+    the end of a text) on both sides, and all places where they occur."""
+    places = {}
+    for t, text in enumerate(texts):
+        for a in range(len(text)):
+            for b in range(a + width, len(text) + 1):
+                places.setdefault(text[a:b], []).append((t, a))
+
+    def sides(word, found):
+        left = {texts[t][a - 1] if a else (t, "start") for t, a in found}
+        ends = ((t, a + len(word)) for t, a in found)
+        right = {texts[t][e] if e < len(texts[t]) else (t, "end") for t, e in ends}
+        return len(left) > 1 and len(right) > 1
+
+    return {w: sorted(found) for w, found in places.items() if len(found) > 1 and sides(w, found)}
+
+
+def test_maximal_repeat_groups_equal_brute_force():
+    for seed in range(300):
+        rng = random.Random(seed)
+        texts = [
+            bytes(rng.choice(b"ab\n"[: rng.randint(1, 3)]) for _ in range(rng.randint(0, 25)))
+            for _ in range(rng.randint(1, 6))
+        ]
+        width = rng.randint(1, 6)
+        joined, repeats = suffix_dedup.maximal_repeats(texts, width)
+        got = {}
+        for r in repeats:
+            owner = joined.begin.searchsorted(r.starts, "right") - 1
+            word = joined.data[r.starts[0] : r.starts[0] + r.length].tobytes()
+            assert word not in got
+            got[word] = sorted(zip(owner.tolist(), (r.starts - joined.begin[owner]).tolist()))
+        assert got == maximal_groups(texts, width), (seed, texts, width)
+
+
+def test_equal_rows_take_time_in_proportion(frame):
+    """Rows that repeat id and text share runs with other documents, open and closed."""
+    rng = random.Random(3)
+    many = [f"w{i}" for i in range(300)]
+    passage, tail = words(rng, 40, many), words(rng, 30, many)
+    text = f"{words(rng, 20, many)} {passage} {tail}"
+    rows = [(1, f"x {passage} y"), (2, f"{words(rng, 5, many)} {passage} {tail[:80]} z")]
+    rows += [(None, text)] * 1500 + [(5, text)] * 1500
+    seconds = []
+    for some in ([(i if i is None else i + 10 * n, t) for n, (i, t) in enumerate(rows)], rows):
+        begun = time.monotonic()
+        got = suffix_dedup.remove_repeats(frame(some), width=40, gram=12).collect()
+        later = window_dedup.remove_repeats(frame(some), width=20, gram=3).collect()
+        seconds.append(time.monotonic() - begun)
+        assert len(got) == len(later) == len(rows)
+    assert {r["n_removed"] for r in got if r["doc_id"] in (None, 5)} == {len(text)}
+    found = {(r["doc_id"], r["n_removed"]) for r in later}
+    assert len(found) == 4 and (None, 0) in found and (5, len(split(text))) in found
+    assert seconds[1] < 3 * seconds[0] + 10
 
 
 def test_line_feeds_in_texts_do_not_hide_repeats():
