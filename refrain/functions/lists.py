@@ -55,10 +55,16 @@ _ARRAY_PIECE = rf'(?s){_QUOTED}|(?:[^",\\]|\\.)++'
 # a separator, which they must not hold, before each.
 _CUT = "\x1f"
 _OUTER = r"[' \t\n\x0B\f\r]*+"
-_NO_BARE = r"\",{}\[\]\\\x1F" + "".join(s for s in WIDE_SPACE if not s.isascii())
+# The characters of a bare element, commonest first: ranges are tried in turn, and a
+# negated class tries all of them for every character. All but marks, \x1F and wide
+# spaces; spaces of ASCII and single quotes may follow the first character.
+_BARE_START = (
+    r"\--Z^-z!#-&(-+|~\x00-\x08\x0E-\x1E\x7F-\x9F\u00A1-\u167F\u1681-\u1FFF\u200B-\u2027"
+    r"\u202A-\u202E\u2030-\u205E\u2060-\u2FFF\u3001-\uFEFE\uFF00-\x{10FFFF}"
+)
 _PLAIN_BARE = (
     rf"(?!(?i:n'*+u'*+l'*+l){_OUTER}[,\]])"
-    rf"[^{_NO_BARE}' \t\n\x0B\f\r][^{_NO_BARE}]*+"
+    rf"[{_BARE_START}][{_BARE_START}' \t\n\x0B\f\r]*+"
 )
 _PLAIN_ELEMENT = rf'{_OUTER}(?:"[^"\\\x1F]*+"{_OUTER}|{_PLAIN_BARE})'
 _PLAIN_LIST = (

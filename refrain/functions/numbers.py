@@ -34,15 +34,18 @@ def _radix_number(text: Column) -> Column:
     whole literal rightly.
     """
     letter = F.lower(F.substring(text, 2, 1))
+    # One expression for all bases: written out for each, the generated method is too
+    # large for the JVM to compile.
+    radix, bits, width = (
+        F.when(letter == "x", F.lit(x)).when(letter == "o", F.lit(o)).otherwise(F.lit(b))
+        for x, o, b in zip(*(_RADIX[name] for name in "xob"))
+    )
     digits = F.ltrim(F.substring(text, 3, 2**31 - 1), F.lit("0"))
-    value = F.lit(None).cast("double")
-    for name, (radix, bits, width) in _RADIX.items():
-        rest = F.substring(digits, width + 1, 2**31 - 1)
-        head = F.call_function("conv", F.left(digits, F.lit(width)), F.lit(radix), F.lit(10))
-        sticky = F.when(rest.rlike("[^0]"), F.lit(1)).otherwise(F.lit(0)).cast("long")
-        whole = head.try_cast("long").bitwiseOR(sticky).cast("double")
-        scale = F.pow(F.lit(2.0), (bits * F.length(rest)).cast("double"))
-        value = F.when(letter == name, whole * scale).otherwise(value)
+    rest = F.substring(digits, width + 1, F.lit(2**31 - 1))
+    head = F.call_function("conv", F.left(digits, width), radix, F.lit(10))
+    sticky = F.when(rest.rlike("[^0]"), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    whole = head.try_cast("long").bitwiseOR(sticky).cast("double")
+    value = whole * F.pow(F.lit(2.0), (bits * F.length(rest)).cast("double"))
     return F.when(digits == "", F.lit(0.0)).otherwise(value)
 
 
@@ -55,7 +58,9 @@ def strict_number(c: Column) -> Column:
     """
     text = trim_wide(c)
     return (
-        F.when(text.rlike(_WHOLE_DECIMAL), text.try_cast("double"))
+        # Most texts need no trimming, and a match leaves nothing to trim.
+        F.when(c.rlike(_WHOLE_DECIMAL), c.try_cast("double"))
+        .when(text.rlike(_WHOLE_DECIMAL), text.try_cast("double"))
         .when(text == "", F.lit(0.0))
         .when(text.rlike(_RADIX_LITERAL), _radix_number(text))
     )
@@ -66,7 +71,8 @@ def lenient_int(c: Column, on_bad: str = "fail") -> Column:
 
     A number that does not fit fails the query, or is NULL with ``on_bad="null"``.
     """
-    value = F.regexp_extract(c, _INT_PREFIX, 1).try_cast("int")
+    # Casting empty text would give NULL too, but each failed cast is costly.
+    value = F.nullif(F.regexp_extract(c, _INT_PREFIX, 1), F.lit("")).try_cast("int")
     if on_bad == "null":
         return value
     # Only a text without a value is looked at again.
@@ -77,7 +83,6 @@ def lenient_int(c: Column, on_bad: str = "fail") -> Column:
 
 def lenient_double(c: Column) -> Column:
     """Longest numeric prefix of a text as a double, NULL if there is none."""
-    # Casting empty text would work too, but each failed cast is costly.
     prefix = F.nullif(F.regexp_extract(c, _DOUBLE_PREFIX, 1), F.lit(""))
     return prefix.try_cast("double")
 

@@ -1,6 +1,7 @@
 """Column expressions on literal inputs."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from refrain.functions import (
     strict_number,
     trim_wide,
 )
+from refrain.functions.lists import _BARE_START
 from refrain.functions.text import WIDE_SPACE
 
 
@@ -265,3 +267,22 @@ def test_text(spark, X):
     check(spark, {"['a', \"b\"]": "a, b", None: None}, drop_list_marks(X))
     check(spark, {"": None, " ": " ", None: None}, empty_to_null(X))
     assert len(WIDE_SPACE) == len(set(WIDE_SPACE)) == 25
+
+
+def test_numbers_make_methods_that_the_jvm_compiles(spark):
+    df = spark.range(1).selectExpr("cast(id AS string) AS t").select(strict_number(F.col("t")).alias("n"))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", df._jdf.queryExecution().explainString(mode))
+    assert sizes and max(map(int, sizes)) < 8_000
+
+
+def test_texts_without_a_number_are_not_cast(spark):
+    number = lenient_int(F.col("x"), "null")
+    assert "nullif" in str(number).lower()
+    check(spark, {"x": None, "": None, "7x": 7}, number)
+
+
+def test_bare_list_elements_take_all_but_marks_and_wide_spaces():
+    start = re.compile(f"[{_BARE_START}]".replace(r"\x{10FFFF}", chr(0x10FFFF)))
+    refused = {c for c in map(chr, range(0x110000)) if not start.match(c)}
+    assert refused == {*"\",{}[]\\'\x1f", *WIDE_SPACE}

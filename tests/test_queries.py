@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from refrain.plans import queries
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -58,3 +59,16 @@ def test_query(spark, duck, sf_dir, name):
         list((got - expected).items())[:3],
         list((expected - got).items())[:3],
     )
+
+
+def test_raw_items_are_written_by_methods_that_the_jvm_compiles(spark, sf_dir, monkeypatch, tmp_path):
+    limits = []
+    monkeypatch.setattr(queries, "write_csv", lambda df, path: limits.append(spark.conf.get(queries.METHOD_LIMIT)))
+    before = spark.conf.get(queries.METHOD_LIMIT)
+    spark.conf.set(queries.METHOD_LIMIT, "65535")
+    try:
+        queries._raw_csv(spark, sf_dir, str(tmp_path))
+        assert limits == ["8000", "8000"]
+        assert spark.conf.get(queries.METHOD_LIMIT) == "65535"
+    finally:
+        spark.conf.set(queries.METHOD_LIMIT, before)
