@@ -1,5 +1,6 @@
 """Every registered query against its SQL on the driver tables."""
 
+import glob
 import math
 from collections import Counter
 
@@ -61,6 +62,23 @@ def test_query(spark, duck, sf_dir, name):
     )
 
 
+def test_files_of_the_stream_grow_in_number_and_not_in_size(spark, sf_dir, monkeypatch):
+    asked = {}
+
+    def watched(session, source, *args, files_per_batch):
+        asked.update(files=len(glob.glob(source)), files_per_batch=files_per_batch)
+        return prepare_stream(session, source, *args, files_per_batch=files_per_batch)
+
+    prepare_stream = queries.prepare_stream
+    few = Counter(tuple(r) for r in queries.streamed_batches(spark, sf_dir).collect())
+    monkeypatch.setattr(queries, "ROWS_A_FILE", 500)
+    monkeypatch.setattr(queries, "prepare_stream", watched)
+    many = Counter(tuple(r) for r in queries.streamed_batches(spark, sf_dir).collect())
+    n_rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert asked == {"files": -(-n_rows // 500), "files_per_batch": -(-n_rows // 1000)}
+    assert few == many
+
+
 def test_raw_items_are_written_by_methods_that_the_jvm_compiles(spark, sf_dir, monkeypatch, tmp_path):
     limits = []
     monkeypatch.setattr(queries, "write_csv", lambda df, path: limits.append(spark.conf.get(queries.METHOD_LIMIT)))
