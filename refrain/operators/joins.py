@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from refrain.schemas import free_name
 
 #: Parts that a hot key is spread over. One with a share s of the left rows puts
-#: s / SALTS in a task.
-SALTS = 16
+#: s / SALTS in a part; there are more parts than Spark has shuffle partitions by
+#: default, so that no part is larger than what else is in a partition.
+SALTS = 256
 
 #: A key is hot from this share of the rows on; so there are at most 50 hot keys.
 HOT_SHARE = 0.02
@@ -52,7 +53,8 @@ def salted_join(
 ) -> DataFrame:
     """``inner``, ``left`` or ``left_semi`` join on ``key``; both sides may repeat it.
 
-    Rows of the keys in ``hot`` are spread over ``salts``. Right columns other than
+    Rows of the keys in ``hot``, and with them left rows without a key, are spread
+    over ``salts``. Right columns other than
     the key must have names of their own. Columns of map type cannot be hashed and do
     not spread their rows.
     """
@@ -65,6 +67,6 @@ def salted_join(
     hashed = [F.col(f"`{c}`") for c, kind in left.dtypes if not kind.startswith("map")]
     spread = F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
-    left = left.withColumn(salt, F.when(is_hot, spread).otherwise(zero))
+    left = left.withColumn(salt, F.when(is_hot | F.col(f"`{key}`").isNull(), spread).otherwise(zero))
     right = right.withColumn(salt, F.explode(F.when(is_hot, every).otherwise(F.array(zero))))
     return left.join(right, [key, salt], how).drop(salt)

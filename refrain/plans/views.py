@@ -25,12 +25,16 @@ _MEMBERS = "split(nullif(translate(array_join(id_artists, ','), '[]\\'\"', ''),
 
 
 def _salts(hot: Sequence[str], member: str = "0", entity: str = "0") -> dict[str, str]:
-    """How members and entities get their salts."""
+    """How members and entities get their salts.
+
+    Items without members, which find no entity, are spread like those of hot ids.
+    """
     if not hot:
-        return {"member_salt": member, "entity_salt": entity}
+        none = f"CASE WHEN member IS NULL THEN spread ELSE {member} END"
+        return {"member_salt": none, "entity_salt": entity}
     listed = ", ".join(_literal(key) for key in hot)
     return {
-        "member_salt": f"CASE WHEN trim(member) IN ({listed}) THEN spread ELSE {member} END",
+        "member_salt": f"CASE WHEN member IS NULL OR trim(member) IN ({listed}) THEN spread ELSE {member} END",
         "entity_salt": f"""explode(CASE WHEN id IN ({listed})
             THEN sequence(0, {SALTS} - 1) ELSE array({entity}) END)""",
     }

@@ -498,3 +498,26 @@ def test_columns_with_names_of_helpers(spark):
         for row in made.collect():
             assert all(row[n] == n for n in names)
     assert prepare.prepare_items(df).first()["release_month"] == "01"
+
+
+def test_left_rows_without_a_key_are_spread(spark, no_broadcast):
+    left = spark.range(4_000).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("n"))
+    right = spark.createDataFrame([("hot", 1)], "k string, m int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.salted_join(left, right, "k", "left", hot=["hot"])
+        assert joined.count() == 4_000
+        assert joined.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("hot", [(), ("7",)])
+def test_items_without_members_make_no_skewed_partition(spark, eager_skew, hot):
+    columns = "cast(id AS string) AS id, 'n' AS name, 1 AS popularity, 0.5D AS energy, 'Low' AS danceability_level"
+    listed = "if(id < 4000, cast(NULL AS array<string>), array(cast(id AS string))) AS id_artists"
+    items = spark.range(5_000).selectExpr(*columns.split(", "), listed)
+    entities = spark.range(5_000).selectExpr("cast(id AS string) AS id", "cast(id AS int) AS followers")
+    got, plan = final_plan(views.track_summary(items, entities, hot))
+    assert sum(got.values()) == 5_000
+    assert "skew=true" not in plan
