@@ -501,7 +501,7 @@ def test_columns_with_names_of_helpers(spark):
 
 
 def test_left_rows_without_a_key_are_spread(spark, no_broadcast):
-    left = spark.range(4_000).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("n"))
+    left = spark.range(4_000).select(F.when(F.col("id") < 0, "hot").alias("k"), F.col("id").alias("n"))
     right = spark.createDataFrame([("hot", 1)], "k string, m int")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
