@@ -31,11 +31,15 @@ from refrain.llm.common import map_texts, release, sliced, spread_sample, stored
 from refrain.llm.components import components
 from refrain.llm.repeats import KEY, keyed_texts
 from refrain.llm.spans import LOWER, RangeHash, Texts, Words, byte_codes, chunks, mix, window_starts
+from refrain.operators.bloom import bloom_filter, probable
 
 SHINGLE_WORDS = 5
 #: Similarity in percent.
 SIMILARITY = 80
-GROUPS = 32
+#: So many that pairs that are not similar enough hardly ever pass the bound.
+GROUPS = 256
+#: Coordinates of a coarser point, each the sum of several; nodes bound these.
+COARSE = 32
 #: The largest count that is written; it stands for any larger one, too.
 FULL = 255
 #: Texts sampled to find frequent shingles, which come last in the order. It sets
@@ -56,7 +60,12 @@ TAKEN = (1, 4, 16, 64)
 #: Pairs that a task counts at once.
 HELD_PAIRS = 100_000
 #: Pairs of rows in small blocks that are compared at once.
-LEAF_PAIRS = 1 << 16
+LEAF_PAIRS = 1 << 14
+#: Keys shipped together to be counted, on average, and those a task holds.
+BUCKET_KEYS = 1 << 18
+HELD_KEYS = 1 << 21
+#: Words of the Bloom filter of texts to verify: 2 MB.
+SIEVE_WORDS = 1 << 18
 
 
 class Sets:
@@ -134,30 +143,46 @@ def needed(size_a: np.ndarray, size_b: np.ndarray, similarity: int) -> np.ndarra
     return -(-similarity * (size_a + size_b) // (100 + similarity))
 
 
+def _coarse(points: np.ndarray) -> np.ndarray:
+    return points.reshape(len(points), -1, COARSE).sum(1, dtype=np.int32)
+
+
 class CountTree:
-    """An R-tree over count vectors, packed by sorting on the vectors."""
+    """An R-tree over count vectors, packed by sorting on the vectors.
+
+    Nodes and leaves are judged by coarse points first, which bound no less.
+    """
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.order = np.lexsort(points.T[::-1])
-        self.points, self.sizes = points[self.order], sizes[self.order]
+        coarse = _coarse(points)
+        self.order = np.lexsort(coarse.T[::-1])
+        self.points, self.coarse, self.sizes = points[self.order], coarse[self.order], sizes[self.order]
         #: From the leaves up: the largest coordinates and the range of sizes.
         self.levels = []
-        top, low, high = self.points, self.sizes, self.sizes
+        top, low, high = self.coarse, self.sizes, self.sizes
         while len(top) > NODE:
             at = np.arange(0, len(top), NODE)
             top = np.maximum.reduceat(top, at)
             low, high = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
             self.levels.append((top, low, high))
 
-    def search(self, point: np.ndarray, size: int, similarity: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the points that may be similar enough, and their bounds."""
-        at = None
+    def search(
+        self, point: np.ndarray, size: int, similarity: int, wanted: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the points that may be similar enough, and their bounds.
+
+        Of these only the ``wanted`` ones, if given, a flag for each place.
+        """
+        coarse, at = _coarse(point[None])[0], None
         for top, low, high in reversed(self.levels):
             at = self._below(at, len(top))
             fits = (low[at] * similarity <= 100 * size) & (high[at] * 100 >= similarity * size)
-            bound = np.minimum(top[at], point).sum(1)
+            bound = np.minimum(top[at], coarse).sum(1)
             at = at[fits & (bound >= needed(np.maximum(low[at], -(-similarity * size // 100)), size, similarity))]
         at = self._below(at, len(self.points))
+        at = at[np.minimum(self.coarse[at], coarse).sum(1) >= needed(self.sizes[at], size, similarity)]
+        if wanted is not None:
+            at = at[wanted[self.order[at]]]
         bound = np.minimum(self.points[at], point).sum(1)
         keep = bound >= needed(self.sizes[at], size, similarity)
         return self.order[at[keep]], bound[keep]
@@ -170,11 +195,12 @@ class CountTree:
         return at[at < n]
 
 
-def sets_of(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``class`` (NULL if empty) and ``point``."""
+def sets_of(docs: DataFrame, words: int, frequent: np.ndarray, similarity: int) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``class`` (NULL if empty), ``point`` and ``keys``."""
+    known = docs.sparkSession.sparkContext.broadcast(frequent)  # bounded by the sample
 
     def run(texts: list[str | None]) -> dict:
-        made = {"n_shingles": [], "class": [], "point": []}
+        made = {"n_shingles": [], "class": [], "point": [], "keys": []}
         for _, chunk in chunks(texts):
             sets = Sets(chunk, words)
             sizes = sets.sizes()
@@ -183,9 +209,12 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
                 c if n else None for c, n in zip(sets.classes().view(np.int64).tolist(), sizes)
             ]
             made["point"] += [p.tobytes() for p in np.minimum(sets.points(), FULL).astype("u1")]
+            keys, text = sets.prefixes(known.value, similarity)
+            cuts = np.searchsorted(text, np.arange(len(chunk) + 1))
+            made["keys"] += [keys[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])]
         return made
 
-    return map_texts(docs, run, "n_shingles bigint, class bigint, point binary", KEY)
+    return map_texts(docs, run, "n_shingles bigint, class bigint, point binary, keys binary", KEY)
 
 
 def frequent_shingles(docs: DataFrame, words: int, sample: int) -> np.ndarray:
@@ -208,35 +237,72 @@ def frequent_shingles(docs: DataFrame, words: int, sample: int) -> np.ndarray:
     return np.array([r["shingle"] for r in found], np.int64).view(np.uint64)
 
 
-def shared_keys(docs: DataFrame, words: int, frequent: np.ndarray, similarity: int) -> DataFrame:
-    """``key`` and ``class`` for keys that at least two documents have."""
-    known = docs.sparkSession.sparkContext.broadcast(frequent)  # bounded by the sample
+def shared_keys(sets: DataFrame) -> DataFrame:
+    """``key`` and ``class`` for keys that at least two classes have.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
-            for _, chunk in chunks(batch["text"].to_pylist()):
-                keys, times = np.unique(
-                    Sets(chunk, words).prefixes(known.value, similarity)[0], return_counts=True
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(times)], names=["key", "times"]
-                )
+    Keys are dealt to buckets and travel packed, many in a row.
+    """
+    total = sets.agg(F.sum(F.length("keys"))).first()[0] or 0
+    buckets = np.uint64(max(1, total // 8 // BUCKET_KEYS))
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
-            for _, chunk in chunks(batch["text"].to_pylist()):
-                sets = Sets(chunk, words)
-                keys, text = sets.prefixes(known.value, similarity)
-                pairs = np.unique(np.stack([keys, sets.classes()[text]]), axis=1).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(p) for p in pairs], names=["key", "class"])
-
-    texts = docs.select("text")
-    twice = stored(
-        texts.mapInArrow(count, "key bigint, times bigint").groupBy("key")
-        .agg(F.sum("times").alias("times")).where("times > 1").select("key"),
-        "keys",
-    )
-    return texts.mapInArrow(rows, "key bigint, class bigint").join(twice, "key", "left_semi")
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = batch["keys"].to_pylist()
+            keys = np.frombuffer(b"".join(packed), np.uint64)
+            owner = np.repeat(batch["class"].to_numpy(), [len(p) // 8 for p in packed])
+            bucket = (mix(keys) % buckets).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            keys, owner, bucket = keys[order], owner[order], bucket[order]
+            names, first = np.unique(bucket, return_index=True)
+            cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)]))
+            parts = [pa.array([c[x:y].tobytes() for x, y in cuts], pa.binary()) for c in (keys, owner)]
+            yield pa.RecordBatch.from_arrays([pa.array(names), *parts], names=["bucket", "keys", "classes"])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, _Met()
+        for batch in batches:
+            for at, keys, owner in zip(*(batch[c].to_pylist() for c in ("bucket", "keys", "classes"))):
+                if at != bucket:
+                    yield held.shared()
+                    bucket, held = at, _Met()
+                held.add(np.frombuffer(keys, np.int64), np.frombuffer(owner, np.int64))
+                if held.size >= HELD_KEYS:
+                    yield held.shared()
+        yield held.shared()
+
+    # Exact copies have the same keys; one stays.
+    classes = sets.where("class IS NOT NULL").groupBy("class").agg(F.min("keys").alias("keys"))
+    packed = classes.mapInArrow(pack, "bucket bigint, keys binary, classes binary")
+    dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(unpack, "key bigint, class bigint")
+
+
+class _Met:
+    """The keys of a bucket. Those met twice are passed on, so that even a key of
+    very many classes is not held."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+        self.known = np.empty(0, np.int64)
+
+    def add(self, keys: np.ndarray, owner: np.ndarray) -> None:
+        self.parts.append((keys, owner))
+        self.size += len(keys)
+
+    def shared(self) -> pa.RecordBatch:
+        """Rows of keys met twice up to now; rows of other keys stay."""
+        none = [np.empty(0, np.int64)]
+        keys, owner = (np.concatenate([p[i] for p in self.parts] or none) for i in (0, 1))
+        order = np.argsort(keys, kind="stable")
+        keys, owner = keys[order], owner[order]
+        same = keys[1:] == keys[:-1]
+        twice = np.r_[same, False] | np.r_[False, same] if len(keys) else np.zeros(0, bool)
+        if len(self.known):
+            twice |= np.isin(keys, self.known)
+        self.known = np.union1d(self.known, keys[twice])
+        self.parts, self.size = [(keys[~twice], owner[~twice])], 0
+        return pa.RecordBatch.from_arrays([pa.array(keys[twice]), pa.array(owner[twice])], names=["key", "class"])
 
 
 def _candidates(rows: DataFrame, similarity: int, taken: int | None) -> DataFrame:
@@ -249,7 +315,7 @@ def _candidates(rows: DataFrame, similarity: int, taken: int | None) -> DataFram
     None). A row with ``a`` = ``b`` says in how many blocks there were more.
     """
 
-    def beside(rows: dict, points: np.ndarray, first: np.ndarray, count: np.ndarray):
+    def beside(rows: dict, points: np.ndarray, coarse: np.ndarray, first: np.ndarray, count: np.ndarray):
         """Pairs of rows and their bounds in blocks that are single leaves.
 
         Row i is compared with the ``count[i]`` rows from ``first[i]`` on; many
@@ -262,9 +328,11 @@ def _candidates(rows: DataFrame, similarity: int, taken: int | None) -> DataFram
             b = np.arange(len(a)) + np.repeat(first[at] - np.cumsum(count[at]) + count[at], count[at])
             keep = may_find(rows, a, b)
             a, b = a[keep], b[keep]
-            bound = np.minimum(points[a], points[b]).sum(1, dtype=np.int64)
-            keep = bound >= needed(rows["n_shingles"][a], rows["n_shingles"][b], similarity)
-            yield a[keep], b[keep], bound[keep]
+            for each in (coarse, points):
+                bound = np.minimum(each[a], each[b]).sum(1, dtype=np.int64)
+                keep = bound >= needed(rows["n_shingles"][a], rows["n_shingles"][b], similarity)
+                a, b, bound = a[keep], b[keep], bound[keep]
+            yield a, b, bound
 
     def searched(rows: dict, points: np.ndarray, lo: int, hi: int):
         """The same in a larger block, row by row down its tree."""
@@ -272,10 +340,9 @@ def _candidates(rows: DataFrame, similarity: int, taken: int | None) -> DataFram
         there = lo + np.flatnonzero(rows["told"][lo:hi])
         tree = CountTree(points[there], sizes[there])
         for i in lo + np.flatnonzero(rows["asks"][lo:hi]):
-            at, bound = tree.search(points[i], int(sizes[i]), similarity)
-            a, b = np.full(len(at), i), there[at]
-            keep = may_find(rows, a, b)
-            yield a[keep], b[keep], bound[keep]
+            wanted = may_find(rows, np.array([i]), there)
+            at, bound = tree.search(points[i], int(sizes[i]), similarity, wanted)
+            yield np.full(len(at), i), there[at], bound
 
     def may_find(rows: dict, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         size, label = rows["rank_size"], rows["rank_label"]
@@ -317,7 +384,7 @@ def _candidates(rows: DataFrame, similarity: int, taken: int | None) -> DataFram
         length = np.diff(cuts)
         count = np.where((length > 1) & (length <= LEAF_ROWS), length, 0)
         large = np.flatnonzero(length > LEAF_ROWS)
-        found = [beside(rows, points, np.repeat(cuts[:-1], length), np.repeat(count, length))]
+        found = [beside(rows, points, _coarse(points), np.repeat(cuts[:-1], length), np.repeat(count, length))]
         found += [searched(rows, points, cuts[i], cuts[i + 1]) for i in large]
         pairs, held = [], 0
         for a, b, bound in chain.from_iterable(found):
@@ -424,33 +491,33 @@ def _chosen(
 
 def linked_classes(
     docs: DataFrame, sets: DataFrame, words: int = SHINGLE_WORDS, similarity: int = SIMILARITY,
-    sample: int = SAMPLE_TEXTS, block_rows: int = BLOCK_ROWS, rounds: tuple[int, ...] = TAKEN,
+    block_rows: int = BLOCK_ROWS, rounds: tuple[int, ...] = TAKEN,
 ) -> DataFrame:
     """``class`` and ``label``: classes that are linked, directly or by others.
 
+    ``sets`` is what ``sets_of`` makes, stored; it is released when it is used up.
     Classes linked with no other are left out. ``rounds`` says how many partners a
     class takes in each round before the last, which takes all.
     """
-    frequent = frequent_shingles(docs, words, sample)
-    # Exact copies bring the same row many times; one stays.
-    keys = stored(shared_keys(docs, words, frequent, similarity).distinct(), "key-rows")
-    key_sizes = stored(
-        keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1"), "key-sizes"
-    )
+    keys = stored(shared_keys(sets), "key-rows")
     first = F.struct("doc_id", "n_shingles", "point")
     classes = stored(
         sets.where("class IS NOT NULL").groupBy("class").agg(F.min_by(first, "doc_id").alias("s"))
-        .select("class", "s.n_shingles", "s.point"),
+        .select("class", "s.*"),
         "classes",
     )
+    release(sets)
+    large = stored(
+        keys.groupBy("key").agg(F.count("*").alias("rows")).where(F.col("rows") > block_rows), "large-keys"
+    )
     enough = classes.select(
         F.col("class").alias("a"),
         _keys_in_common(F.col("n_shingles") * similarity / 100).alias("enough"),
     )
-    blocks = F.ceil(F.col("rows") / block_rows).cast("int")
+    blocks = F.ceil(F.coalesce("rows", F.lit(1)) / block_rows).cast("int")
     same = F.lit(0).cast("long")
     # In the first round, each block of a key by itself, all rows ask all others.
-    meeting = keys.join(key_sizes, "key").join(classes, "class").select(
+    meeting = keys.join(large, "key", "left").join(classes, "class").select(
         "key", F.pmod(F.xxhash64("class"), blocks).cast("int").alias("part"),
         F.lit(0).alias("asking"), "class", "n_shingles", "point",
         F.lit(True).alias("asks"), F.lit(True).alias("told"), F.col("class").alias("label"),
@@ -458,7 +525,7 @@ def linked_classes(
     )
     votes = stored(_candidates(meeting, similarity, rounds[0]), "votes")
     split = stored(
-        keys.join(key_sizes.where(F.col("rows") > block_rows), "key").groupBy(F.col("class").alias("a"))
+        keys.join(large, "key").groupBy(F.col("class").alias("a"))
         .agg(F.count("*").alias("hidden")),
         "split",
     )
@@ -470,14 +537,20 @@ def linked_classes(
         "involved",
     )
     enough = stored(enough.join(involved, F.col("a") == F.col("class"), "left_semi"), "enough")
-    texts = stored(_texts_of(docs, words, involved), "class-texts")
+    classes_left = stored(
+        classes.join(involved, "class", "left_semi").select("class", "doc_id", "n_shingles", "point"),
+        "involved-classes",
+    )
+    release(classes)
+    texts = stored(_texts_of(docs, classes_left.select("class", "doc_id")), "class-texts")
     found = tried = going = None
     live = label = None
     for taken in (*rounds, None):
         if going is not None:
-            rows = stored(_asking_rows(live, label, going, block_rows), "asking-rows")
+            rows = stored(_asking_rows(live.join(ranked, "class"), label, going, block_rows), "asking-rows")
             release(live)
-            votes = stored(_candidates(rows, similarity, taken), "votes")
+            found_rows = rows.join(classes_left.select("class", "point"), "class")
+            votes = stored(_candidates(found_rows, similarity, taken), "votes")
             # Keys that are left out now stay out.
             live = stored(rows.where("told AND asking = 0").select(live.columns), "live-rows")
             release(rows)
@@ -512,13 +585,12 @@ def linked_classes(
             # Who asks whom stays as it is now, so that a class that is done stays done.
             size = label.groupBy(F.col("label").alias("rank_label")).agg(F.count("*").alias("rank_size"))
             rank = label.withColumnRenamed("label", "rank_label").join(size, "rank_label")
-            wanted = classes.join(rank, "class").select(
-                "class", "n_shingles", "point", "rank_size", "rank_label"
-            )
-            live = stored(keys.join(key_sizes, "key", "left_semi").join(wanted, "class"), "live-rows")
-    release(keys, key_sizes, classes, going, tried, label, split, texts, involved, enough)
-    if live is not None:
-        release(live)
+            ranked = classes_left.join(rank, "class").select("class", "n_shingles", "rank_size", "rank_label")
+            ranked = stored(ranked, "ranks")
+            live = stored(keys.join(ranked, "class", "left_semi"), "live-rows")
+            release(keys)
+    release(large, classes_left, going, tried, label, split, texts, involved, enough)
+    release(*([live, ranked] if live is not None else [keys]))
     return found.select(F.col("node").alias("class"), F.col("component").alias("label"))
 
 
@@ -542,12 +614,12 @@ def _asking_rows(
     ).where("low < high AND askers > 0")
     below = F.col("goes").isNotNull() & (F.struct("rank_size", "rank_label") < F.col("top"))
     rows = rows.join(by_key.drop("low", "high"), "key").select(
-        "key", "class", "n_shingles", "point", "label", "rank_size", "rank_label",
+        "key", "class", "n_shingles", "label", "rank_size", "rank_label",
         F.coalesce(below, F.lit(False)).alias("goes"),
         F.ceil(F.col("rows") / block_rows).cast("int").alias("parts"),
         F.ceil(F.col("askers") / block_rows).cast("int").alias("askings"),
     )
-    kept = ["class", "n_shingles", "point", "label", "rank_size", "rank_label"]
+    kept = ["class", "n_shingles", "label", "rank_size", "rank_label"]
     told = rows.select(
         "key", F.pmod(F.xxhash64("class"), "parts").cast("int").alias("part"),
         F.explode(F.sequence(F.lit(0), F.col("askings") - 1)).alias("asking"), *kept,
@@ -561,33 +633,30 @@ def _asking_rows(
     return told.unionByName(asking)
 
 
-def _texts_of(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
-    """One text for each class in ``wanted``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
-            seen = {}
-            for first, chunk in chunks(batch["text"].to_pylist()):
-                for i, c in enumerate(Sets(chunk, words).classes().view(np.int64).tolist()):
-                    seen.setdefault(c, first + i)
-            texts = batch["text"].take(pa.array(list(seen.values()), pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), texts], names=["class", "text"])
-
-    classed = docs.select("text").where("text IS NOT NULL").mapInArrow(run, "class bigint, text string")
-    return classed.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("text").alias("text"))
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The text of each ``class`` in ``wanted``, by the ``doc_id`` of one of its rows."""
+    ids = wanted.select("class", F.col("doc_id").alias("key"))
+    maybe = probable(docs, "doc_id", bloom_filter(ids.select("key"), SIEVE_WORDS), SIEVE_WORDS)
+    found = maybe.join(ids, F.col("doc_id") == F.col("key"))
+    return found.groupBy("class").agg(F.min("text").alias("text"))
 
 
 def _labelled_documents(docs: DataFrame, **options) -> DataFrame:
     """``doc_id`` (the key of ``keyed_texts``), ``n_shingles``, ``class``, ``label``."""
     texts = keyed_texts(docs)
-    sets = stored(sets_of(texts, options.get("words", SHINGLE_WORDS)), "sets")
+    words, similarity = options.get("words", SHINGLE_WORDS), options.get("similarity", SIMILARITY)
+    frequent = frequent_shingles(texts, words, options.pop("sample", SAMPLE_TEXTS))
+    sets = stored(sets_of(texts, words, frequent, similarity), "sets")
+    bare = stored(sets.drop("point", "keys"), "bare-sets")
     linked = linked_classes(texts, sets, **options)
     label = linked.select(F.col("class").alias("c"), "label")
-    return stored(
-        sets.drop("point").join(label, F.col("class") == F.col("c"), "left")
+    labelled = stored(
+        bare.join(label, F.col("class") == F.col("c"), "left")
         .withColumn("label", F.coalesce("label", "class")).drop("c"),
         "labelled",
     )
+    release(bare)
+    return labelled
 
 
 def join_documents(docs: DataFrame, **options) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest_words import colliding_words, lower, split
 
@@ -93,6 +94,38 @@ def test_tree_bound_never_loses_a_pair():
                 assert j in found
 
 
+def test_points_tell_what_is_not_similar_enough():
+    rng = random.Random(5)
+    base = [f"t{i}" for i in range(300)]
+    texts = []
+    for n in range(30):  # any two share about two thirds of their shingles
+        near = list(base)
+        for at in rng.sample(range(300), 6):
+            near[at] = f"n{n}x{at}"
+        texts.append(" ".join(near).encode())
+    sets = ngram_join.Sets(texts, 5)
+    points, sizes = sets.points(), sets.sizes()
+    tree = ngram_join.CountTree(points, sizes)
+    found = similar = 0
+    for i in range(30):
+        found += len(tree.search(points[i], int(sizes[i]), 80)[0])
+        for j in range(30):
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            similar += 100 * shared >= 80 * (sizes[i] + sizes[j] - shared)
+    assert similar <= found <= similar + 90
+
+
+def test_keys_met_twice_are_found_over_several_passes():
+    rng = np.random.default_rng(2)
+    keys, owner = rng.integers(0, 300, 400), np.arange(400)
+    met, found = ngram_join._Met(), []
+    for at in range(0, 400, 37):
+        met.add(keys[at : at + 37], owner[at : at + 37])
+        found += [tuple(r.values()) for r in met.shared().to_pylist()]
+    times = Counter(keys.tolist())
+    assert sorted(found) == sorted((k, o) for k, o in zip(keys.tolist(), owner.tolist()) if times[k] > 1)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
