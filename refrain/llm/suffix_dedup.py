@@ -233,7 +233,7 @@ def _split_groups(
     halving ends. ``rows`` has ``doc_id``, ``anchor``, ``start``, ``at`` (the anchor's
     place) and ``bytes``. Returns spans that repeat as a whole, and small groups.
     """
-    whole, small = [], []
+    whole, small, left = [], [], None
     rows = rows.select("doc_id", F.col("anchor").alias("key"), "start", "at", "bytes")
     rows = rows.withColumn("low", F.lit(0)).withColumn("high", F.lit(width - gram))
     while not rows.isEmpty():
@@ -274,24 +274,34 @@ def _split_groups(
         )
         sizes = stored(contents.groupBy("key").agg(F.count("*").alias("contents")), "half-sizes")
         copied = contents.where("copies > 1").select("key", "content")
-        whole.append(
-            halves.join(copied, ["key", "content"], "left_semi").select(
-                "doc_id", "start", F.length("bytes").alias("length")
-            )
-        )
+        repeated = halves.join(copied, ["key", "content"], "left_semi")
+        repeated = repeated.select("doc_id", "start", F.length("bytes").alias("length"))
+        whole.append(stored(repeated, "whole-halves"))
         told = halves.join(contents, ["key", "content"]).where(F.struct("doc_id", "start") == F.col("first"))
         told = told.join(sizes.where("contents > 1"), "key").select(*halves.columns, "contents")
+        told = stored(told, "told-halves")
+        # Stored, so that a step's joins are not planned and broadcast once more with
+        # those of all other steps.
         small.append(
-            told.where(F.col("contents") <= max_group).select(
-                "doc_id", F.col("key").alias("anchor"), "start", "bytes"
+            stored(
+                told.where(F.col("contents") <= max_group).select(
+                    "doc_id", F.col("key").alias("anchor"), "start", "bytes"
+                ),
+                "small-halves",
             )
         )
-        rows = stored(
+        release(halves, contents, sizes)
+        if left is not None:
+            release(left)
+        rows = left = stored(
             told.where(F.col("contents") > max_group).select(
                 "doc_id", "key", "start", "at", "bytes", "low", "high"
             ),
             "large-halves",
         )
+        release(told)
+    if left is not None:
+        release(left)
     return whole, small
 
 

@@ -59,6 +59,15 @@ def test_suffixes(frame, repetitive, width, gram, max_group):
     assert Counter(map(tuple, got.collect())) == by_bytes(repetitive, width)
 
 
+def test_split_groups_are_stored_step_by_step(frame, repetitive, monkeypatch):
+    split, made = suffix_dedup._split_groups, []
+    monkeypatch.setattr(suffix_dedup, "_split_groups", lambda *a: made.append(split(*a)) or made[0])
+    suffix_dedup.remove_repeats(frame(repetitive), width=40, gram=12, max_group=3)
+    whole, small = made[0]
+    assert len(whole) == len(small) > 1
+    assert all("Join" not in f._jdf.queryExecution().toString() for f in whole + small)
+
+
 def test_words_that_collide_modulo_powers_of_two(frame):
     one, other = colliding_words()
     around = [f"w{i}" for i in range(30)]
