@@ -233,7 +233,7 @@ def _split_groups(
     halving ends. ``rows`` has ``doc_id``, ``anchor``, ``start``, ``at`` (the anchor's
     place) and ``bytes``. Returns spans that repeat as a whole, and small groups.
     """
-    whole, small, left = [], [], None
+    whole, small = [], []
     rows = rows.select("doc_id", F.col("anchor").alias("key"), "start", "at", "bytes")
     rows = rows.withColumn("low", F.lit(0)).withColumn("high", F.lit(width - gram))
     while not rows.isEmpty():
@@ -265,7 +265,6 @@ def _split_groups(
             )
             .withColumn("content", F.xxhash64("at", "bytes"))
         )
-        halves = stored(halves, "halves")
         contents = stored(
             halves.groupBy("key", "content").agg(
                 F.count("*").alias("copies"), F.min(F.struct("doc_id", "start")).alias("first")
@@ -273,35 +272,29 @@ def _split_groups(
             "half-contents",
         )
         sizes = stored(contents.groupBy("key").agg(F.count("*").alias("contents")), "half-sizes")
-        copied = contents.where("copies > 1").select("key", "content")
-        repeated = halves.join(copied, ["key", "content"], "left_semi")
-        repeated = repeated.select("doc_id", "start", F.length("bytes").alias("length"))
-        whole.append(stored(repeated, "whole-halves"))
-        told = halves.join(contents, ["key", "content"]).where(F.struct("doc_id", "start") == F.col("first"))
-        told = told.join(sizes.where("contents > 1"), "key").select(*halves.columns, "contents")
-        told = stored(told, "told-halves")
-        # Stored, so that a step's joins are not planned and broadcast once more with
-        # those of all other steps.
+        # All rows of a step go into one table, of which the next step and the results
+        # are parts: so no step's joins are planned again with those of others, and few
+        # files are made. (For each, Hadoop may start processes.)
+        wanted = contents.join(sizes, "key").where("contents > 1 OR copies > 1")
+        told = (F.col("contents") > 1) & (F.struct("doc_id", "start") == F.col("first"))
+        step = stored(
+            halves.join(wanted, ["key", "content"]).withColumn("told", told).where("told OR copies > 1")
+            .select(
+                "doc_id", "key", "start", "at", "low", "high", "copies", "contents", "told",
+                F.length("bytes").alias("length"), F.when(F.col("told"), F.col("bytes")).alias("bytes"),
+            ),
+            "told-halves",
+        )
+        release(contents, sizes)
+        whole.append(step.where("copies > 1").select("doc_id", "start", "length"))
         small.append(
-            stored(
-                told.where(F.col("contents") <= max_group).select(
-                    "doc_id", F.col("key").alias("anchor"), "start", "bytes"
-                ),
-                "small-halves",
+            step.where(F.col("told") & (F.col("contents") <= max_group)).select(
+                "doc_id", F.col("key").alias("anchor"), "start", "bytes"
             )
         )
-        release(halves, contents, sizes)
-        if left is not None:
-            release(left)
-        rows = left = stored(
-            told.where(F.col("contents") > max_group).select(
-                "doc_id", "key", "start", "at", "bytes", "low", "high"
-            ),
-            "large-halves",
+        rows = step.where(F.col("told") & (F.col("contents") > max_group)).select(
+            "doc_id", "key", "start", "at", "bytes", "low", "high"
         )
-        release(told)
-    if left is not None:
-        release(left)
     return whole, small
 
 
@@ -398,6 +391,7 @@ def remove_repeats(
     large = stored(large, "large-groups")
     groups = [open_texts.where("NOT large").select("doc_id", "anchor", "start", "bytes")]
     whole, split = _split_groups(large, width, gram, max_group)
+    release(large)
     repeated = _repeated_spans(reduce(DataFrame.unionByName, groups + split), width)
     spans = (
         reduce(DataFrame.unionByName, [repeated, *whole])

@@ -68,6 +68,25 @@ def test_split_groups_are_stored_step_by_step(frame, repetitive, monkeypatch):
     assert all("Join" not in f._jdf.queryExecution().toString() for f in whole + small)
 
 
+def test_a_halving_step_writes_three_tables(frame, repetitive, monkeypatch):
+    """Hadoop starts processes for each file that is made."""
+    stored, names = suffix_dedup.stored, []
+    monkeypatch.setattr(suffix_dedup, "stored", lambda df, name: names.append(name) or stored(df, name))
+    split, made = suffix_dedup._split_groups, []
+
+    def watched(*args):
+        before = len(names)
+        whole, small = split(*args)
+        made.append((len(whole), len(names) - before))
+        return whole, small
+
+    monkeypatch.setattr(suffix_dedup, "_split_groups", watched)
+    got = suffix_dedup.remove_repeats(frame(repetitive), width=40, gram=12, max_group=3)
+    assert Counter(map(tuple, got.collect())) == by_bytes(repetitive, 40)
+    steps, tables = made[0]
+    assert steps > 1 and tables <= 3 * steps
+
+
 def test_words_that_collide_modulo_powers_of_two(frame):
     one, other = colliding_words()
     around = [f"w{i}" for i in range(30)]
