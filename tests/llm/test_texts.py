@@ -1,5 +1,6 @@
 """Classifiers, line frequency, packing, URLs and pages."""
 
+import os
 import random
 import re
 import zlib
@@ -365,3 +366,88 @@ def test_constants_decide_inside_article_and_names_only_as_a_whole():
         assert wrappers.main_text(page, wrapper) == "\n".join(held)
     beside = "<main><p>the main text</p><article><p>a teaser</p></article></main>"
     assert wrappers.main_text(beside) == "the main text\na teaser"
+
+
+def _by_host(pages):
+    """The wrapper of each host by ``induce``, one copy of each page, ordered by hash."""
+    import json
+    from dataclasses import asdict
+
+    kept = {}
+    for r in pages.selectExpr("host", "html", "xxhash64(html) AS page").where("host <> '' AND html IS NOT NULL").collect():
+        kept.setdefault(r["host"], set()).add((r["page"], r["html"]))
+    found = {host: wrappers.induce([html for _, html in sorted(some)]) for host, some in kept.items()}
+    return {host: json.dumps(asdict(w)) for host, w in found.items() if w}
+
+
+def test_every_page_of_a_host_is_looked_at(spark):
+    rng = random.Random(13)
+    rows, want = [], {}
+    for i in range(300):
+        title, text, note = _prose(rng, 4), _prose(rng, 30), _prose(rng, 12)
+        seldom = i % 100 == 7  # three of 300 pages have text of their own beside the content
+        often = "<p>Sent to most readers</p>" if i % 3 else ""
+        rows.append((i, f"http://h.example/{i}", f"<body><div class=x><h1>{title}</h1><p>Read this first</p>{often}<p>{text}</p></div>"
+                     f"<div class=low><p>{note if seldom else 'All rights reserved'}</p></div>"))
+        want[i] = "\n".join([title, text] + [note] * seldom)
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)
+    assert {r["page_id"]: r["text"] for r in wrappers.extract_text(pages).collect()} == want
+
+
+def test_nodes_that_the_commonest_tree_lacks_are_found():
+    rng = random.Random(14)
+    pages, want = [], []
+    for i in range(40):
+        title, text, end = _prose(rng, 4), _prose(rng, 30), _prose(rng, 20)
+        # The commonest tree, of every third page, has no h2; all others have one, each with another list.
+        more = "".join(f"<h2>More</h2><ul class=u{i}><li>{end}</ul>") if i % 3 else ""
+        pages.append(f"<body><div class=x><h1>{title}</h1><p>{text}</p>{more}</div><div class=low><p>Call us</p></div>")
+        want.append("\n".join([title, text] + [end] * bool(more)))
+    wrapper = _induced(pages)
+    assert [wrappers.main_text(p, wrapper) for p in pages] == want
+
+
+def test_copies_do_not_make_a_text_constant():
+    rng = random.Random(15)
+    texts = [(_prose(rng, 4), _prose(rng, 40)) for _ in range(5)]
+    page = "<body><div class=x><h1>%s</h1><p>%s</p></div><div class=low><p>All rights reserved</p><p>Call %d</p></div>"
+    pages = [page % (*texts[0], i) for i in range(30)] + [page % (*t, 99) for t in texts[1:]]
+    wrapper = _induced(pages)
+    assert wrappers.main_text(pages[0], wrapper) == "\n".join(texts[0])
+    assert wrappers.main_text(pages[-1], wrapper) == "\n".join(texts[-1])
+
+
+def test_wrappers_are_those_of_all_pages_in_one_place(spark):
+    rng = random.Random(16)
+
+    def part(depth):
+        kids = [rng.choice(["<p>one</p>", "<p>two</p>", f"<p>{_prose(rng, 5)}</p>", f"<h2>{_prose(rng, 2)}</h2>", "<ul><li>x<li>y</ul>"]) for _ in range(4)]
+        if depth:
+            kids.insert(rng.randrange(4), f"<div class=c{rng.randrange(2)}>{part(depth - 1)}</div>")
+        return "".join(k for k in kids if rng.random() < 0.7)
+
+    rows = [(i, f"h{rng.randrange(6)}", f"<body>{part(3)}<div><p>Call {i % 9}</p></div>") for i in range(260)]
+    rows += [(i, h, p) for i, h, p in rows[:60]] + [(i, "copies", rows[0][2]) for i in range(40)]
+    rows += [(1, "", rows[0][2]), (2, None, rows[1][2]), (3, "h1", None), (4, "h1", ""), (None, "h2", rows[2][2])]
+    pages = spark.createDataFrame(rows, "page_id bigint, host string, html string").repartition(6)
+    got = {r["host"]: r["wrapper"] for r in wrappers.induce_wrappers(pages).collect()}
+    assert got == _by_host(pages) and len(got) == 6
+
+
+def test_slots_add_up_in_any_parts():
+    rng = random.Random(17)
+    for _ in range(300):
+        texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 6))]
+        if rng.random() < 0.5:
+            texts = [f"see page {t} of it" for t in texts]
+        total = wrappers.Slot()
+        for some in (texts[:2], texts[2:3], texts[3:]):
+            slot = wrappers.Slot()
+            for text in some:
+                slot.add(text)
+            total.merge(slot)
+        words = [t.split() for t in texts]
+        alike = [len(os.path.commonprefix(side)) for side in (words, [w[::-1] for w in words])]
+        least, most = min(map(len, words)), max(map(len, words))
+        assert total.is_filled_in() == (len(set(texts)) > 1 and sum(alike) < least and 2 * sum(alike) >= most), texts
+        assert total.own == sum(map(len, texts))
