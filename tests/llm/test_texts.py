@@ -394,12 +394,12 @@ def test_every_page_of_a_host_is_looked_at(spark):
     assert {r["page_id"]: r["text"] for r in wrappers.extract_text(pages).collect()} == want
 
 
-def test_nodes_that_the_commonest_tree_lacks_are_found():
+def test_nodes_that_the_aligned_tree_lacks_are_found():
     rng = random.Random(14)
     pages, want = [], []
     for i in range(40):
         title, text, end = _prose(rng, 4), _prose(rng, 30), _prose(rng, 20)
-        # The commonest tree, of every third page, has no h2; all others have one, each with another list.
+        # The tree of every third page has no h2; all others have one, each with a list of its own.
         more = "".join(f"<h2>More</h2><ul class=u{i}><li>{end}</ul>") if i % 3 else ""
         pages.append(f"<body><div class=x><h1>{title}</h1><p>{text}</p>{more}</div><div class=low><p>Call us</p></div>")
         want.append("\n".join([title, text] + [end] * bool(more)))
@@ -407,6 +407,19 @@ def test_nodes_that_the_commonest_tree_lacks_are_found():
     assert [wrappers.main_text(p, wrapper) for p in pages] == want
 
 
+def test_commonest_tree_is_no_base_if_most_pages_differ_from_it():
+    rng = random.Random(18)
+    pages, want = [], []
+    for i in range(40):
+        title, text, end = _prose(rng, 4), _prose(rng, 30), _prose(rng, 20)
+        promo = "<div><p>New: our shop</p></div>" if i % 2 else ""
+        pages.append(f"<body>{promo}<div><h1>{title}</h1><p>Read this first</p><p>{text}</p><ul class=u{i}><li>{end}</ul></div><footer>f</footer>")
+        want.append("\n".join(["New: our shop"] * bool(promo) + [title, text, end]))
+    pages[10:10] = [f"<body><table class=t><tr><td>{_prose(rng, 9)}</table>" for _ in range(8)]
+    wrapper = _induced(pages)
+    assert [wrappers.main_text(p, wrapper) for p in pages[:10] + pages[18:]] == want
+
+
 def test_copies_do_not_make_a_text_constant():
     rng = random.Random(15)
     texts = [(_prose(rng, 4), _prose(rng, 40)) for _ in range(5)]
